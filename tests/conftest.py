@@ -1,0 +1,48 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from tillmark.session import get_spark  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = get_spark(
+        "tillmark-tests",
+        {
+            "spark.master": "local[4]",
+            "spark.sql.shuffle.partitions": "4",
+            "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
+            "spark.driver.memory": "4g",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="tillmark-warehouse-"),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def setting(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def change(**options):
+        for name, value in options.items():
+            key = name.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key, None))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)

@@ -1,0 +1,100 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tillmark.sinks.jdbc import JdbcTarget
+from tillmark.sinks.layers import write_layer
+from tillmark.sinks.metrics import write_counted
+from tillmark.sinks.reports import write_invalid_country_report, write_outlier_report
+from tillmark.sources.layers import read_layer
+
+
+def numbers(spark, n, start=0):
+    return spark.range(start, start + n).withColumn("half", F.col("id") % 2)
+
+
+def ids(df):
+    return sorted(row.id for row in df.collect())
+
+
+def test_overwrite_and_append(spark, tmp_path):
+    root = str(tmp_path)
+    write_layer(numbers(spark, 5), "layer", root)
+    write_layer(numbers(spark, 3), "layer", root)
+    assert ids(read_layer(spark, "layer", root)) == [0, 1, 2]
+    write_layer(numbers(spark, 2, 3), "layer", root, mode="append")
+    assert ids(read_layer(spark, "layer", root)) == [0, 1, 2, 3, 4]
+
+
+def test_partitioned(spark, tmp_path):
+    write_layer(numbers(spark, 10), "layer", str(tmp_path), partition_by=["half"], sort_by=["id"])
+    assert sorted(path.name for path in (tmp_path / "layer").glob("half=*")) == ["half=0", "half=1"]
+    assert ids(read_layer(spark, "layer", str(tmp_path))) == list(range(10))
+
+
+def test_catalog_table(spark):
+    name = "catalog_table_test"
+    try:
+        write_layer(numbers(spark, 5), name)
+        write_layer(numbers(spark, 4), name)
+        write_layer(numbers(spark, 2, 4), name, mode="append")
+        assert ids(read_layer(spark, name)) == list(range(6))
+        assert spark.catalog.tableExists(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_empty_layer_keeps_schema(spark, tmp_path):
+    write_layer(numbers(spark, 0), "layer", str(tmp_path))
+    stored = read_layer(spark, "layer", str(tmp_path))
+    assert (stored.columns, stored.count()) == (["id", "half"], 0)
+
+
+@pytest.mark.parametrize("n", [0, 7])
+def test_counted(spark, tmp_path, n):
+    assert write_counted(numbers(spark, n), lambda df: write_layer(df, "layer", str(tmp_path))) == n
+    assert read_layer(spark, "layer", str(tmp_path)).count() == n
+
+
+def test_reports(spark, tmp_path):
+    outliers = spark.createDataFrame(
+        [("17850", "1", "A", 900, 5), ("17850", "2", "B", 800, 4)],
+        "CustomerID string, InvoiceNo string, StockCode string, Quantity int, median_quantity int",
+    )
+    path = str(tmp_path / "outliers")
+    write_outlier_report(outliers, path)
+    assert sorted(row.value for row in spark.read.text(path).collect()) == [
+        "User: 17850, Invoice: 1, Product: A, Quantity: 900, Median: 5",
+        "User: 17850, Invoice: 2, Product: B, Quantity: 800, Median: 4",
+    ]
+    write_outlier_report(outliers.limit(0), path)
+    assert spark.read.text(path).isEmpty()
+
+    invalid = spark.createDataFrame(
+        [("1", "A", 3, "17850", "9999", "unused"), ("2", "B", None, None, None, "unused")],
+        "InvoiceNo string, StockCode string, Quantity int, CustomerID string, CountryID string, Country string",
+    )
+    path = str(tmp_path / "invalid")
+    write_invalid_country_report(invalid, path)
+    stored = spark.read.option("header", True).csv(path)
+    assert stored.columns == ["InvoiceNo", "StockCode", "Quantity", "CustomerID", "CountryID"]
+    assert sorted(tuple(row) for row in stored.collect()) == [
+        ("1", "A", "3", "17850", "9999"),
+        ("2", "B", None, None, None),
+    ]
+    write_invalid_country_report(invalid.limit(0), path)
+    assert spark.read.option("header", True).csv(path).isEmpty()
+
+
+def test_jdbc_options():
+    target = JdbcTarget("jdbc:example:warehouse", "loader", "secret", "org.example.Driver", 4, 500, True)
+    assert target.options() == {
+        "url": "jdbc:example:warehouse",
+        "user": "loader",
+        "password": "secret",
+        "driver": "org.example.Driver",
+        "numPartitions": "4",
+        "batchsize": "500",
+        "truncate": "true",
+    }
+    assert "driver" not in JdbcTarget("jdbc:example:warehouse", "loader", "secret").options()
+    assert "secret" not in repr(target)

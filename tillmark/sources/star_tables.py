@@ -48,7 +48,9 @@ def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
         "n_nationkey", F.concat_ws(parsing.COUNTRY_SEPARATOR, _country_code(), region_id).alias("Country")
     )
     customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", F.date_format("o_orderdate", parsing.INVOICE_DATE_FORMAT).alias("InvoiceDate")
+    )
     customers = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
     invoices = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
     lines = table(spark, folder, "lineitem").join(invoices, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -56,7 +58,7 @@ def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("InvoiceNo"),
         F.col("l_partkey").cast("string").alias("StockCode"),
         F.col("l_quantity").cast("int").alias("Quantity"),
-        F.date_format("o_orderdate", parsing.INVOICE_DATE_FORMAT).alias("InvoiceDate"),
+        "InvoiceDate",
         F.col("o_custkey").cast("string").alias("CustomerID"),
         "Country",
     )
