@@ -1,0 +1,170 @@
+"""The plans that Spark runs: what is read, what is shuffled, what happens to a hot key."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+from retail_rows import countries
+
+from tillmark.operators import dimensions, fact, outliers, reference_check, sales, trends
+from tillmark.plans.registry import QUERIES
+from tillmark.plans.warehouse import star_schema
+from tillmark.sinks.layers import write_layer
+from tillmark.sources import files, star_tables
+from tillmark.sources.layers import read_layer, read_valid_transactions
+from tillmark.streaming.ingest import ingest_new_files
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def lake(spark, tmp_path_factory):
+    """Bronze as the jobs store it; product 0 holds a third of all sales, all on one day."""
+    root = str(tmp_path_factory.mktemp("lake"))
+    n = 60_000
+    rows = spark.range(n).select(
+        F.col("id").cast("string").alias("InvoiceNo"),
+        F.when(F.col("id") % 3 == 0, "0").otherwise((F.col("id") % 1000).cast("string")).alias("StockCode"),
+        F.when(F.col("id") % 500 == 0, 5000).otherwise(F.col("id") % 10).cast("int").alias("Quantity"),
+        F.when(F.col("id") % 3 == 0, "05/01/2024 10:00")
+        .otherwise(F.concat(F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0"), F.lit("/02/2024 10:00")))
+        .alias("InvoiceDate"),
+        (F.col("id") % 77).cast("string").alias("CustomerID"),
+        F.lit("1101-1").alias("Country"),
+    )
+    rows.write.csv(f"{root}/raw")
+    nations = countries(spark, [("1101", "United Kingdom")])
+    write_layer(nations, "countries", root)
+    raw = files.stream_transactions(spark, f"{root}/raw")
+    ingest_new_files(raw, nations, f"{root}/transactions", f"{root}/checkpoint")
+    stored = read_valid_transactions(spark, f"{root}/transactions")
+    prices = stored.select(
+        "StockCode",
+        F.lit("NAME").alias("ProductDescription"),
+        F.lit("1.00").cast("decimal(10,2)").alias("UnitPrice"),
+        F.to_date("InvoiceTimestamp").alias("Date"),
+    ).distinct()
+    write_layer(prices, "products", root)
+    return root
+
+
+@pytest.fixture
+def bronze(spark, lake):
+    return (
+        read_valid_transactions(spark, f"{lake}/transactions"),
+        read_layer(spark, "products", lake),
+        read_layer(spark, "countries", lake),
+    )
+
+
+def plan(df, capsys, mode="simple"):
+    capsys.readouterr()
+    df.explain(mode=mode)
+    return capsys.readouterr().out
+
+
+def final_plan(df, capsys):
+    """The plan as it was after the run."""
+    df.collect()
+    return plan(df, capsys).split("== Initial Plan ==")[0]
+
+
+def test_hot_product_is_split(setting, bronze, capsys):
+    setting(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="16",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="32KB",
+    )
+    transactions, products, nations = bronze
+    sold = fact.fct_sales(transactions, products, dimensions.dim_geography(nations))
+    text = final_plan(sold, capsys)
+    assert "SortMergeJoin(skew=true)" in text
+    assert len(sold.collect()) == 60_000
+
+
+def test_hot_country_check_is_split(setting, bronze, capsys):
+    setting(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__shuffle__partitions="16",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="32KB",
+    )
+    transactions, _, nations = bronze
+    for check in (reference_check.in_reference, reference_check.missing_reference):
+        assert "SortMergeJoin(skew=true)" in final_plan(check(transactions, nations, "CountryID"), capsys)
+
+
+def test_no_broadcast_beyond_the_threshold(setting, bronze, capsys):
+    setting(spark__sql__autoBroadcastJoinThreshold="-1")
+    star = star_schema(*bronze)
+    frames = [
+        *star.values(),
+        outliers.quantity_outliers(bronze[0]),
+        sales.top_products(star["fct_sales"], star["dim_products"]),
+        sales.sales_by_day(star["fct_sales"], star["dim_date"]),
+    ]
+    for df in frames:
+        assert "Broadcast" not in plan(df, capsys)
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if not n.startswith(("daily", "ingest", "snapshot", "trending_s"))])
+def test_no_python_and_no_cross_join(spark, name, capsys):
+    text = plan(QUERIES[name](spark, FOLDER), capsys)
+    assert "Python" not in text and "Pandas" not in text
+    assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_statistics_shuffle_the_histogram_only(bronze, capsys):
+    """Both shuffles carry counts per product and quantity, after a partial aggregation of the sales."""
+    text = plan(outliers.group_statistics(bronze[0]), capsys)
+    assert text.count("Exchange hashpartitioning") == 2
+    assert "partial_count(Quantity" in text
+
+
+def test_dimension_columns_read(bronze, capsys):
+    transactions, products, nations = bronze
+    star = star_schema(transactions, products, nations)
+    read = {
+        name: sorted(re.findall(r"(\w+):", re.search(r"ReadSchema: struct<(.*?)>", plan(star[name], capsys)).group(1)))
+        for name in ("dim_date", "dim_customers", "dim_products")
+    }
+    assert read == {
+        "dim_date": ["InvoiceTimestamp"],
+        "dim_customers": ["CustomerID"],
+        "dim_products": ["ProductDescription", "StockCode"],
+    }
+
+
+def test_fact_reads_no_raw_text(bronze, capsys):
+    transactions, products, nations = bronze
+    text = plan(fact.fct_sales(transactions, products, dimensions.dim_geography(nations)), capsys, "formatted")
+    schemas_read = re.findall(r"ReadSchema: struct<(.*)>", text)
+    assert not any(re.search(r"\b(InvoiceDate|Country|RegionID|ProductDescription):", read) for read in schemas_read)
+    assert "IsNotNull(StockCode)" in text
+
+
+def test_since_prunes_folders_and_reaches_the_scan(spark, lake, capsys):
+    import datetime as dt
+
+    since = read_valid_transactions(spark, f"{lake}/transactions", dt.date(2024, 2, 10))
+    text = plan(since, capsys, "formatted")
+    assert re.search(r"PartitionFilters: .*quality.*invoice_month", text)
+    assert re.search(r"PushedFilters: .*GreaterThanOrEqual\(InvoiceTimestamp", text)
+
+
+def test_reports_aggregate_before_they_join(bronze, capsys):
+    star = star_schema(*bronze)
+    text = plan(sales.sales_by_country(star["fct_sales"], star["dim_geography"]), capsys)
+    # Above the join to the dimension there is one aggregate, below it another that took in the fact.
+    assert text.index("partial_sum(total_sales") < text.index("LeftOuter") < text.index("partial_sum(total_price")
+
+
+def test_top_lists_keep_n_rows_per_task(spark, bronze, capsys):
+    star = star_schema(*bronze)
+    for df in (
+        sales.top_products(star["fct_sales"], star["dim_products"]),
+        sales.top_customers(star["fct_sales"]),
+        trends.trending_products(star_tables.messages(spark, FOLDER), star_tables.PART_KEYWORDS),
+    ):
+        assert "TakeOrderedAndProject" in plan(df, capsys)
