@@ -10,8 +10,9 @@ from tillmark.operators import dimensions, fact, outliers, reference_check, sale
 from tillmark.plans.registry import QUERIES
 from tillmark.plans.warehouse import star_schema
 from tillmark.sinks.layers import write_layer
-from tillmark.sources import files, star_tables
+from tillmark.sources import files
 from tillmark.sources.layers import read_layer, read_valid_transactions
+from tillmark.sources.star_tables import PART_KEYWORDS, StarTables
 from tillmark.streaming.ingest import ingest_new_files
 
 FOLDER = "/root/testdata/sf0.001"
@@ -165,6 +166,6 @@ def test_top_lists_keep_n_rows_per_task(spark, bronze, capsys):
     for df in (
         sales.top_products(star["fct_sales"], star["dim_products"]),
         sales.top_customers(star["fct_sales"]),
-        trends.trending_products(star_tables.messages(spark, FOLDER), star_tables.PART_KEYWORDS),
+        trends.trending_products(StarTables(spark, FOLDER).messages(), PART_KEYWORDS),
     ):
         assert "TakeOrderedAndProject" in plan(df, capsys)

@@ -6,6 +6,7 @@ Queries that go through files or streams write what they need under the shared f
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,9 +18,10 @@ from tillmark.plans.warehouse import star_schema
 from tillmark.session import scratch_path
 from tillmark.sinks.layers import write_layer
 from tillmark.sinks.reports import write_invalid_country_report, write_outlier_report
-from tillmark.sources import files, star_tables
+from tillmark.sources import files
 from tillmark.sources.layers import read_layer, read_quarantine, read_valid_transactions
 from tillmark.sources.messages import read_archive, stream_archive
+from tillmark.sources.star_tables import PART_KEYWORDS, StarTables
 from tillmark.streaming.ingest import ingest_new_files
 from tillmark.streaming.trends import start_trends
 
@@ -28,90 +30,114 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def _query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
-
+class _Data:
+    """The tables of a folder and the frames that several queries start from."""
 
-# --- frames that several queries start from ------------------------------------------------------------------------
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark = spark
+        self.tables = StarTables(spark, folder)
 
+    @cached_property
+    def parsed(self) -> DataFrame:
+        return bronze.parse_transactions(self.tables.raw_transactions())
 
-def _parsed(spark: SparkSession, folder: str) -> DataFrame:
-    return bronze.parse_transactions(star_tables.raw_transactions(spark, folder))
+    @cached_property
+    def countries(self) -> DataFrame:
+        return bronze.countries(self.tables.raw_countries())
 
+    @cached_property
+    def products(self) -> DataFrame:
+        return bronze.products(self.tables.raw_products())
 
-def _countries(spark: SparkSession, folder: str) -> DataFrame:
-    return bronze.countries(star_tables.raw_countries(spark, folder))
+    @cached_property
+    def valid(self) -> DataFrame:
+        return reference_check.in_reference(self.parsed, self.countries, "CountryID")
 
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return dimensions.dim_date(self.valid)
 
-def _products(spark: SparkSession, folder: str) -> DataFrame:
-    return bronze.products(star_tables.raw_products(spark, folder))
+    @cached_property
+    def dim_customers(self) -> DataFrame:
+        return dimensions.dim_customers(self.valid)
 
+    @cached_property
+    def dim_products(self) -> DataFrame:
+        return dimensions.dim_products(self.products)
 
-def _valid(spark: SparkSession, folder: str) -> DataFrame:
-    return reference_check.in_reference(_parsed(spark, folder), _countries(spark, folder), "CountryID")
+    @cached_property
+    def dim_geography(self) -> DataFrame:
+        return dimensions.dim_geography(self.countries)
 
+    @cached_property
+    def fct_sales(self) -> DataFrame:
+        return fact.fct_sales(self.valid, self.products, self.dim_geography)
 
-def _star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return star_schema(_valid(spark, folder), _products(spark, folder), _countries(spark, folder))
+    @property
+    def star(self) -> dict[str, DataFrame]:
+        return star_schema(self.valid, self.products, self.countries)
 
+    @cached_property
+    def invalid(self) -> DataFrame:
+        # On the unfiltered rows: those that passed the ingest check have a country by definition.
+        invalid = reference_check.missing_reference(self.parsed, self.dim_geography, "CountryID", "geo_id")
+        return invalid.select(*alerts.INVALID_COUNTRY_COLUMNS)
 
-def _invalid(spark: SparkSession, folder: str) -> DataFrame:
-    # On the unfiltered rows: those that passed the ingest check have a country by definition.
-    geography = dimensions.dim_geography(_countries(spark, folder))
-    invalid = reference_check.missing_reference(_parsed(spark, folder), geography, "CountryID", "geo_id")
-    return invalid.select(*alerts.INVALID_COUNTRY_COLUMNS)
+    @cached_property
+    def outliers(self) -> DataFrame:
+        return outliers.quantity_outliers(self.valid)
 
 
-def _outliers(spark: SparkSession, folder: str) -> DataFrame:
-    return outliers.quantity_outliers(_valid(spark, folder))
+def _query(function: Callable[[_Data], DataFrame]) -> Callable[[_Data], DataFrame]:
+    QUERIES[function.__name__] = lambda spark, folder: function(_Data(spark, folder))
+    return function
 
 
 # --- sources -------------------------------------------------------------------------------------------------------
 
 
 @_query
-def raw_transactions_csv(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "raw_transactions")
-    star_tables.raw_transactions(spark, folder).write.csv(path)
-    return files.read_transactions(spark, path)
+def raw_transactions_csv(data: _Data) -> DataFrame:
+    path = scratch_path(data.spark, "raw_transactions")
+    data.tables.raw_transactions().write.csv(path)
+    return files.read_transactions(data.spark, path)
 
 
 @_query
-def raw_countries_csv(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "raw_countries")
-    star_tables.raw_countries(spark, folder).write.option("header", True).csv(path)
-    return files.read_countries(spark, path)
+def raw_countries_csv(data: _Data) -> DataFrame:
+    path = scratch_path(data.spark, "raw_countries")
+    data.tables.raw_countries().write.option("header", True).csv(path)
+    return files.read_countries(data.spark, path)
 
 
 @_query
-def raw_products_csv(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "raw_products")
-    star_tables.raw_products(spark, folder).write.option("header", True).csv(path)
-    return files.read_products(spark, path)
+def raw_products_csv(data: _Data) -> DataFrame:
+    path = scratch_path(data.spark, "raw_products")
+    data.tables.raw_products().write.option("header", True).csv(path)
+    return files.read_products(data.spark, path)
 
 
 @_query
-def layer_round_trip(spark: SparkSession, folder: str) -> DataFrame:
-    root = scratch_path(spark, "lake")
-    write_layer(_products(spark, folder), "products", root)
-    return read_layer(spark, "products", root)
+def layer_round_trip(data: _Data) -> DataFrame:
+    root = scratch_path(data.spark, "lake")
+    write_layer(data.products, "products", root)
+    return read_layer(data.spark, "products", root)
 
 
 @_query
-def layer_append(spark: SparkSession, folder: str) -> DataFrame:
+def layer_append(data: _Data) -> DataFrame:
     """Both sides of the country check appended to one layer: together they are the input."""
-    root = scratch_path(spark, "lake")
-    for part in reference_check.split_by_reference(_parsed(spark, folder), _countries(spark, folder), "CountryID"):
+    root = scratch_path(data.spark, "lake")
+    for part in reference_check.split_by_reference(data.parsed, data.countries, "CountryID"):
         write_layer(part, "transactions", root, mode="append")
-    return read_layer(spark, "transactions", root)
+    return read_layer(data.spark, "transactions", root)
 
 
 @_query
-def message_log(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "messages")
-    star_tables.messages(spark, folder).write.parquet(path)
-    log = read_archive(spark, path)
+def message_log(data: _Data) -> DataFrame:
+    path = scratch_path(data.spark, "messages")
+    data.tables.messages().write.parquet(path)
+    log = read_archive(data.spark, path)
     return log.select("topic", "partition", "offset", F.col("value").cast("string").alias("message"))
 
 
@@ -119,34 +145,33 @@ def message_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_query
-def transactions_parsed(spark: SparkSession, folder: str) -> DataFrame:
-    return _parsed(spark, folder)
+def transactions_parsed(data: _Data) -> DataFrame:
+    return data.parsed
 
 
 @_query
-def countries_bronze(spark: SparkSession, folder: str) -> DataFrame:
-    return _countries(spark, folder)
+def countries_bronze(data: _Data) -> DataFrame:
+    return data.countries
 
 
 @_query
-def products_bronze(spark: SparkSession, folder: str) -> DataFrame:
-    return _products(spark, folder)
+def products_bronze(data: _Data) -> DataFrame:
+    return data.products
 
 
 @_query
-def transactions_valid(spark: SparkSession, folder: str) -> DataFrame:
-    return _valid(spark, folder)
+def transactions_valid(data: _Data) -> DataFrame:
+    return data.valid
 
 
 @_query
-def transactions_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    return reference_check.missing_reference(_parsed(spark, folder), _countries(spark, folder), "CountryID")
+def transactions_quarantine(data: _Data) -> DataFrame:
+    return reference_check.missing_reference(data.parsed, data.countries, "CountryID")
 
 
 @_query
-def transactions_tagged(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = _parsed(spark, folder)
-    tagged = reference_check.tag_by_reference(parsed, _countries(spark, folder), "CountryID", "is_valid")
+def transactions_tagged(data: _Data) -> DataFrame:
+    tagged = reference_check.tag_by_reference(data.parsed, data.countries, "CountryID", "is_valid")
     return tagged.groupBy("is_valid", "CountryID").agg(
         F.count(F.lit(1)).alias("row_count"), F.sum("Quantity").alias("quantity")
     )
@@ -156,238 +181,226 @@ def transactions_tagged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @_query
-def dim_date(spark: SparkSession, folder: str) -> DataFrame:
-    return _star(spark, folder)["dim_date"]
+def dim_date(data: _Data) -> DataFrame:
+    return data.dim_date
 
 
 @_query
-def dim_customers(spark: SparkSession, folder: str) -> DataFrame:
-    return _star(spark, folder)["dim_customers"]
+def dim_customers(data: _Data) -> DataFrame:
+    return data.dim_customers
 
 
 @_query
-def dim_products(spark: SparkSession, folder: str) -> DataFrame:
-    return _star(spark, folder)["dim_products"]
+def dim_products(data: _Data) -> DataFrame:
+    return data.dim_products
 
 
 @_query
-def dim_geography(spark: SparkSession, folder: str) -> DataFrame:
-    return _star(spark, folder)["dim_geography"]
+def dim_geography(data: _Data) -> DataFrame:
+    return data.dim_geography
 
 
 @_query
-def fct_sales(spark: SparkSession, folder: str) -> DataFrame:
-    return _star(spark, folder)["fct_sales"]
+def fct_sales(data: _Data) -> DataFrame:
+    return data.fct_sales
 
 
 @_query
-def fct_sales_with_date_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    star = _star(spark, folder)
-    transactions, products = _valid(spark, folder), _products(spark, folder)
-    return fact.fct_sales(transactions, products, star["dim_geography"], star["dim_date"])
+def fct_sales_with_date_lookup(data: _Data) -> DataFrame:
+    return fact.fct_sales(data.valid, data.products, data.dim_geography, data.dim_date)
 
 
 @_query
-def unpriced_sales(spark: SparkSession, folder: str) -> DataFrame:
-    missing = fact.unpriced_sales(_valid(spark, folder), _products(spark, folder))
+def unpriced_sales(data: _Data) -> DataFrame:
+    missing = fact.unpriced_sales(data.valid, data.products)
     return missing.select("InvoiceNo", "StockCode", "Quantity", "InvoiceDate", "CustomerID")
 
 
 @_query
-def repeated_sale_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return fact.repeated_sale_ids(_star(spark, folder)["fct_sales"])
+def repeated_sale_ids(data: _Data) -> DataFrame:
+    return fact.repeated_sale_ids(data.fct_sales)
 
 
 @_query
-def product_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
-    return fact.product_uniqueness(_star(spark, folder)["dim_products"])
+def product_uniqueness(data: _Data) -> DataFrame:
+    return fact.product_uniqueness(data.dim_products)
 
 
 @_query
-def layer_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    frames = {"transactions": _valid(spark, folder), "countries": _countries(spark, folder), **_star(spark, folder)}
+def layer_row_counts(data: _Data) -> DataFrame:
+    frames = {"transactions": data.valid, "countries": data.countries, **data.star}
     counts = [
         df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         for name, df in frames.items()
     ]
-    result = counts[0]
-    for count in counts[1:]:
-        result = result.unionAll(count)
-    return result
+    return reduce(DataFrame.unionAll, counts)
 
 
 # --- quality -------------------------------------------------------------------------------------------------------
 
 
 @_query
-def product_quantity_stats(spark: SparkSession, folder: str) -> DataFrame:
-    stats = outliers.group_statistics(_valid(spark, folder))
+def product_quantity_stats(data: _Data) -> DataFrame:
+    stats = outliers.group_statistics(data.valid)
     return stats.withColumn("stddev_quantity", F.round("stddev_quantity", 6))
 
 
 @_query
-def quantity_outliers(spark: SparkSession, folder: str) -> DataFrame:
-    return _outliers(spark, folder)
+def quantity_outliers(data: _Data) -> DataFrame:
+    return data.outliers
 
 
 @_query
-def outlier_report_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return alerts.outlier_lines(_outliers(spark, folder))
+def outlier_report_lines(data: _Data) -> DataFrame:
+    return alerts.outlier_lines(data.outliers)
 
 
 @_query
-def outlier_report_file(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "outliers")
-    write_outlier_report(_outliers(spark, folder), path)
-    return spark.read.text(path).withColumnRenamed("value", "line")
+def outlier_report_file(data: _Data) -> DataFrame:
+    path = scratch_path(data.spark, "outliers")
+    write_outlier_report(data.outliers, path)
+    return data.spark.read.text(path).withColumnRenamed("value", "line")
 
 
 @_query
-def missing_country_refs(spark: SparkSession, folder: str) -> DataFrame:
-    return _invalid(spark, folder)
+def missing_country_refs(data: _Data) -> DataFrame:
+    return data.invalid
 
 
 @_query
-def invalid_country_report_file(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "invalid_country")
-    write_invalid_country_report(_invalid(spark, folder), path)
-    return spark.read.option("header", True).csv(path)
+def invalid_country_report_file(data: _Data) -> DataFrame:
+    path = scratch_path(data.spark, "invalid_country")
+    write_invalid_country_report(data.invalid, path)
+    return data.spark.read.option("header", True).csv(path)
 
 
 @_query
-def alert_digest(spark: SparkSession, folder: str) -> DataFrame:
-    return alerts.alert_digest(_outliers(spark, folder), _invalid(spark, folder))
+def alert_digest(data: _Data) -> DataFrame:
+    return alerts.alert_digest(data.outliers, data.invalid)
 
 
 @_query
-def alert_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return alerts.alert_lines(_outliers(spark, folder), _invalid(spark, folder))
+def alert_lines(data: _Data) -> DataFrame:
+    return alerts.alert_lines(data.outliers, data.invalid)
 
 
 # --- sales questions -----------------------------------------------------------------------------------------------
 
 
 @_query
-def sales_by_day(spark: SparkSession, folder: str) -> DataFrame:
-    star = _star(spark, folder)
-    return sales.sales_by_day(star["fct_sales"], star["dim_date"])
+def sales_by_day(data: _Data) -> DataFrame:
+    return sales.sales_by_day(data.fct_sales, data.dim_date)
 
 
 @_query
-def sales_by_product(spark: SparkSession, folder: str) -> DataFrame:
-    star = _star(spark, folder)
-    return sales.sales_by_product(star["fct_sales"], star["dim_products"])
+def sales_by_product(data: _Data) -> DataFrame:
+    return sales.sales_by_product(data.fct_sales, data.dim_products)
 
 
 @_query
-def top_products(spark: SparkSession, folder: str) -> DataFrame:
-    star = _star(spark, folder)
-    return sales.top_products(star["fct_sales"], star["dim_products"])
+def top_products(data: _Data) -> DataFrame:
+    return sales.top_products(data.fct_sales, data.dim_products)
 
 
 @_query
-def sales_by_country(spark: SparkSession, folder: str) -> DataFrame:
-    star = _star(spark, folder)
-    return sales.sales_by_country(star["fct_sales"], star["dim_geography"])
+def sales_by_country(data: _Data) -> DataFrame:
+    return sales.sales_by_country(data.fct_sales, data.dim_geography)
 
 
 @_query
-def sales_by_customer(spark: SparkSession, folder: str) -> DataFrame:
-    return sales.sales_by_customer(_star(spark, folder)["fct_sales"])
+def sales_by_customer(data: _Data) -> DataFrame:
+    return sales.sales_by_customer(data.fct_sales)
 
 
 @_query
-def top_customers(spark: SparkSession, folder: str) -> DataFrame:
-    return sales.top_customers(_star(spark, folder)["fct_sales"])
+def top_customers(data: _Data) -> DataFrame:
+    return sales.top_customers(data.fct_sales)
 
 
 # --- trends --------------------------------------------------------------------------------------------------------
 
 
 @_query
-def product_mentions(spark: SparkSession, folder: str) -> DataFrame:
-    return trends.mentions(star_tables.messages(spark, folder), star_tables.PART_KEYWORDS)
+def product_mentions(data: _Data) -> DataFrame:
+    return trends.mentions(data.tables.messages(), PART_KEYWORDS)
 
 
 @_query
-def trending_products(spark: SparkSession, folder: str) -> DataFrame:
-    return trends.trending_products(star_tables.messages(spark, folder), star_tables.PART_KEYWORDS)
+def trending_products(data: _Data) -> DataFrame:
+    return trends.trending_products(data.tables.messages(), PART_KEYWORDS)
 
 
 @_query
-def trending_streaming(spark: SparkSession, folder: str) -> DataFrame:
-    path = scratch_path(spark, "trends")
-    star_tables.messages(spark, folder).write.parquet(f"{path}/messages")
+def trending_streaming(data: _Data) -> DataFrame:
+    path = scratch_path(data.spark, "trends")
+    data.tables.messages().write.parquet(f"{path}/messages")
     # A session of its own, so that the few counts are not spread over the caller's number of shuffle partitions.
-    session = spark.newSession()
+    session = data.spark.newSession()
     session.conf.set("spark.sql.shuffle.partitions", "4")
     query = start_trends(
         stream_archive(session, f"{path}/messages"),
         lambda table: write_layer(table, "trending_products", path),
         f"{path}/checkpoint",
-        star_tables.PART_KEYWORDS,
+        PART_KEYWORDS,
     )
     query.awaitTermination()
-    return read_layer(spark, "trending_products", path)
+    return read_layer(data.spark, "trending_products", path)
 
 
 # --- jobs ----------------------------------------------------------------------------------------------------------
 
 
-def _ingest(spark: SparkSession, folder: str) -> str:
-    """Ingest the tables as CSV files in two steps; returns where the transactions are stored."""
-    path = scratch_path(spark, "ingest")
-    raw, countries = f"{path}/raw", _countries(spark, folder)
-    star_tables.raw_transactions(spark, folder).write.csv(raw)
-    ingest_new_files(files.stream_transactions(spark, raw), countries, f"{path}/transactions", f"{path}/checkpoint")
-    # A second call finds no new file and must add nothing.
-    ingest_new_files(files.stream_transactions(spark, raw), countries, f"{path}/transactions", f"{path}/checkpoint")
+def _ingest(data: _Data) -> str:
+    """Ingest the tables from CSV files, then once more; the second run finds no new file and must add nothing."""
+    path = scratch_path(data.spark, "ingest")
+    data.tables.raw_transactions().write.csv(f"{path}/raw")
+    for _ in range(2):
+        raw = files.stream_transactions(data.spark, f"{path}/raw")
+        ingest_new_files(raw, data.countries, f"{path}/transactions", f"{path}/checkpoint")
     return f"{path}/transactions"
 
 
 @_query
-def ingest_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    return read_valid_transactions(spark, _ingest(spark, folder))
+def ingest_incremental(data: _Data) -> DataFrame:
+    return read_valid_transactions(data.spark, _ingest(data))
 
 
 @_query
-def ingest_incremental_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    return read_quarantine(spark, _ingest(spark, folder))
+def ingest_incremental_quarantine(data: _Data) -> DataFrame:
+    return read_quarantine(data.spark, _ingest(data))
 
 
 @_query
-def snapshot_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    valid, quarantined = reference_check.split_by_reference(
-        _parsed(spark, folder), _countries(spark, folder), "CountryID"
-    )
+def snapshot_manifest(data: _Data) -> DataFrame:
+    valid, quarantined = reference_check.split_by_reference(data.parsed, data.countries, "CountryID")
     tables = {
-        "countries": _countries(spark, folder),
-        "products": _products(spark, folder),
+        "countries": data.countries,
+        "products": data.products,
         "transactions": valid,
         "quarantine": quarantined,
     }
-    return snapshot(spark, tables, scratch_path(spark, "snapshot"), "2024-01-01-000000")
+    return snapshot(data.spark, tables, scratch_path(data.spark, "snapshot"), "2024-01-01-000000")
 
 
-@_query
-def daily_run_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows per table written by a whole daily run over CSV files made from the tables."""
-    path = scratch_path(spark, "daily")
-    star_tables.raw_transactions(spark, folder).write.csv(f"{path}/raw/transactions")
-    star_tables.raw_countries(spark, folder).write.option("header", True).csv(f"{path}/raw/countries")
-    star_tables.raw_products(spark, folder).write.option("header", True).csv(f"{path}/raw/products")
+def _daily_run(data: _Data) -> tuple[DailyRun, dict[str, int]]:
+    """A whole daily run over CSV files made from the tables."""
+    path = scratch_path(data.spark, "daily")
     run = DailyRun(f"{path}/raw/transactions", f"{path}/raw/countries", f"{path}/raw/products", f"{path}/lake")
-    metrics = run_daily(spark, run)
-    return spark.createDataFrame(sorted(metrics.items()), "metric string, row_count bigint")
+    data.tables.raw_transactions().write.csv(run.raw_transactions)
+    data.tables.raw_countries().write.option("header", True).csv(run.raw_countries)
+    data.tables.raw_products().write.option("header", True).csv(run.raw_products)
+    return run, run_daily(data.spark, run)
 
 
 @_query
-def daily_run_sales(spark: SparkSession, folder: str) -> DataFrame:
+def daily_run_metrics(data: _Data) -> DataFrame:
+    """Rows per table that a daily run writes."""
+    _, metrics = _daily_run(data)
+    return data.spark.createDataFrame(sorted(metrics.items()), "metric string, row_count bigint")
+
+
+@_query
+def daily_run_sales(data: _Data) -> DataFrame:
     """The fact as a daily run stores it."""
-    path = scratch_path(spark, "daily")
-    star_tables.raw_transactions(spark, folder).write.csv(f"{path}/raw/transactions")
-    star_tables.raw_countries(spark, folder).write.option("header", True).csv(f"{path}/raw/countries")
-    star_tables.raw_products(spark, folder).write.option("header", True).csv(f"{path}/raw/products")
-    run = DailyRun(f"{path}/raw/transactions", f"{path}/raw/countries", f"{path}/raw/products", f"{path}/lake")
-    run_daily(spark, run)
-    return read_layer(spark, "fct_sales", run.gold)
+    run, _ = _daily_run(data)
+    return read_layer(data.spark, "fct_sales", run.gold)

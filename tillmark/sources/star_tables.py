@@ -21,10 +21,6 @@ INVALID_COUNTRY = "9999"
 PART_KEYWORDS = (("red", "red"), ("ring", "ring"), ("widget", "widget"), ("gizmo", "gizmo"))
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
-
-
 def _invalid_nation() -> Column:
     return F.col("n_nationkey") % 12 == 0
 
@@ -36,56 +32,66 @@ def _country_code() -> Column:
     return F.when(_invalid_nation(), F.lit(INVALID_COUNTRY)).otherwise(code)
 
 
-def raw_countries(spark: SparkSession, folder: str) -> DataFrame:
-    nation = table(spark, folder, "nation").filter(~_invalid_nation())
-    return nation.select(_country_code().alias("CountryID"), F.col("n_name").alias("CountryName"))
-
-
-def raw_transactions(spark: SparkSession, folder: str) -> DataFrame:
-    """One raw transaction per line item. Orders get their country first, so the line items are shuffled once."""
-    region_id = (F.col("n_regionkey") + 1).cast("string")
-    nation = table(spark, folder, "nation").select(
-        "n_nationkey", F.concat_ws(parsing.COUNTRY_SEPARATOR, _country_code(), region_id).alias("Country")
-    )
-    customer = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
-    orders = table(spark, folder, "orders").select(
-        "o_orderkey", "o_custkey", F.date_format("o_orderdate", parsing.INVOICE_DATE_FORMAT).alias("InvoiceDate")
-    )
-    customers = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    invoices = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    lines = table(spark, folder, "lineitem").join(invoices, F.col("l_orderkey") == F.col("o_orderkey"))
-    return lines.select(
-        F.col("o_orderkey").cast("string").alias("InvoiceNo"),
-        F.col("l_partkey").cast("string").alias("StockCode"),
-        F.col("l_quantity").cast("int").alias("Quantity"),
-        "InvoiceDate",
-        F.col("o_custkey").cast("string").alias("CustomerID"),
-        "Country",
-    )
-
-
-def raw_products(spark: SparkSession, folder: str) -> DataFrame:
-    """A price for every product and day of sale, but none for the unpriced parts."""
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
-    priced = table(spark, folder, "lineitem").select("l_orderkey", "l_partkey").filter(F.col("l_partkey") % 20 != 0)
-    days = priced.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("l_partkey", "o_orderdate").distinct()
-    part = table(spark, folder, "part").select("p_partkey", "p_name", "p_retailprice")
-    return days.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_partkey").cast("string").alias("StockCode"),
-        F.col("p_name").alias("ProductDescription"),
-        F.col("p_retailprice").cast("string").alias("UnitPrice"),
-        F.date_format("o_orderdate", parsing.PRICE_DATE_FORMAT).alias("Date"),
-    )
-
-
-def messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Part names as a message log; only ``value`` matters, the other columns are those every log has."""
-    return table(spark, folder, "part").select(
-        F.lit(None).cast("binary").alias("key"),
-        F.col("p_name").cast("binary").alias("value"),
-        F.lit("part_names").alias("topic"),
-        F.lit(0).alias("partition"),
-        F.col("p_partkey").alias("offset"),
-        F.timestamp_seconds(F.lit(0)).alias("timestamp"),
-        F.lit(0).alias("timestampType"),
-    )
+class StarTables:
+    """The order tables of one folder, each opened once, and the raw inputs derived from them."""
+
+    def __init__(self, spark: SparkSession, folder: str) -> None:
+        self.spark = spark
+        self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
+
+    def raw_countries(self) -> DataFrame:
+        nation = self.table("nation").filter(~_invalid_nation())
+        return nation.select(_country_code().alias("CountryID"), F.col("n_name").alias("CountryName"))
+
+    def raw_transactions(self) -> DataFrame:
+        """One raw transaction per line item. Orders get their country first, so line items are shuffled once."""
+        region_id = (F.col("n_regionkey") + 1).cast("string")
+        nation = self.table("nation").select(
+            "n_nationkey", F.concat_ws(parsing.COUNTRY_SEPARATOR, _country_code(), region_id).alias("Country")
+        )
+        customer = self.table("customer").select("c_custkey", "c_nationkey")
+        orders = self.table("orders").select(
+            "o_orderkey", "o_custkey", F.date_format("o_orderdate", parsing.INVOICE_DATE_FORMAT).alias("InvoiceDate")
+        )
+        customers = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        invoices = orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
+        lines = self.table("lineitem").join(invoices, F.col("l_orderkey") == F.col("o_orderkey"))
+        return lines.select(
+            F.col("o_orderkey").cast("string").alias("InvoiceNo"),
+            F.col("l_partkey").cast("string").alias("StockCode"),
+            F.col("l_quantity").cast("int").alias("Quantity"),
+            "InvoiceDate",
+            F.col("o_custkey").cast("string").alias("CustomerID"),
+            "Country",
+        )
+
+    def raw_products(self) -> DataFrame:
+        """A price for every product and day of sale, but none for the unpriced parts."""
+        orders = self.table("orders").select("o_orderkey", "o_orderdate")
+        sold = self.table("lineitem").select("l_orderkey", "l_partkey").filter(F.col("l_partkey") % 20 != 0)
+        days = sold.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("l_partkey", "o_orderdate")
+        part = self.table("part").select("p_partkey", "p_name", "p_retailprice")
+        return days.distinct().join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+            F.col("l_partkey").cast("string").alias("StockCode"),
+            F.col("p_name").alias("ProductDescription"),
+            F.col("p_retailprice").cast("string").alias("UnitPrice"),
+            F.date_format("o_orderdate", parsing.PRICE_DATE_FORMAT).alias("Date"),
+        )
+
+    def messages(self) -> DataFrame:
+        """Part names as a message log; only ``value`` matters, the other columns are those every log has."""
+        return self.table("part").select(
+            F.lit(None).cast("binary").alias("key"),
+            F.col("p_name").cast("binary").alias("value"),
+            F.lit("part_names").alias("topic"),
+            F.lit(0).alias("partition"),
+            F.col("p_partkey").alias("offset"),
+            F.timestamp_seconds(F.lit(0)).alias("timestamp"),
+            F.lit(0).alias("timestampType"),
+        )
