@@ -70,30 +70,62 @@ def final_plan(df, capsys):
     return plan(df, capsys).split("== Initial Plan ==")[0]
 
 
-def test_hot_product_is_split(setting, bronze, capsys):
+@pytest.fixture
+def small_splits(setting):
+    """Shuffle joins only, and a size of hot partitions that fits the test data."""
     setting(
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__shuffle__partitions="16",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="32KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="32KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="16KB",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
     )
+
+
+SPLIT = "SortMergeJoin(skew=true)"
+
+
+def test_hot_price_is_split(small_splits, bronze, capsys):
     transactions, products, nations = bronze
     sold = fact.fct_sales(transactions, products, dimensions.dim_geography(nations))
     text = final_plan(sold, capsys)
-    assert "SortMergeJoin(skew=true)" in text
-    assert len(sold.collect()) == 60_000
+    # Both joins: to the prices, where a third of the rows has one (product, day), and to the only country.
+    assert text.count(SPLIT) == 2
+    assert sold.count() == 60_000
 
 
-def test_hot_country_check_is_split(setting, bronze, capsys):
-    setting(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__shuffle__partitions="16",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="64KB",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="32KB",
-    )
+def test_hot_day_is_split(small_splits, bronze, capsys):
+    transactions, products, nations = bronze
+    dates = dimensions.dim_date(transactions)
+    sold = fact.fct_sales(transactions, products, dimensions.dim_geography(nations), dates)
+    assert final_plan(sold, capsys).count(SPLIT) == 3
+    assert sold.count() == 60_000
+
+
+def test_hot_product_is_split_among_limits(small_splits, bronze, capsys):
+    found = outliers.quantity_outliers(bronze[0])
+    assert SPLIT in final_plan(found, capsys)
+    assert found.select("InvoiceNo").distinct().count() == 80
+
+
+@pytest.mark.parametrize("check", [reference_check.in_reference, reference_check.missing_reference])
+def test_hot_country_is_split(small_splits, bronze, capsys, check):
+    transactions, _, nations = bronze
+    assert SPLIT in final_plan(check(transactions, nations, "CountryID"), capsys)
+
+
+def test_hot_country_is_split_when_tagged(small_splits, bronze, capsys):
+    transactions, _, nations = bronze
+    tagged = reference_check.tag_by_reference(transactions, nations, "CountryID", "ok")
+    assert SPLIT in final_plan(tagged, capsys)
+
+
+def test_missing_countries_are_split(small_splits, bronze, capsys):
     transactions, _, nations = bronze
-    for check in (reference_check.in_reference, reference_check.missing_reference):
-        assert "SortMergeJoin(skew=true)" in final_plan(check(transactions, nations, "CountryID"), capsys)
+    nowhere = transactions.withColumn("CountryID", F.lit(None).cast("string"))
+    tagged = reference_check.tag_by_reference(nowhere, nations, "CountryID", "ok")
+    assert tagged.filter("NOT ok").count() == 60_000
 
 
 def test_no_broadcast_beyond_the_threshold(setting, bronze, capsys):

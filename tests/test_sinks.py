@@ -1,10 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tillmark.sinks.jdbc import JdbcTarget
+from tillmark.plans import warehouse
+from tillmark.sinks.jdbc import JdbcTarget, write_jdbc
 from tillmark.sinks.layers import write_layer
 from tillmark.sinks.metrics import write_counted
 from tillmark.sinks.reports import write_invalid_country_report, write_outlier_report
+from tillmark.sources import messages
 from tillmark.sources.layers import read_layer
 
 
@@ -98,3 +100,96 @@ def test_jdbc_options():
     }
     assert "driver" not in JdbcTarget("jdbc:example:warehouse", "loader", "secret").options()
     assert "secret" not in repr(target)
+
+
+class Database:
+    """Stands in for a database: takes writes, and miscounts the tables it is told to, once."""
+
+    def __init__(self, doubled=()):
+        self.rows, self.doubled, self.writes = {}, set(doubled), []
+
+    def write(self, df, table, target):
+        self.writes.append(table)
+        self.rows[table] = len(df.collect())
+
+    def count(self, spark, table, target):
+        if table in self.doubled:
+            self.doubled.remove(table)
+            return 2 * self.rows[table]
+        return self.rows[table]
+
+
+def load(spark, database, monkeypatch, attempts=3):
+    monkeypatch.setattr(warehouse, "write_jdbc", database.write)
+    monkeypatch.setattr(warehouse, "count_jdbc", database.count)
+    target = JdbcTarget("jdbc:example:warehouse", "loader", "secret")
+    return warehouse.load_jdbc_warehouse({"a": numbers(spark, 4), "b": numbers(spark, 6)}, target, attempts)
+
+
+def test_jdbc_load(spark, monkeypatch):
+    database = Database()
+    assert load(spark, database, monkeypatch) == {"a": 4, "b": 6}
+    assert database.writes == ["a", "b"]
+
+
+def test_jdbc_load_repeats_a_table_with_rows_left_twice(spark, monkeypatch):
+    database = Database(doubled=["a"])
+    assert load(spark, database, monkeypatch) == {"a": 4, "b": 6}
+    assert database.writes == ["a", "a", "b"]
+    with pytest.raises(RuntimeError, match="not complete"):
+        load(spark, Database(doubled=["a"]), monkeypatch, attempts=1)
+
+
+class Recorder:
+    """Records the calls of a reader or writer chain."""
+
+    def __init__(self):
+        self.format_name, self.settings = None, {}
+
+    def format(self, name):
+        self.format_name = name
+        return self
+
+    def option(self, key, value):
+        self.settings[key] = value
+        return self
+
+    def options(self, **settings):
+        self.settings.update(settings)
+        return self
+
+    def mode(self, mode):
+        return self.option("mode", mode)
+
+    def save(self):
+        return self
+
+    load = save
+
+
+class Holder:
+    def __init__(self):
+        self.write = self.read = self.readStream = Recorder()
+
+
+def test_jdbc_write_call():
+    df, target = Holder(), JdbcTarget("jdbc:example:warehouse", "loader", "secret", truncate=True)
+    write_jdbc(df, "fct_sales", target)
+    assert df.write.format_name == "jdbc"
+    assert df.write.settings == {**target.options(), "dbtable": "fct_sales", "mode": "overwrite"}
+
+
+@pytest.mark.parametrize("read", [messages.read_topic, messages.stream_topic])
+def test_topic_calls(read):
+    spark = Holder()
+    read(spark, "broker:9092", "trends", minPartitions=64)
+    assert spark.read.format_name == "kafka"
+    expected = {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "trends",
+        "startingOffsets": "earliest",
+        "minPartitions": 64,
+    }
+    if read is messages.read_topic:
+        expected["endingOffsets"] = "latest"
+    assert spark.read.settings == expected

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.dates import date_key
+from tillmark.operators.joins import split_key
 
 
 def _invoice_day() -> Column:
@@ -39,7 +40,8 @@ def fct_sales(
     if dates is None:
         date_id = date_key(_invoice_day())
     else:
-        sales = sales.join(dates.select("full_date", "date_id"), _invoice_day() == F.col("full_date"), "left")
+        same_day = split_key(_invoice_day(), F.col("full_date"))
+        sales = sales.join(dates.select("full_date", "date_id"), same_day, "left")
         date_id = F.col("date_id")
     sales = sales.join(geography.select("geo_id"), F.col("CountryID") == F.col("geo_id"), "left")
     return sales.select(

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillmark.operators.joins import split_key
+
 # Fixed value: an outlier lies more than this many standard deviations above the median.
 OUTLIER_DEVIATIONS = 2
 
@@ -58,15 +60,17 @@ def quantity_outliers(
 ) -> DataFrame:
     """Distinct order lines whose quantity is above its product's median plus ``k`` standard deviations.
 
-    Whether a line is an outlier depends on its product and quantity alone. So the histogram rows are judged, and the
-    sales are joined to the few (product, quantity) pairs that were flagged: usually small enough to broadcast, and
-    otherwise a shuffle by both columns, over which the sales of one product spread.
+    The histogram tells which products have an outlier at all, so sales are joined to the limits of those products
+    only: one row per such product, usually small enough for Spark to broadcast. Where it is not, the sales are
+    shuffled by product and Spark splits the partition of a hot product, which joins to a single limit.
     """
-    threshold = F.col("median_quantity") + F.lit(k) * F.col("stddev_quantity")
-    flagged = (
+    limit = F.col("median_quantity") + F.lit(k) * F.col("stddev_quantity")
+    limits = (
         _quantity_levels(df, key, value)
-        .filter(F.col(value) > threshold)
-        .select(F.col(key).alias("flagged_key"), F.col(value).alias("flagged_value"), "median_quantity")
+        .select(F.col(key).alias("limited_key"), F.col(value).alias("level"), "median_quantity", limit.alias("limit"))
+        .filter(F.col("level") > F.col("limit"))
+        .select("limited_key", "median_quantity", "limit")
+        .distinct()
     )
-    same = (F.col(key) == F.col("flagged_key")) & (F.col(value) == F.col("flagged_value"))
-    return df.join(flagged, same).select("CustomerID", "InvoiceNo", key, value, "median_quantity").distinct()
+    beyond = split_key(F.col(key), F.col("limited_key")) & (F.col(value) > F.col("limit"))
+    return df.join(limits, beyond).select("CustomerID", "InvoiceNo", key, value, "median_quantity").distinct()

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillmark.operators.joins import split_key
+
 _REFERENCE_KEY = "_reference_key"
 _LISTED = "_listed"
 
@@ -43,5 +45,5 @@ def split_by_reference(
 def tag_by_reference(df: DataFrame, reference: DataFrame, key: str, flag: str) -> DataFrame:
     """``df`` plus a boolean ``flag``, for jobs that write both sides of the split in one pass over ``df``."""
     keys = reference.select(F.col(key).alias(_REFERENCE_KEY)).distinct().withColumn(_LISTED, F.lit(True))
-    joined = df.join(keys, F.col(key) == F.col(_REFERENCE_KEY), "left")
+    joined = df.join(keys, split_key(F.col(key), F.col(_REFERENCE_KEY)), "left")
     return joined.select(*df.columns, F.coalesce(_LISTED, F.lit(False)).alias(flag))

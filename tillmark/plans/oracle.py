@@ -33,7 +33,8 @@ raw_transactions AS (
 ),
 raw_products AS (
   SELECT CAST(p_partkey AS VARCHAR) AS "StockCode", p_name AS "ProductDescription",
-         CAST(p_retailprice AS VARCHAR) AS "UnitPrice", strftime(o_orderdate, '%Y-%m-%d') AS "Date"
+         CAST(TRY_CAST(p_retailprice AS DECIMAL(10, 2)) AS VARCHAR) AS "UnitPrice",
+         strftime(o_orderdate, '%Y-%m-%d') AS "Date"
   FROM (SELECT DISTINCT l_partkey, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey
         WHERE l_partkey % 20 <> 0) AS days
   JOIN part ON l_partkey = p_partkey
@@ -219,8 +220,6 @@ _REPORT_FILE_COLUMNS = (
 ORACLE: dict[str, str] = {
     "raw_transactions_csv": f"{_RAW} SELECT {_RAW_COLUMNS} FROM raw_transactions",
     "raw_countries_csv": f'{_RAW} SELECT "CountryID", "CountryName" FROM raw_countries',
-    # The price as text differs in form between engines, so it is compared as the text Spark writes: one decimal digit
-    # at least.
     "raw_products_csv": f'{_RAW} SELECT "StockCode", "ProductDescription", "UnitPrice", "Date" FROM raw_products',
     "layer_round_trip": f"{_BRONZE} SELECT * FROM products",
     "layer_append": f"{_BRONZE} SELECT {_PARSED_COLUMNS} FROM parsed",

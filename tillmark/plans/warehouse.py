@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame
 
 from tillmark.operators import dimensions, fact
+from tillmark.sinks.jdbc import JdbcTarget, count_jdbc, write_jdbc
 from tillmark.sinks.metrics import write_counted
 
+Write = Callable[[DataFrame, str], None]
+
 
 def star_schema(transactions: DataFrame, products: DataFrame, countries: DataFrame) -> dict[str, DataFrame]:
     """The five tables of the star schema by name."""
@@ -23,10 +25,23 @@ def star_schema(transactions: DataFrame, products: DataFrame, countries: DataFra
     }
 
 
-def load_warehouse(tables: dict[str, DataFrame], write: Callable[[DataFrame, str], None]) -> dict[str, int]:
+def load_warehouse(tables: dict[str, DataFrame], write: Write) -> dict[str, int]:
     """Write every table once with ``write(df, name)``; returns the rows written per table."""
-    return {name: write_counted(df, partial(_write_as, write, name)) for name, df in tables.items()}
-
-
-def _write_as(write: Callable[[DataFrame, str], None], name: str, df: DataFrame) -> None:
-    write(df, name)
+    return {name: write_counted(df, lambda counted, name=name: write(counted, name)) for name, df in tables.items()}
+
+
+def load_jdbc_warehouse(tables: dict[str, DataFrame], target: JdbcTarget, attempts: int = 3) -> dict[str, int]:
+    """Replace the tables of a database.
+
+    Tasks commit to a database on their own: one that is lost between its commit and its report runs again and leaves
+    its rows twice. So each table is counted there and, if the number is not that of the rows computed, written anew.
+    """
+    counts = {}
+    for name, df in tables.items():
+        for _ in range(attempts):
+            counts[name] = write_counted(df, lambda counted, name=name: write_jdbc(counted, name, target))
+            if count_jdbc(df.sparkSession, name, target) == counts[name]:
+                break
+        else:
+            raise RuntimeError(f"{name} is not complete after {attempts} attempts")
+    return counts

@@ -80,7 +80,7 @@ class StarTables:
         return days.distinct().join(part, F.col("l_partkey") == F.col("p_partkey")).select(
             F.col("l_partkey").cast("string").alias("StockCode"),
             F.col("p_name").alias("ProductDescription"),
-            F.col("p_retailprice").cast("string").alias("UnitPrice"),
+            F.col("p_retailprice").try_cast(parsing.PRICE_TYPE).cast("string").alias("UnitPrice"),
             F.date_format("o_orderdate", parsing.PRICE_DATE_FORMAT).alias("Date"),
         )
 
