@@ -1,9 +1,13 @@
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
-from tillmark import session
+from tillmark import cli, schemas, session
 from tillmark.plans.daily import DailyRun, ingest_transactions, run_daily
+from tillmark.plans.dashboard import dashboard
 from tillmark.plans.snapshot import snapshot
+from tillmark.plans.warehouse import load_warehouse
 from tillmark.sources.layers import read_layer, read_quarantine, read_valid_transactions
 
 COUNTRIES = "CountryID,CountryName\n1101,United Kingdom\n5501,USA\n"
@@ -46,7 +50,9 @@ def test_two_days(spark, run, tmp_path):
 
     # The ingest that runs between daily runs.
     (tmp_path / "raw" / "2.txt").write_text(lines(200, 2, 12))
-    assert ingest_transactions(spark, run) == {"batches": 1, "valid": 11, "quarantine": 1}
+    assert ingest_transactions(spark, run) == {
+        "ingest_batches": 1, "ingest_valid": 11, "ingest_quarantine": 1,
+    }
 
     metrics = run_daily(spark, run)
     assert (metrics["ingest_batches"], metrics["dim_date"], metrics["fct_sales"]) == (0, 2, 33)
@@ -67,11 +73,48 @@ def test_other_gold_sink(spark, run):
         df.write.format("noop").mode("overwrite").save()
         written[name] = df.columns
 
-    metrics = run_daily(spark, run, write)
+    metrics = run_daily(spark, run, lambda tables: load_warehouse(tables, write))
     assert list(written) == ["dim_date", "dim_customers", "dim_products", "dim_geography", "fct_sales"]
     assert metrics["fct_sales"] == 22
 
 
+def test_dashboard(spark, run):
+    run_daily(spark, run)
+    tables = dashboard(spark, run.gold)
+    assert [tuple(row) for row in tables["sales_by_country"].collect()] == [("United Kingdom", Decimal("11332.50"))]
+    totals = {name: df.agg(F.sum("total_sales")).first()[0] for name, df in tables.items()}
+    assert len(set(totals.values())) == 1 and len(totals) == 4
+
+
+def command(*words):
+    return cli.main([str(word) for word in words])
+
+
+def test_commands(spark, run, tmp_path, capsys):
+    lake = ["--lake", run.lake]
+    raw = ["--raw-countries", run.raw_countries, "--raw-products", run.raw_products]
+    assert command("dimensions", *lake, *raw) == {"countries": 2, "products": 4}
+    assert command("ingest", *lake, "--raw-transactions", run.raw_transactions)["ingest_valid"] == 22
+    assert command("warehouse", *lake) == {
+        "dim_date": 1, "dim_customers": 1, "dim_products": 2, "dim_geography": 2, "fct_sales": 22,
+        "outliers": 1, "invalid_countries": 0,
+    }
+    again = command("daily", *lake, *raw, "--raw-transactions", run.raw_transactions)
+    assert (again["ingest_batches"], again["fct_sales"]) == (0, 22)
+    command("dashboard", *lake)
+    assert "United Kingdom" in capsys.readouterr().out
+
+    message_rows = [(None, text.encode(), "t", 0, i, None, 0) for i, text in enumerate(["a cake", "cake", "mug cosy"])]
+    spark.createDataFrame(message_rows, schemas.MESSAGES).write.parquet(str(tmp_path / "messages"))
+    for mode in ([], ["--stream"]):
+        assert command("trends", *lake, "--archive", tmp_path / "messages", *mode) == {"trending_products": 2}
+    trending = read_layer(spark, "trending_products", run.gold).collect()
+    assert [row["count"] for row in trending] == [2, 1]
+
+    counts = command("snapshot", *lake, "--destination", tmp_path / "backups")
+    assert counts == {"countries": 2, "products": 4, "transactions": 22, "quarantine": 2}
+
+
 def test_snapshot(spark, run, tmp_path):
     run_daily(spark, run)
     tables = {

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmark.operators import alerts, bronze, outliers
+from tillmark.operators import alerts, bronze, dimensions, outliers
 from tillmark.operators.reference_check import missing_reference
 from tillmark.plans.warehouse import load_warehouse, star_schema
 from tillmark.sinks.layers import write_layer
@@ -17,15 +17,25 @@ from tillmark.sources.layers import read_layer, read_valid_transactions
 from tillmark.streaming.ingest import ingest_new_files
 
 
+Load = Callable[[dict[str, DataFrame]], dict[str, int]]
+
+#: How much raw data one batch of the ingest takes at most, so that a failure repeats no more than that.
+BATCH_BYTES = 1 << 40
+
+
 @dataclass(frozen=True)
 class DailyRun:
-    """Folders of a run. All but the raw files are written; ``lake`` must be shared by all executors."""
+    """Folders of a run. All but the raw files are written; ``lake`` must be shared by all executors.
+
+    ``source_options`` are those of Spark's file source; for a folder that keeps growing, ``cleanSource`` moves files
+    away once they are stored, which keeps listing it cheap.
+    """
 
     raw_transactions: str
     raw_countries: str
     raw_products: str
     lake: str
-    source_options: dict[str, str | int] = field(default_factory=dict)
+    source_options: dict[str, str | int] = field(default_factory=lambda: {"maxBytesPerTrigger": BATCH_BYTES})
 
     @property
     def transactions(self) -> str:
@@ -56,14 +66,31 @@ def refresh_dimensions(spark: SparkSession, run: DailyRun) -> dict[str, int]:
 def ingest_transactions(spark: SparkSession, run: DailyRun) -> dict[str, int]:
     """Store the raw files that came since the last call; also the job to run between daily runs."""
     raw = files.stream_transactions(spark, run.raw_transactions, **run.source_options)
-    return ingest_new_files(raw, read_layer(spark, "countries", run.lake), run.transactions, run.checkpoint)
+    counts = ingest_new_files(raw, read_layer(spark, "countries", run.lake), run.transactions, run.checkpoint)
+    return {f"ingest_{name}": count for name, count in counts.items()}
+
 
+def stored_star(spark: SparkSession, run: DailyRun) -> dict[str, DataFrame]:
+    """The star schema over the bronze layers."""
+    return star_schema(
+        read_valid_transactions(spark, run.transactions),
+        read_layer(spark, "products", run.lake),
+        read_layer(spark, "countries", run.lake),
+    )
 
-def write_reports(spark: SparkSession, run: DailyRun, tables: dict[str, DataFrame]) -> dict[str, int]:
+
+def refresh_gold(spark: SparkSession, run: DailyRun, load: Load | None = None) -> dict[str, int]:
+    """Write the star schema anew: to Parquet, or with ``load`` to wherever that puts it."""
+    tables = stored_star(spark, run)
+    return load(tables) if load else load_warehouse(tables, lambda df, name: write_layer(df, name, run.gold))
+
+
+def write_reports(spark: SparkSession, run: DailyRun) -> dict[str, int]:
     """Write both reports and the digest. The outliers are computed once and read back for the text report."""
     transactions = read_valid_transactions(spark, run.transactions)
+    geography = dimensions.dim_geography(read_layer(spark, "countries", run.lake))
     found = outliers.quantity_outliers(transactions)
-    invalid = missing_reference(transactions, tables["dim_geography"], "CountryID", "geo_id")
+    invalid = missing_reference(transactions, geography, "CountryID", "geo_id")
     counts = load_warehouse(
         {"outliers": found, "invalid_countries": invalid.select(*alerts.INVALID_COUNTRY_COLUMNS)},
         lambda df, name: write_layer(df, name, run.reports),
@@ -75,17 +102,11 @@ def write_reports(spark: SparkSession, run: DailyRun, tables: dict[str, DataFram
     return counts
 
 
-def run_daily(
-    spark: SparkSession, run: DailyRun, write_gold: Callable[[DataFrame, str], None] | None = None
-) -> dict[str, int]:
-    """All steps in order; returns rows written per table. Gold goes to Parquet unless ``write_gold`` says otherwise."""
-    metrics = refresh_dimensions(spark, run)
-    metrics.update({f"ingest_{name}": count for name, count in ingest_transactions(spark, run).items()})
-    tables = star_schema(
-        read_valid_transactions(spark, run.transactions),
-        read_layer(spark, "products", run.lake),
-        read_layer(spark, "countries", run.lake),
-    )
-    metrics.update(load_warehouse(tables, write_gold or (lambda df, name: write_layer(df, name, run.gold))))
-    metrics.update(write_reports(spark, run, tables))
-    return metrics
+def run_daily(spark: SparkSession, run: DailyRun, load: Load | None = None) -> dict[str, int]:
+    """All steps in order; returns the rows written per table."""
+    return {
+        **refresh_dimensions(spark, run),
+        **ingest_transactions(spark, run),
+        **refresh_gold(spark, run, load),
+        **write_reports(spark, run),
+    }
