@@ -19,12 +19,15 @@ def test_invoice_timestamp(spark):
 
 
 @pytest.mark.parametrize(
-    "position, expected",
-    [(0, ["1101", "1101", "1101", "", "", None]), (1, ["1", None, "2", "3", None, None])],
+    "expression, expected",
+    [
+        (parsing.country_id, ["1101", "1101", "1101", "1101", "", "", None]),
+        (parsing.region_id, ["1", None, "2", "", "3", None, None]),
+    ],
 )
-def test_country_part(spark, position, expected):
-    values = ["1101-1", "1101", "1101-2-9", "-3", "", None]
-    assert evaluate(spark, values, lambda c: parsing.country_part(c, position)) == expected
+def test_country_parts(spark, expression, expected):
+    values = ["1101-1", "1101", "1101-2-9", "1101-", "-3", "", None]
+    assert evaluate(spark, values, expression) == expected
 
 
 def test_unit_price(spark):

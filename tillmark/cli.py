@@ -27,6 +27,8 @@ from tillmark.sources.layers import read_layer, read_quarantine, read_valid_tran
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="run.py", description=__doc__.splitlines()[0])
     commands = parser.add_subparsers(dest="command", required=True)
+    required = {"lake", "raw-transactions", "raw-countries", "raw-products", "destination"}
+    jdbc = ("jdbc-url", "jdbc-driver")
 
     def command(name: str, text: str, *options: str) -> None:
         sub = commands.add_parser(name, help=text)
@@ -36,8 +38,6 @@ def _parser() -> argparse.ArgumentParser:
             else:
                 sub.add_argument(f"--{option}", required=option in required)
 
-    required = {"lake", "raw-transactions", "raw-countries", "raw-products", "destination"}
-    jdbc = ("jdbc-url", "jdbc-driver")
     command("dimensions", "refresh countries and products", "raw-countries", "raw-products")
     command("ingest", "store new transaction files", "raw-transactions")
     command("warehouse", "refresh the star schema and the reports", *jdbc)
@@ -63,14 +63,12 @@ def _trends(spark: SparkSession, options: argparse.Namespace, gold: str) -> dict
         else:
             write_layer(df, name, gold)
 
-    if options.archive:
-        source, arguments = "archive", (options.archive,)
-    else:
-        source, arguments = "topic", (options.servers, options.topic)
+    archive, topic = options.archive, (options.servers, options.topic)
     if not options.stream:
-        return trending.refresh_trends(getattr(messages, f"read_{source}")(spark, *arguments), write)
-    stream = getattr(messages, f"stream_{source}")(spark, *arguments)
-    trending.follow_trends(stream, write, f"{options.lake}/checkpoints/trends")
+        log = messages.read_archive(spark, archive) if archive else messages.read_topic(spark, *topic)
+        return trending.refresh_trends(log, write)
+    log = messages.stream_archive(spark, archive) if archive else messages.stream_topic(spark, *topic)
+    trending.follow_trends(log, write, f"{options.lake}/checkpoints/trends")
     return {} if target else {trending.TABLE: read_layer(spark, trending.TABLE, gold).count()}
 
 

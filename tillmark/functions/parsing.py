@@ -16,9 +16,14 @@ def invoice_timestamp(invoice_date: Column) -> Column:
     return F.try_to_timestamp(invoice_date, F.lit(INVOICE_DATE_FORMAT))
 
 
-def country_part(country: Column, position: int) -> Column:
-    """Part ``position`` (from 0) of ``<country>-<region>``; NULL where the text has no such part."""
-    return F.get(F.split(country, COUNTRY_SEPARATOR), F.lit(position))
+def country_id(country: Column) -> Column:
+    """The country of ``<country>-<region>``: all text before the first separator."""
+    return F.substring_index(country, COUNTRY_SEPARATOR, 1)
+
+
+def region_id(country: Column) -> Column:
+    """The region of ``<country>-<region>``: the second part, NULL where there is none. Further parts are ignored."""
+    return F.get(F.split(country, COUNTRY_SEPARATOR), F.lit(1))
 
 
 def unit_price(price: Column) -> Column:

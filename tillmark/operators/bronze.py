@@ -13,8 +13,8 @@ def parse_transactions(raw: DataFrame) -> DataFrame:
     return raw.withColumns(
         {
             "InvoiceTimestamp": parsing.invoice_timestamp(F.col("InvoiceDate")),
-            "CountryID": parsing.country_part(F.col("Country"), 0),
-            "RegionID": parsing.country_part(F.col("Country"), 1),
+            "CountryID": parsing.country_id(F.col("Country")),
+            "RegionID": parsing.region_id(F.col("Country")),
         }
     )
 
