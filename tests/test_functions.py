@@ -30,6 +30,12 @@ def test_country_parts(spark, expression, expected):
     assert evaluate(spark, values, expression) == expected
 
 
+def test_whole_number(spark):
+    values = ["17850", "17850.0", "12.9", "-3", " 7 ", "x", "1.x", "1e3", "", "99999999999", None]
+    expected = [17850, 17850, 12, -3, 7, None, None, None, None, None, None]
+    assert evaluate(spark, values, parsing.whole_number) == expected
+
+
 def test_unit_price(spark):
     values = ["12.34", "12.345", "12.344", "-1.005", "x", "123456789.1", "99999999.99", "", None]
     expected = [

@@ -110,6 +110,7 @@ class Database:
 
     def write(self, df, table, target):
         self.writes.append(table)
+        assert df.rdd.getNumPartitions() == target.num_partitions
         self.rows[table] = len(df.collect())
 
     def count(self, spark, table, target):

@@ -75,6 +75,14 @@ def test_many_batches(shop):
     assert shop.stored() == shop.expected()
 
 
+def test_batches_bounded_by_size(shop):
+    for i in range(5):
+        shop.add(f"{i}.txt", FIRST + SECOND)
+    counts = shop.ingest(maxBytesPerTrigger=2 * len(FIRST + SECOND))
+    assert (counts["batches"], counts["valid"], counts["quarantine"]) == (3, 15, 10)
+    assert shop.stored() == shop.expected()
+
+
 def test_batch_that_failed_after_its_write(shop, monkeypatch):
     shop.add("1.txt", FIRST)
     whole = ingest.store_batch

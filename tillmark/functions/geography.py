@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillmark.functions.parsing import whole_number
+
 # Continent ids (the first two digits of a country id) and their names.
 CONTINENTS = {
     11: "Europe",
@@ -21,7 +23,7 @@ UNKNOWN_CONTINENT = "Unknown"
 
 
 def continent_id(country_id: Column) -> Column:
-    return F.substring(country_id, 1, 2).try_cast("int")
+    return whole_number(F.substring(country_id, 1, 2))
 
 
 def continent_name(continent: Column) -> Column:

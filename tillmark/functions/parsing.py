@@ -26,6 +26,11 @@ def region_id(country: Column) -> Column:
     return F.get(F.split(country, COUNTRY_SEPARATOR), F.lit(1))
 
 
+def whole_number(text: Column) -> Column:
+    """Text as an int, without its decimals ("17850.0" is 17850); NULL for text that is no number or does not fit."""
+    return F.regexp_replace(text, r"\.[0-9]*$", "").try_cast("int")
+
+
 def unit_price(price: Column) -> Column:
     """Rounds half up to two decimals; NULL for text that is no number or does not fit."""
     return price.try_cast(PRICE_TYPE)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.dates import date_key
+from tillmark.functions.parsing import whole_number
 
 
 def dim_date(transactions: DataFrame) -> DataFrame:
@@ -28,7 +29,7 @@ def dim_date(transactions: DataFrame) -> DataFrame:
 def dim_customers(transactions: DataFrame) -> DataFrame:
     """One row per customer: the raw id and its int form (NULL where it is not numeric)."""
     customers = transactions.select("CustomerID").distinct()
-    return customers.withColumn("customer_id", F.col("CustomerID").try_cast("int"))
+    return customers.withColumn("customer_id", whole_number(F.col("CustomerID")))
 
 
 def dim_products(products: DataFrame) -> DataFrame:

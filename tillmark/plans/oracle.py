@@ -84,7 +84,7 @@ dim_date AS (
   FROM (SELECT DISTINCT CAST("InvoiceTimestamp" AS DATE) AS full_date FROM valid) AS days
 ),
 dim_customers AS (
-  SELECT DISTINCT "CustomerID", TRY_CAST("CustomerID" AS INTEGER) AS customer_key FROM valid
+  SELECT DISTINCT "CustomerID", TRY_CAST("CustomerID" AS INTEGER) AS customer_id FROM valid
 ),
 dim_products AS (
   SELECT DISTINCT "StockCode" AS product_id, "ProductDescription" AS description FROM products
@@ -235,8 +235,7 @@ SELECT "CountryID" IN (SELECT "CountryID" FROM countries) AS is_valid, "CountryI
        CAST(sum("Quantity") AS BIGINT) AS quantity
 FROM parsed GROUP BY 1, 2""",
     "dim_date": f"{_GOLD} SELECT * FROM dim_date",
-    # Named in two steps because the two column names differ in case alone.
-    "dim_customers": f'{_GOLD} SELECT "CustomerID", customer_key AS customer_id FROM dim_customers',
+    "dim_customers": f"{_GOLD} SELECT * FROM dim_customers",
     "dim_products": f"{_GOLD} SELECT * FROM dim_products",
     "dim_geography": f"{_GOLD} SELECT * FROM dim_geography",
     "fct_sales": f"{_GOLD} {_FACT}",

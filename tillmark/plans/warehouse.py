@@ -33,13 +33,17 @@ def load_warehouse(tables: dict[str, DataFrame], write: Write) -> dict[str, int]
 def load_jdbc_warehouse(tables: dict[str, DataFrame], target: JdbcTarget, attempts: int = 3) -> dict[str, int]:
     """Replace the tables of a database.
 
+    Each table is spread over as many tasks as there may be connections by a shuffle of its own. Left to itself the
+    JDBC writer would merge partitions instead, and with them the tasks of the join that computes the fact.
+
     Tasks commit to a database on their own: one that is lost between its commit and its report runs again and leaves
     its rows twice. So each table is counted there and, if the number is not that of the rows computed, written anew.
     """
     counts = {}
     for name, df in tables.items():
+        spread = df.repartition(target.num_partitions)
         for _ in range(attempts):
-            counts[name] = write_counted(df, lambda counted, name=name: write_jdbc(counted, name, target))
+            counts[name] = write_counted(spread, lambda counted, name=name: write_jdbc(counted, name, target))
             if count_jdbc(df.sparkSession, name, target) == counts[name]:
                 break
         else:
