@@ -111,9 +111,20 @@ def test_hot_product_is_split_among_limits(small_splits, bronze, capsys):
 
 
 @pytest.mark.parametrize("check", [reference_check.in_reference, reference_check.missing_reference])
-def test_hot_country_is_split(small_splits, bronze, capsys, check):
+@pytest.mark.parametrize("aggregated", [False, True])
+def test_hot_country_is_split(small_splits, bronze, capsys, check, aggregated):
     transactions, _, nations = bronze
-    assert SPLIT in final_plan(check(transactions, nations, "CountryID"), capsys)
+    reference = nations.select("CountryID").distinct() if aggregated else nations
+    assert SPLIT in final_plan(check(transactions, reference, "CountryID"), capsys)
+
+
+def test_hot_price_is_split_with_aggregated_prices(small_splits, bronze, capsys):
+    transactions, products, nations = bronze
+    highest = products.groupBy("StockCode", "Date").agg(F.max("UnitPrice").alias("UnitPrice"))
+    geography = dimensions.dim_geography(nations).groupBy("geo_id").agg(F.max("country"))
+    sold = fact.fct_sales(transactions, highest, geography)
+    assert final_plan(sold, capsys).count(SPLIT) == 2
+    assert sold.count() == 60_000
 
 
 def test_hot_country_is_split_when_tagged(small_splits, bronze, capsys):

@@ -20,7 +20,7 @@ def _daily_prices(products: DataFrame) -> DataFrame:
 
 
 def _same_product_and_day() -> Column:
-    return (F.col("StockCode") == F.col("price_product")) & (_invoice_day() == F.col("price_day"))
+    return split_key(F.col("StockCode"), F.col("price_product")) & (_invoice_day() == F.col("price_day"))
 
 
 def fct_sales(
@@ -43,7 +43,7 @@ def fct_sales(
         same_day = split_key(_invoice_day(), F.col("full_date"))
         sales = sales.join(dates.select("full_date", "date_id"), same_day, "left")
         date_id = F.col("date_id")
-    sales = sales.join(geography.select("geo_id"), F.col("CountryID") == F.col("geo_id"), "left")
+    sales = sales.join(geography.select("geo_id"), split_key(F.col("CountryID"), F.col("geo_id")), "left")
     return sales.select(
         F.concat("InvoiceNo", F.lit("-"), "StockCode").alias("sale_id"),
         F.col("InvoiceNo").alias("invoice_no"),

@@ -19,7 +19,7 @@ _LISTED = "_listed"
 def _existence_join(df: DataFrame, reference: DataFrame, key: str, reference_key: str | None, how: str) -> DataFrame:
     # A renamed key and a plain condition keep the column order of df; a USING join would move the key to the front.
     keys = reference.select(F.col(reference_key or key).alias(_REFERENCE_KEY))
-    return df.join(keys, F.col(key) == F.col(_REFERENCE_KEY), how)
+    return df.join(keys, split_key(F.col(key), F.col(_REFERENCE_KEY)), how)
 
 
 def in_reference(df: DataFrame, reference: DataFrame, key: str, reference_key: str | None = None) -> DataFrame:
