@@ -6,9 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillmark.llm import sharding, url_filter
+from tillmark.llm import bpe, sharding, token_files, url_filter
 from tillmark.session import scratch_path
 
+#: The vocabulary of the token queries, by its name among the public tokenizers.
+VOCABULARY = "word_bpe_49k.json"
+
+#: The id that ends each document in the token files.
+END_ID = 2
+
 SHARDS = 40
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +29,24 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+@_query
+def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip_digests(_table(spark, folder, "documents"), vocabulary_path())
+
+
+@_query
+def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    target = scratch_path(spark, "token-files")
+    token_files.write_tokens(_table(spark, folder, "documents"), vocabulary_path(), target, END_ID)
+    return token_files.read_tokens(spark, target)
+
+
 @_query
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     rules = url_filter.rules_frame(spark, url_filter.DEFAULT_RULES)
