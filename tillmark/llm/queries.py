@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillmark.llm import bpe, sharding, token_files, url_filter
+from tillmark.llm import bpe, language, quality, sharding, token_files, url_filter
+from tillmark.llm.rows import held_out
 from tillmark.session import scratch_path
 
 #: The vocabulary of the token queries, by its name among the public tokenizers.
@@ -53,7 +55,20 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.filter_urls(_table(spark, folder, "pages"), rules)
 
 
+@_query
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    return quality.judge(documents, quality.train(documents, _table(spark, folder, "labels")))
+
+
 @_query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     return sharding.assign_shards(documents, SHARDS, scratch_path(spark, "slot-map"))
+
+
+@_query
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    labelled = language.label_spans(documents, language.train(documents))
+    return labelled.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
