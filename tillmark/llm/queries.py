@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import bpe, language, quality, sharding, token_files, url_filter
+from tillmark.llm import bpe, language, quality, sharding, token_files, toxicity, url_filter
 from tillmark.llm.rows import held_out
 from tillmark.session import scratch_path
 
@@ -42,6 +42,18 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(_table(spark, folder, "documents"), vocabulary_path())
 
 
+@_query
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    scored = toxicity.score(documents, toxicity.train(documents, _table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 @_query
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     target = scratch_path(spark, "token-files")

@@ -81,10 +81,12 @@ def blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         at = end
 
 
-def words(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(
+    data: np.ndarray, first: np.ndarray, separator: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and the number of the first word of each document (one more at the end)."""
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~SPACE[data]
+    inside[1:-1] = ~separator[data]
     border = np.zeros(len(data) + 1, bool)
     border[first] = True
     before, after = inside[:-1], inside[1:]
