@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import bpe, language, quality, sharding, token_files, toxicity, url_filter
+from tillmark.llm import bpe, decontaminate, language, quality, sharding, token_files, toxicity, url_filter
 from tillmark.llm.rows import held_out
 from tillmark.session import scratch_path
 
@@ -42,6 +42,11 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.round_trip_digests(_table(spark, folder, "documents"), vocabulary_path())
 
 
+@_query
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 @_query
 def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
