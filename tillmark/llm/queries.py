@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import bpe, decontaminate, language, quality, sharding, token_files, toxicity, url_filter
+from tillmark.llm import bpe, decontaminate, language, ngram_join, quality, sharding, token_files, toxicity, url_filter
 from tillmark.llm.rows import held_out
 from tillmark.session import scratch_path
 
@@ -89,3 +89,8 @@ def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     labelled = language.label_spans(documents, language.train(documents))
     return labelled.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.link(_table(spark, folder, "documents"))
