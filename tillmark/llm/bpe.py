@@ -21,10 +21,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Entries that each task's tables of remembered chunks, pieces and pairs hold at most.
-REMEMBERED = 400_000
+from tillmark.llm.rows import slices
+
+#: Entries that each worker's tables of remembered chunks, pieces and pairs of tokens hold at most.
+REMEMBERED = 250_000
 
 ENCODED = "doc_id long, ids binary"
+DECODED = f"{ENCODED}, text string"
 
 #: Chunks of ASCII and precomposed Latin letters; normalising them means to lower their case.
 _PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-įĲ-ňŊ-ž]+")
@@ -134,7 +137,9 @@ class PrefixEncoder:
                 self.automaton.add_word(text[n], (len(text[n]), n))
         self.automaton.make_automaton()
         self.whole = {text[n]: n for n in range(len(text)) if sound[n]}
-        self.compatible = Remembering(lambda pair: self._apart(*pair, len(text)))
+        #: A pair of tokens is one number.
+        self.compatible = Remembering(lambda pair: self._apart(*divmod(pair, len(text)), len(text)))
+        self.count = len(text)
 
     def _apart(self, left: int, right: int, limit: int) -> bool:
         """Whether no merge of a rank below ``limit`` would have joined symbols across the border of two tokens."""
@@ -160,11 +165,11 @@ class PrefixEncoder:
             return [self.identifier[known]]
         last: list[int] = [-1] * (len(symbols) + 1)
         length_of: list[int] = [0] * (len(symbols) + 1)
-        compatible = self.compatible
+        compatible, count = self.compatible, self.count
         for end, (length, token) in self.automaton.iter(symbols):
             if last[end + 1] < 0:
                 start = end + 1 - length
-                if start == 0 or compatible[(last[start], token)]:
+                if start == 0 or compatible[last[start] * count + token]:
                     last[end + 1], length_of[end + 1] = token, length
         found, place = [], len(symbols)
         while place:
@@ -220,6 +225,24 @@ def read_vocabulary(path: str) -> str:
         return file.read()
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], content: str) -> Iterator[pa.RecordBatch]:
+    encoder = built(prefix_text_encoder, content)
+    for batch in slices(batches):
+        packed = [encoder.packed(text) for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "ids"])
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], content: str) -> Iterator[pa.RecordBatch]:
+    texts = built(token_texts, content)
+    for batch in slices(batches):
+        decoded = [
+            " ".join([texts[n] for n in np.frombuffer(packed or b"", "<u4").tolist()])
+            for packed in batch.column("ids").to_pylist()
+        ]
+        columns = [batch.column("doc_id"), batch.column("ids"), pa.array(decoded, pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "text"])
+
+
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id and ids (packed: little-endian unsigned 32-bit integers) of every row of ``docs`` (doc_id, text).
 
@@ -227,14 +250,9 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     goes in. Other columns are ignored. ``vocabulary`` is the path of the vocabulary file on the driver.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = built(prefix_text_encoder, shared.value)
-        for batch in batches:
-            packed = [encoder.packed(text) for text in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(packed, pa.binary())], ["doc_id", "ids"])
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ENCODED)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        lambda batches: _encoded(batches, shared.value), ENCODED
+    )
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
@@ -243,18 +261,15 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     The vocabulary names no decoder, so the marks of word ends stay. No ids, or NULL, give an empty text.
     """
     shared = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+    return encoded.select("doc_id", "ids").mapInArrow(lambda batches: _decoded(batches, shared.value), DECODED)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts = built(token_texts, shared.value)
-        for batch in batches:
-            decoded = [
-                " ".join([texts[n] for n in np.frombuffer(packed or b"", "<u4").tolist()])
-                for packed in batch.column("ids").to_pylist()
-            ]
-            columns = [batch.column("doc_id"), batch.column("ids"), pa.array(decoded, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"{ENCODED}, text string")
+def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """``decode(encode(docs))`` within the same tasks: doc_id, ids, text."""
+    shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+        lambda batches: _decoded(_encoded(batches, shared.value), shared.value), DECODED
+    )
 
 
 def n_tokens(packed: Column) -> Column:
@@ -263,8 +278,7 @@ def n_tokens(packed: Column) -> Column:
 
 def round_trip_digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of each document, encoded and decoded again."""
-    decoded = decode(encode(docs, vocabulary), vocabulary)
-    return decoded.select(
+    return round_trip(docs, vocabulary).select(
         "doc_id",
         n_tokens(F.col("ids")).alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

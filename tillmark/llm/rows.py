@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,3 +29,11 @@ def chunks(items: Iterable[T], size: int) -> Iterator[list[T]]:
             chunk = []
     if chunk:
         yield chunk
+
+
+def slices(batches: Iterable[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes, so that what is made of one stays small."""
+    for batch in batches:
+        step = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillmark.llm.bpe import Splitter, TextEncoder, built, read_vocabulary
-from tillmark.llm.rows import chunks
+from tillmark.llm.rows import chunks, slices
 
 WRITTEN = "place int, name string, width int, documents long, without_id long, tokens long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
@@ -70,7 +70,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end: int) -> Dat
         offsets, keys, without_id, tokens = [np.zeros(1, "<i8")], [], 0, 0
         ending = np.array([end], "<u4").tobytes()
         with system.open_output_stream(f"{root}/{name}.ids") as file:
-            for batch in batches:
+            for batch in slices(batches):
                 packed = [encoder.packed(text) + ending for text in batch.column("text").to_pylist()]
                 lengths = np.fromiter(map(len, packed), "<i8", len(packed)) // 4
                 file.write(np.frombuffer(b"".join(packed), "<u4").astype(f"<u{width}").tobytes())
