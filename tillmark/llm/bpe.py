@@ -23,8 +23,11 @@ from pyspark.sql import functions as F
 
 from tillmark.llm.rows import slices
 
-#: Entries that each worker's tables of remembered chunks, pieces and pairs of tokens hold at most.
-REMEMBERED = 250_000
+#: Entries that each worker's tables of remembered chunks and of remembered pieces hold at most.
+REMEMBERED = 400_000
+
+#: Pairs of tokens that each worker remembers at most.
+REMEMBERED_PAIRS = 200_000
 
 ENCODED = "doc_id long, ids binary"
 DECODED = f"{ENCODED}, text string"
@@ -138,7 +141,7 @@ class PrefixEncoder:
         self.automaton.make_automaton()
         self.whole = {text[n]: n for n in range(len(text)) if sound[n]}
         #: A pair of tokens is one number.
-        self.compatible = Remembering(lambda pair: self._apart(*divmod(pair, len(text)), len(text)))
+        self.compatible = Remembering(lambda pair: self._apart(*divmod(pair, len(text)), len(text)), REMEMBERED_PAIRS)
         self.count = len(text)
 
     def _apart(self, left: int, right: int, limit: int) -> bool:
