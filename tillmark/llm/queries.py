@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.llm import bpe, decontaminate, language, ngram_join, quality, sharding, token_files, toxicity, url_filter
+from tillmark.llm import bpe, decontaminate, language, ngram_join, quality, sharding, suffix_dedup, token_files, toxicity, url_filter
 from tillmark.llm.rows import held_out
 from tillmark.session import scratch_path
 
@@ -78,6 +78,11 @@ def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judge(documents, quality.train(documents, _table(spark, folder, "labels")))
 
 
+@_query
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, folder, "documents"))
+
+
 @_query
 def op8_sharding(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
