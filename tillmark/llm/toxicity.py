@@ -19,7 +19,7 @@ from tillmark.llm import textbytes
 from tillmark.llm.rows import held_out
 
 #: Labelled documents of each label that the model learns from, about (a hash of the id below a threshold chooses them).
-TRAINING_DOCUMENTS = 6000
+TRAINING_DOCUMENTS = 4000
 
 #: Tasks that count features of those documents; fixed, as the sample is.
 TRAINING_TASKS = 8
@@ -29,7 +29,7 @@ WIDTHS = (4, 5, 6)
 BUCKETS = 1 << 18
 
 #: N-grams that the model has weights for: those that toxic documents have most in excess.
-FEATURES = 4096
+FEATURES = 512
 
 #: Sentences at least this likely to be toxic are returned as offending.
 OFFENDING = 0.5
@@ -141,7 +141,9 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAINING_DOCUMENT
     rate = {label: min(1.0, per_label / total) for label, total in totals.items()}
     threshold = F.when(F.col("toxic") == 1, F.lit(int(rate[1] * steps))).otherwise(F.lit(int(rate[0] * steps)))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(steps)) < threshold)
-    sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id").select("text", "toxic")
+    # Bounded: an id and a label for each document of the sample.
+    sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
+    sample = sample.select("text", "toxic")
     sample = sample.repartition(TRAINING_TASKS).persist()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
