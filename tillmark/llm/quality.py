@@ -163,11 +163,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Field:
     used. Rows with a NULL in any of these columns are left out. Where one of the two kinds is missing the result
     takes every line for content.
     """
-    labelled = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    labelled = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id")
+    labelled = labelled.agg(F.max("quality").alias("quality"))
     total = labelled.count()
     share = min(1.0, TRAINING_DOCUMENTS / max(1, total))
     chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(chosen, "doc_id")
+    # Bounded: an id and a label for each document of the sample.
+    sample = docs.select("doc_id", "text").where("text IS NOT NULL").join(F.broadcast(chosen), "doc_id")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
