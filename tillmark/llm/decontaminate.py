@@ -154,28 +154,44 @@ def _compare(
             yield int(i), matched, matched / (end - begin)
 
 
+def _found(texts: pa.Array, seeds: Seeds, coverage: float) -> Iterator[tuple[int, int, int, float]]:
+    """Row, item, matched tokens and coverage of each leak in a column of texts."""
+    for at, _, data, first in textbytes.blocks(texts):
+        hashes, first_token = tokens(data, first)
+        runs = textbytes.shingles(hashes, LEAST_TILE)
+        if not len(runs) or not len(seeds.known):
+            continue
+        document = textbytes.owner(first_token)
+        known = seeds.known[np.minimum(np.searchsorted(seeds.known, runs), len(seeds.known) - 1)] == runs
+        hits = np.flatnonzero(known & (document[: len(runs)] == document[LEAST_TILE - 1 :]))
+        for some in np.split(hits, np.flatnonzero(np.diff(document[hits])) + 1):
+            if len(some):
+                for found in _compare(seeds, hashes, runs, some, coverage):
+                    yield (at + int(document[some[0]]), *found)
+
+
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
+    """The items in blocks of about ``BENCHMARK_BYTES`` bytes."""
+    items = benchmark.select(F.col("item_id").cast("long"), "text").where("text IS NOT NULL")
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    passes = max(1, -(-size // BENCHMARK_BYTES))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
+    for n in range(passes):
+        yield [(row["item_id"], row["text"]) for row in items.where(part == n).collect()]
+
+
 def _leaks_of_block(docs: DataFrame, rows: list[tuple[int | None, str]], coverage: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(rows)
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seeds = Seeds(shared.value)
         for batch in batches:
             ids = batch.column("doc_id")
-            found = []
-            for at, _, data, first in textbytes.blocks(batch.column("text")):
-                hashes, first_token = tokens(data, first)
-                runs = textbytes.shingles(hashes, LEAST_TILE)
-                if not len(runs) or not len(seeds.known):
-                    continue
-                document = textbytes.owner(first_token)
-                known = seeds.known[np.minimum(np.searchsorted(seeds.known, runs), len(seeds.known) - 1)] == runs
-                hits = np.flatnonzero(known & (document[: len(runs)] == document[LEAST_TILE - 1 :]))
-                for some in np.split(hits, np.flatnonzero(np.diff(document[hits])) + 1):
-                    if len(some):
-                        doc_id = ids[at + int(document[some[0]])].as_py()
-                        for item, matched, share in _compare(seeds, hashes, runs, some, coverage):
-                            found.append((doc_id, seeds.ids[item], matched, share))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+            found = [
+                (ids[row].as_py(), seeds.ids[item], matched, share)
+                for row, item, matched, share in _found(batch.column("text"), seeds, coverage)
+            ]
             columns = [pa.array([row[k] for row in found], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "matched_tokens", "coverage"])
 
@@ -193,12 +209,23 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     The benchmark goes to the tasks in blocks of about ``BENCHMARK_BYTES`` bytes, one pass over the documents each, so
     what is broadcast doesn't grow with it.
     """
-    items = benchmark.select(F.col("item_id").cast("long"), "text").where("text IS NOT NULL")
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    passes = max(1, -(-size // BENCHMARK_BYTES))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
-    found = []
-    for n in range(passes):
-        rows = [(row["item_id"], row["text"]) for row in items.where(part == n).collect()]
-        found.append(_leaks_of_block(docs, rows, coverage))
-    return reduce(DataFrame.unionAll, found)
+    return reduce(DataFrame.unionAll, [_leaks_of_block(docs, rows, coverage) for rows in _blocks(benchmark)])
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that contain no item of the benchmark; see ``leaks``.
+
+    No row is moved between tasks. Of a larger benchmark each block goes over what the one before it left.
+    """
+    for rows in _blocks(benchmark):
+        shared = docs.sparkSession.sparkContext.broadcast(rows)
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            seeds = Seeds(shared.value)
+            for batch in batches:
+                kept = np.ones(batch.num_rows, bool)
+                kept[[row for row, *_ in _found(batch.column("text"), seeds, coverage)]] = False
+                yield batch.filter(pa.array(kept))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -42,6 +42,9 @@ WRONG_SCRIPT = -20.0
 
 UNDETERMINED = "und"
 
+#: Documents in which no language has this share of the letters are a mixture, which filtering drops.
+LEAST_SCORE = 0.5
+
 LABELLED = "doc_id long, lang_pred string, score double"
 SPANS = "spans array<struct<start: long, end: long, lang: string>>"
 
@@ -177,6 +180,50 @@ def word_scores(words: Words, model: Model) -> np.ndarray:
     return np.where((words.letters > 0)[:, None], scores, np.float32(0))
 
 
+@dataclass
+class _Labelled:
+    """What is found for rows ``at`` to ``at + n`` of a batch."""
+
+    at: int
+    n: int
+    language: np.ndarray
+    score: np.ndarray
+    first: np.ndarray
+    words: Words
+    document: np.ndarray
+    labels: np.ndarray
+
+
+def _labelled(texts: pa.Array, model: Model) -> Iterator[_Labelled]:
+    n_languages = len(model.languages)
+    penalty = (-SWITCH * (1 - np.eye(n_languages))).astype(np.float32)
+    names = np.array([*model.languages, UNDETERMINED], dtype=object)
+    for at, end, data, first in textbytes.blocks(texts):
+        words, n = read_words(data, first), end - at
+        document = textbytes.owner(words.first_word)
+        share = np.zeros((n, n_languages + 1))
+        labels = np.full(len(document), n_languages)
+        if n_languages:
+            labels = chains.viterbi(word_scores(words, model), words.first_word, penalty)
+            np.add.at(share, (document, labels), words.letters)
+        best, total = share.argmax(axis=1), share.sum(axis=1)
+        best = np.where(total > 0, best, n_languages)
+        score = share[np.arange(n), best] / np.maximum(total, 1)
+        yield _Labelled(at, n, names[best], score, first, words, document, labels)
+
+
+def _spans(found: _Labelled, model: Model) -> list[list[dict]]:
+    listed: list[list[dict]] = [[] for _ in range(found.n)]
+    turn = np.diff(found.document, prepend=-1).astype(bool) | np.diff(found.labels.astype(int), prepend=-1).astype(bool)
+    change = np.flatnonzero(turn).tolist()
+    for a, b in zip(change, [*change[1:], len(turn)], strict=False):
+        d = found.document[a]
+        if found.language[d] != UNDETERMINED:
+            start, end = found.words.start[a] - found.first[d], found.words.end[b - 1] - found.first[d]
+            listed[d].append({"start": start, "end": end, "lang": model.languages[found.labels[a]]})
+    return listed
+
+
 def label_spans(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, lang_pred and score (share of the letters in that language).
 
@@ -185,37 +232,33 @@ def label_spans(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame
     language that comes first by name. Ids may be NULL, rows may repeat, other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        n_languages = len(model.languages)
-        penalty = (-SWITCH * (1 - np.eye(n_languages))).astype(np.float32)
-        names = np.array([*model.languages, UNDETERMINED], dtype=object)
         for batch in batches:
-            for at, end, data, first in textbytes.blocks(batch.column("text")):
-                words, n = read_words(data, first), end - at
-                document = textbytes.owner(words.first_word)
-                share = np.zeros((n, n_languages + 1))
-                if n_languages:
-                    labels = chains.viterbi(word_scores(words, model), words.first_word, penalty)
-                    np.add.at(share, (document, labels), words.letters)
-                best, total = share.argmax(axis=1), share.sum(axis=1)
-                best = np.where(total > 0, best, n_languages)
-                score = share[np.arange(n), best] / np.maximum(total, 1)
-                columns = [batch.column("doc_id").slice(at, n), pa.array(names[best]), pa.array(score)]
+            for found in _labelled(batch.column("text"), shared.value):
+                ids = batch.column("doc_id").slice(found.at, found.n)
+                columns = [ids, pa.array(found.language, pa.string()), pa.array(found.score)]
                 fields = ["doc_id", "lang_pred", "score"]
                 if spans:
-                    listed: list[list[dict]] = [[] for _ in range(n)]
-                    if n_languages:
-                        change = np.flatnonzero(np.diff(document, prepend=-1).astype(bool) | np.diff(labels, prepend=0).astype(bool))
-                        for a, b in zip(change, [*change[1:], len(labels)], strict=True):
-                            d = document[a]
-                            if total[d] > 0:
-                                span = (words.start[a] - first[d], words.end[b - 1] - first[d])
-                                listed[d].append({"start": span[0], "end": span[1], "lang": names[labels[a]]})
-                    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
-                    columns, fields = [*columns, pa.array(listed, kind)], [*fields, "spans"]
+                    columns, fields = [*columns, pa.array(_spans(found, shared.value), kind)], [*fields, "spans"]
                 yield pa.RecordBatch.from_arrays(columns, fields)
 
     schema = f"{LABELLED}, {SPANS}" if spans else LABELLED
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+
+
+def keep_identified(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text has a language that holds ``least_score`` of its letters.
+
+    NULL texts and texts without a letter go. No row is moved between tasks.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for found in _labelled(batch.column("text"), shared.value):
+                kept = (found.language != UNDETERMINED) & (found.score >= least_score)
+                yield batch.slice(found.at, found.n).filter(pa.array(kept.astype(bool)))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -302,19 +302,19 @@ def cut(text: bytes, spans: np.ndarray) -> bytes:
     return b"".join(text[a:b] for a, b in zip(bounds[::2], bounds[1::2], strict=True))
 
 
-def trim(docs: DataFrame, characters: bool) -> DataFrame:
+def _runs(spans: pa.ListScalar) -> np.ndarray:
+    start, end = (part.to_numpy(zero_copy_only=False) for part in spans.values.flatten())
+    return merged(np.stack([start, end], axis=1))
+
+
+def trim(docs: DataFrame) -> DataFrame:
     """Cut the ``spans`` out of each text."""
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             rows = []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans"), strict=True):
-                data = text.encode()
-                listed = spans.values.flatten()
-                ranges = np.stack([part.to_numpy(zero_copy_only=False) for part in listed], axis=1)
-                runs = merged(ranges)
-                if characters:
-                    runs = whole_characters(data, runs)
+                data, runs = text.encode(), _runs(spans)
                 removed = int((runs[:, 1] - runs[:, 0]).sum())
                 rows.append((hashlib.sha256(data).hexdigest(), removed, len(runs), cut(data, runs)))
             kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary()]
@@ -343,14 +343,14 @@ def first_copies(keyed: DataFrame) -> DataFrame:
     return single.groupBy("first_key").agg(F.min("doc_id").alias("first_id"))
 
 
-def trimmed(docs: DataFrame, characters: bool = False) -> DataFrame:
-    """Texts that share strings with documents of smaller ids, without them; the first copy of each text only.
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.where("doc_id IS NOT NULL").select("doc_id", _content().alias("text"))
 
-    Returns doc_id, text_key, n_removed, n_spans and kept (bytes). With ``characters`` runs are narrowed to whole
-    characters, so that what is left is text.
-    """
-    # The documents are dealt out by id for three joins; one exchange serves all of them.
-    texts = docs.where("doc_id IS NOT NULL").select("doc_id", _content().alias("text"))
+
+def spans_to_remove(docs: DataFrame) -> DataFrame:
+    """of (a doc_id) and spans (byte ranges, which may overlap) of the first copy of each text that loses some."""
+    # The documents are dealt out by id for each join; one exchange serves all of them.
+    texts = _texts(docs)
     buckets = bucket_count(docs)
     firsts = first_copies(keys(docs)).select("first_id")
     reps = texts.join(firsts, texts["doc_id"] == firsts["first_id"], "left_semi")
@@ -358,8 +358,7 @@ def trimmed(docs: DataFrame, characters: bool = False) -> DataFrame:
     shared = shared.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list("anchor").alias("anchors"))
     asked = texts.join(shared, texts["doc_id"] == shared["of"]).select("doc_id", "text", "anchors")
     marks = map_groups(pack_stretches(asked, buckets), ["bucket"], _marks, MARKS)
-    marks = marks.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return trim(texts.join(marks, texts["doc_id"] == marks["of"]), characters)
+    return marks.groupBy(F.col("doc_id").alias("of")).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -374,7 +373,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     keyed = keys(docs)
     firsts = first_copies(keyed)
     judged = keyed.join(firsts, split_key(keyed["text_key"], firsts["first_key"]), "left").drop("first_key")
-    cuts = trimmed(docs).select(
+    marks = spans_to_remove(docs)
+    texts = _texts(docs)
+    cuts = trim(texts.join(marks, texts["doc_id"] == marks["of"])).select(
         F.col("doc_id").alias("cut_id"),
         F.col("text_key").alias("cut_key"),
         "n_removed",
@@ -393,3 +394,43 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         F.when(copy, 1).when(own, F.coalesce("n_spans", F.lit(0))).otherwise(0).cast("long").alias("n_spans"),
         F.when(copy, nothing).when(own, F.coalesce("kept_sha256", "text_key")).otherwise(F.col("text_key")).alias("kept_sha256"),
     )
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, n_chars and any others) without repeated passages; see ``remove_repeats``.
+
+    Spans are narrowed to whole characters, so that what is left is text, and n_chars follows. Rows of which nothing
+    but white space is left go, as do later copies of a text. Rows that lose nothing stay as they are.
+    """
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    keyed = keys(narrow)
+    firsts = first_copies(keyed)
+    copies = keyed.where(F.col("n_bytes") >= LENGTH).join(firsts, split_key(keyed["text_key"], firsts["first_key"]))
+    copies = copies.where("doc_id > first_id").select(F.col("doc_id").alias("of"), "text_key").distinct()
+    # What happens to a document: its spans go, or the texts with one of these keys.
+    decided = spans_to_remove(narrow).select("of", "spans", F.lit(None).cast("string").alias("text_key"))
+    decided = decided.unionByName(copies.select("of", F.lit(None).cast(decided.schema["spans"].dataType).alias("spans"), "text_key"))
+    decided = decided.groupBy("of").agg(
+        F.first("spans", ignorenulls=True).alias("removed_spans"), F.collect_set("text_key").alias("removed_texts")
+    )
+    schema = docs.schema
+    wide = docs.join(decided, docs["doc_id"] == decided["of"], "left").drop("of")
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            kept, texts, lengths = [], batch.column("text").to_pylist(), batch.column("n_chars").to_pylist()
+            spans, removed = batch.column("removed_spans"), batch.column("removed_texts").to_pylist()
+            for row, text in enumerate(texts):
+                data = (text or "").encode()
+                gone = bool(removed[row]) and hashlib.sha256(data).hexdigest() in removed[row]
+                if not gone and spans[row].is_valid:
+                    texts[row] = cut(data, whole_characters(data, _runs(spans[row]))).decode()
+                    lengths[row] = len(texts[row])
+                    gone = not texts[row].strip()
+                kept.append(not gone)
+            columns = {name: batch.column(name) for name in schema.names}
+            columns["text"] = pa.array(texts, batch.column("text").type)
+            columns["n_chars"] = pa.array(lengths, batch.column("n_chars").type)
+            yield pa.RecordBatch.from_pydict(columns).filter(pa.array(kept))
+
+    return wide.mapInArrow(run, schema)
