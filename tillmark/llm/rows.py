@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 from typing import TypeVar
 
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 T = TypeVar("T")
@@ -37,3 +37,11 @@ def slices(batches: Iterable[pa.RecordBatch], size: int = 4 << 20) -> Iterator[p
         step = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+
+
+def free_name(frame: DataFrame, name: str) -> str:
+    """``name``, with as many underscores behind it as it takes to differ from all columns of ``frame``."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tillmark.llm import textbytes
 from tillmark.llm.buckets import Batches, bucket_count, map_groups
+from tillmark.llm.rows import free_name
 from tillmark.llm.suffix_array import common_prefixes, suffix_array
 from tillmark.operators.joins import split_key
 
@@ -409,17 +410,19 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     copies = copies.where("doc_id > first_id").select(F.col("doc_id").alias("of"), "text_key").distinct()
     # What happens to a document: its spans go, or the texts with one of these keys.
     decided = spans_to_remove(narrow).select("of", "spans", F.lit(None).cast("string").alias("text_key"))
-    decided = decided.unionByName(copies.select("of", F.lit(None).cast(decided.schema["spans"].dataType).alias("spans"), "text_key"))
-    decided = decided.groupBy("of").agg(
-        F.first("spans", ignorenulls=True).alias("removed_spans"), F.collect_set("text_key").alias("removed_texts")
-    )
+    no_spans = F.lit(None).cast(decided.schema["spans"].dataType).alias("spans")
+    decided = decided.unionByName(copies.select("of", no_spans, "text_key"))
     schema = docs.schema
-    wide = docs.join(decided, docs["doc_id"] == decided["of"], "left").drop("of")
+    of, cuts, texts_gone = (free_name(docs, name) for name in ("of", "removed_spans", "removed_texts"))
+    decided = decided.groupBy(F.col("of").alias(of)).agg(
+        F.first("spans", ignorenulls=True).alias(cuts), F.collect_set("text_key").alias(texts_gone)
+    )
+    wide = docs.join(decided, docs["doc_id"] == decided[of], "left").drop(of)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             kept, texts, lengths = [], batch.column("text").to_pylist(), batch.column("n_chars").to_pylist()
-            spans, removed = batch.column("removed_spans"), batch.column("removed_texts").to_pylist()
+            spans, removed = batch.column(cuts), batch.column(texts_gone).to_pylist()
             for row, text in enumerate(texts):
                 data = (text or "").encode()
                 gone = bool(removed[row]) and hashlib.sha256(data).hexdigest() in removed[row]
