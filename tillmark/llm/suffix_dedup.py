@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tillmark.llm import textbytes
 from tillmark.llm.buckets import Batches, bucket_count, map_groups
-from tillmark.llm.rows import free_name
+from tillmark.llm.rows import free_name, slices
 from tillmark.llm.suffix_array import common_prefixes, suffix_array
 from tillmark.operators.joins import split_key
 
@@ -35,7 +35,13 @@ LENGTH = 50
 ANCHOR = 20
 
 #: Bytes of stretches that one suffix array is made over; an anchor with more of them gets one of its own.
-ARRAY_BYTES = 1 << 22
+ARRAY_BYTES = 1 << 20
+
+#: Bytes of text that stretches are looked for in at a time; the work takes about fifty times as much memory.
+BLOCK_BYTES = 1 << 20
+
+#: Bytes of rows that are packed together.
+BATCH_BYTES = 1 << 24
 
 #: Bits of an anchor's hash that are compared. Anchors that agree in them by chance cost time, not correctness.
 HASH_BITS = 48
@@ -93,10 +99,10 @@ def pack_anchors(docs: DataFrame, buckets: int) -> DataFrame:
     """The anchors of each document, once each, packed into one row for each batch and bucket."""
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in slices(batches, BATCH_BYTES):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             anchors, owners = [], []
-            for at, _, data, first in textbytes.blocks(batch.column("text")):
+            for at, _, data, first in textbytes.blocks(batch.column("text"), BLOCK_BYTES):
                 _, _, anchor, document, _ = stretches(data, first)
                 order = np.lexsort((anchor, document))
                 anchor, document = anchor[order], document[order]
@@ -146,7 +152,7 @@ def pack_stretches(docs: DataFrame, buckets: int) -> DataFrame:
     """The stretches of ``docs`` (doc_id, text, anchors) at the anchors listed, packed for each block and bucket."""
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in slices(batches, BATCH_BYTES):
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
             listed = batch.column("anchors")
             asked = listed.flatten().to_numpy(zero_copy_only=False).astype(np.uint64)
@@ -154,7 +160,7 @@ def pack_stretches(docs: DataFrame, buckets: int) -> DataFrame:
             factor = np.uint64(0x9E3779B97F4A7C15)
             wanted = np.unique(textbytes.mix(asked + asked_by.astype(np.uint64) * factor))
             rows = []
-            for at, _, data, first in textbytes.blocks(batch.column("text")):
+            for at, _, data, first in textbytes.blocks(batch.column("text"), BLOCK_BYTES):
                 start, end, anchor, document, hasher = stretches(data, first)
                 key = textbytes.mix(anchor + (document + at).astype(np.uint64) * factor)
                 near = np.minimum(np.searchsorted(wanted, key), max(0, len(wanted) - 1))
@@ -312,7 +318,7 @@ def trim(docs: DataFrame) -> DataFrame:
     """Cut the ``spans`` out of each text."""
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in slices(batches, BATCH_BYTES):
             rows = []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans"), strict=True):
                 data, runs = text.encode(), _runs(spans)
@@ -420,7 +426,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     wide = docs.join(decided, docs["doc_id"] == decided[of], "left").drop(of)
 
     def run(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in slices(batches, BATCH_BYTES):
             kept, texts, lengths = [], batch.column("text").to_pylist(), batch.column("n_chars").to_pylist()
             spans, removed = batch.column(cuts), batch.column(texts_gone).to_pylist()
             for row, text in enumerate(texts):

@@ -71,12 +71,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return content, first - first[0]
 
 
-def blocks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Runs of documents of at most ``BLOCK_BYTES`` bytes: first, last + 1, their bytes and where each begins."""
+def blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Runs of documents of at most ``size`` bytes: first, last + 1, their bytes and where each begins."""
     data, first = utf8(column)
     at, n = 0, len(first) - 1
     while at < n:
-        end = max(at + 1, int(np.searchsorted(first, first[at] + BLOCK_BYTES, "right")) - 1)
+        end = max(at + 1, int(np.searchsorted(first, first[at] + size, "right")) - 1)
         yield at, end, data[first[at] : first[end]], first[at : end + 1] - first[at]
         at = end
 
