@@ -16,9 +16,9 @@ from pyspark.sql import SparkSession
 from tillmark.plans import daily, trending
 from tillmark.plans.dashboard import dashboard
 from tillmark.plans.snapshot import snapshot
-from tillmark.plans.warehouse import load_jdbc_warehouse
+from tillmark.plans.warehouse import load_jdbc_warehouse, load_warehouse
 from tillmark.session import get_spark
-from tillmark.sinks.jdbc import JdbcTarget, write_jdbc
+from tillmark.sinks.jdbc import JdbcTarget, read_jdbc
 from tillmark.sinks.layers import write_layer
 from tillmark.sources import messages
 from tillmark.sources.layers import read_layer, read_quarantine, read_valid_transactions
@@ -28,22 +28,28 @@ def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="run.py", description=__doc__.splitlines()[0])
     commands = parser.add_subparsers(dest="command", required=True)
     required = {"lake", "raw-transactions", "raw-countries", "raw-products", "destination"}
-    jdbc = ("jdbc-url", "jdbc-driver")
+    jdbc = ("jdbc-url", "jdbc-driver", "jdbc-partitions", "jdbc-batch-size", "jdbc-truncate")
+    ingest = ("clean-source", "archive-folder")
+    flags = {"stream", "jdbc-truncate"}
 
     def command(name: str, text: str, *options: str) -> None:
         sub = commands.add_parser(name, help=text)
         for option in ("lake", *options):
-            if option == "stream":
-                sub.add_argument("--stream", action="store_true")
+            if option in flags:
+                sub.add_argument(f"--{option}", action="store_true")
+            elif option == "clean-source":
+                sub.add_argument("--clean-source", choices=("archive", "delete", "off"), default="off")
+            elif option in ("jdbc-partitions", "jdbc-batch-size"):
+                sub.add_argument(f"--{option}", type=int)
             else:
                 sub.add_argument(f"--{option}", required=option in required)
 
     command("dimensions", "refresh countries and products", "raw-countries", "raw-products")
-    command("ingest", "store new transaction files", "raw-transactions")
+    command("ingest", "store new transaction files", "raw-transactions", *ingest)
     command("warehouse", "refresh the star schema and the reports", *jdbc)
-    command("daily", "all of the above", "raw-transactions", "raw-countries", "raw-products", *jdbc)
+    command("daily", "all of the above", "raw-transactions", "raw-countries", "raw-products", *ingest, *jdbc)
     command("trends", "refresh the trend table", "servers", "topic", "archive", "stream", *jdbc)
-    command("dashboard", "show the sales questions")
+    command("dashboard", "print the five questions and store the answers", *jdbc)
     command("snapshot", "copy the lake", "destination")
     return parser
 
@@ -51,7 +57,25 @@ def _parser() -> argparse.ArgumentParser:
 def _target(options: argparse.Namespace) -> JdbcTarget | None:
     if not options.jdbc_url:
         return None
-    return JdbcTarget(options.jdbc_url, os.environ["JDBC_USER"], os.environ["JDBC_PASSWORD"], options.jdbc_driver)
+    given = {"num_partitions": options.jdbc_partitions, "batch_size": options.jdbc_batch_size}
+    return JdbcTarget(
+        options.jdbc_url,
+        os.environ["JDBC_USER"],
+        os.environ["JDBC_PASSWORD"],
+        options.jdbc_driver,
+        truncate=options.jdbc_truncate,
+        **{name: value for name, value in given.items() if value is not None},
+    )
+
+
+def _source_options(given: dict) -> dict[str, str | int]:
+    """Options of the raw file source: what becomes of files once they are stored."""
+    options: dict[str, str | int] = {"maxBytesPerTrigger": daily.BATCH_BYTES}
+    if given.get("clean_source", "off") != "off":
+        options["cleanSource"] = given["clean_source"]
+        if given["archive_folder"]:
+            options["sourceArchiveDir"] = given["archive_folder"]
+    return options
 
 
 def _trends(spark: SparkSession, options: argparse.Namespace, gold: str) -> dict[str, int]:
@@ -59,7 +83,7 @@ def _trends(spark: SparkSession, options: argparse.Namespace, gold: str) -> dict
 
     def write(df, name):
         if target:
-            write_jdbc(df, name, target)
+            load_jdbc_warehouse({name: df}, target)
         else:
             write_layer(df, name, gold)
 
@@ -83,13 +107,41 @@ def _snapshot(spark: SparkSession, run: daily.DailyRun, destination: str) -> dic
     return {row.table_name: row.row_count for row in snapshot(spark, tables, destination, stamp).collect()}
 
 
+def _dashboard(spark: SparkSession, lake: str, gold: str, target: JdbcTarget | None) -> dict[str, int]:
+    """Store every answer whole under ``<lake>/dashboard`` and print it row by row, as it is read back in order."""
+    read = (lambda name: read_jdbc(spark, name, target)) if target else None
+    counts = {}
+    for name, df in dashboard(spark, gold, read).items():
+        counts.update(load_warehouse({name: df}, lambda counted, name: write_layer(counted, name, f"{lake}/dashboard")))
+        stored = read_layer(spark, name, f"{lake}/dashboard")
+        if name.startswith("sales_by"):
+            stored = stored.orderBy(stored.columns[0])
+        else:
+            label, amount = sorted(stored.columns, key=lambda column: column in ("total_sales", "count"))
+            stored = stored.orderBy(stored[amount].desc_nulls_last(), stored[label].asc_nulls_last())
+        print(name)
+        print(*stored.columns, sep=" | ")
+        for row in stored.toLocalIterator():
+            print(*row, sep=" | ")
+    return counts
+
+
 def main(arguments: Sequence[str] | None = None) -> dict[str, int]:
     """Run one command; prints and returns the rows written per table."""
-    options = _parser().parse_args(arguments)
+    parser = _parser()
+    options = parser.parse_args(arguments)
     given = vars(options)
+    if options.command == "trends" and not options.archive and not (options.servers and options.topic):
+        parser.error("trends needs --archive, or --servers and --topic")
+    if given.get("clean_source") == "archive" and not options.archive_folder:
+        parser.error("--clean-source archive needs --archive-folder")
     spark = get_spark(f"tillmark-{options.command}")
     run = daily.DailyRun(
-        given.get("raw_transactions", ""), given.get("raw_countries", ""), given.get("raw_products", ""), options.lake
+        given.get("raw_transactions", ""),
+        given.get("raw_countries", ""),
+        given.get("raw_products", ""),
+        options.lake,
+        _source_options(given),
     )
     target = _target(options) if "jdbc_url" in given else None
     load = (lambda tables: load_jdbc_warehouse(tables, target)) if target else None
@@ -108,9 +160,7 @@ def main(arguments: Sequence[str] | None = None) -> dict[str, int]:
     elif options.command == "snapshot":
         counts = _snapshot(spark, run, options.destination)
     else:
-        for name, df in dashboard(spark, run.gold).items():
-            print(name)
-            df.show(truncate=False)
+        counts = _dashboard(spark, options.lake, run.gold, target)
     for name, count in counts.items():
         print(f"{name}: {count}")
     return counts

@@ -27,8 +27,11 @@ def region_id(country: Column) -> Column:
 
 
 def whole_number(text: Column) -> Column:
-    """Text as an int, without its decimals ("17850.0" is 17850); NULL for text that is no number or does not fit."""
-    return F.regexp_replace(text, r"\.[0-9]*$", "").try_cast("int")
+    """Text as an int, without its decimals ("17850.0" is 17850); NULL for text that is no number or does not fit.
+
+    White space around the number doesn't matter. A lone point is no number and gives NULL.
+    """
+    return F.regexp_replace(text, r"\.[0-9]*\s*$", "").try_cast("int")
 
 
 def unit_price(price: Column) -> Column:

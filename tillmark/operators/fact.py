@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.dates import date_key
-from tillmark.operators.joins import split_key
+from tillmark.operators.joins import same_key
 
 
 def _invoice_day() -> Column:
@@ -19,8 +19,9 @@ def _daily_prices(products: DataFrame) -> DataFrame:
     )
 
 
-def _same_product_and_day() -> Column:
-    return split_key(F.col("StockCode"), F.col("price_product")) & (_invoice_day() == F.col("price_day"))
+def _same_product_and_day(transactions: DataFrame, prices: DataFrame) -> Column:
+    same_product = same_key(transactions, F.col("StockCode"), prices, F.col("price_product"))
+    return same_product & (_invoice_day() == F.col("price_day"))
 
 
 def fct_sales(
@@ -36,14 +37,16 @@ def fct_sales(
     is a function of the invoice day, so by default it is computed in place; that saves building ``dim_date`` (a pass
     over all transactions) and a join. Give ``dates`` to look it up there instead.
     """
-    sales = transactions.join(_daily_prices(products), _same_product_and_day(), "inner")
+    prices = _daily_prices(products)
+    sales = transactions.join(prices, _same_product_and_day(transactions, prices), "inner")
     if dates is None:
         date_id = date_key(_invoice_day())
     else:
-        same_day = split_key(_invoice_day(), F.col("full_date"))
+        same_day = same_key(sales, _invoice_day(), dates, F.col("full_date"))
         sales = sales.join(dates.select("full_date", "date_id"), same_day, "left")
         date_id = F.col("date_id")
-    sales = sales.join(geography.select("geo_id"), split_key(F.col("CountryID"), F.col("geo_id")), "left")
+    same_country = same_key(sales, F.col("CountryID"), geography, F.col("geo_id"))
+    sales = sales.join(geography.select("geo_id"), same_country, "left")
     return sales.select(
         F.concat("InvoiceNo", F.lit("-"), "StockCode").alias("sale_id"),
         F.col("InvoiceNo").alias("invoice_no"),
@@ -59,7 +62,8 @@ def fct_sales(
 
 def unpriced_sales(transactions: DataFrame, products: DataFrame) -> DataFrame:
     """Transactions that the fact leaves out for want of a price."""
-    return transactions.join(_daily_prices(products), _same_product_and_day(), "left_anti")
+    prices = _daily_prices(products)
+    return transactions.join(prices, _same_product_and_day(transactions, prices), "left_anti")
 
 
 def repeated_sale_ids(fact: DataFrame) -> DataFrame:

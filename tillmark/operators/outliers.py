@@ -10,41 +10,46 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmark.operators.joins import split_key
+from tillmark.operators.joins import same_key
 
 # Fixed value: an outlier lies more than this many standard deviations above the median.
 OUTLIER_DEVIATIONS = 2
 
 
 def _quantity_levels(df: DataFrame, key: str, value: str) -> DataFrame:
-    """One row per (key, value) with the median and sample standard deviation of the key's group.
+    """``group_key``, ``level`` (a value), ``median_quantity``, ``stddev_quantity``: one row per key and value.
 
     The median is the lower of the two middle values of an even group and keeps the type of ``value``. NULL values
     count for neither; the deviation of a single value is NULL. Counts are multiplied as doubles because count times
     quantity may leave the range of a bigint.
+
+    The levels of one key are sorted in one task: as many as it has distinct values. That suits order quantities; a
+    measure with ever new values would be rounded first.
     """
-    group = Window.partitionBy(key)
-    so_far = group.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    weight, number = F.col("weight"), F.col("number")
-    levels = df.groupBy(key, value).agg(F.count(value).alias("weight"))
+    # Names of its own, so that no column of the caller's is meant by mistake.
+    own = df.select(F.col(key).alias("group_key"), F.col(value).alias("level"))
+    group = Window.partitionBy("group_key")
+    so_far = group.orderBy("level").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    level, weight, number = F.col("level"), F.col("weight"), F.col("number")
+    levels = own.groupBy("group_key", "level").agg(F.count("level").alias("weight"))
     levels = levels.withColumns(
         {
             "rank": F.sum(weight).over(so_far),
             "number": F.sum(weight).over(group),
-            "total": F.sum(weight.cast("double") * F.col(value)).over(group),
+            "total": F.sum(weight.cast("double") * level).over(group),
         }
     )
-    deviation = F.col(value) - F.col("total") / number
+    deviation = level - F.col("total") / number
     reaches_half = F.col("rank") * 2 >= number
     levels = levels.withColumns(
         {
-            "median": F.min(F.when(reaches_half, F.col(value))).over(group),
+            "median": F.min(F.when(reaches_half, level)).over(group),
             "squares": F.sum(weight * deviation * deviation).over(group),
         }
     )
     return levels.select(
-        key,
-        value,
+        "group_key",
+        "level",
         F.col("median").alias("median_quantity"),
         F.when(number > 1, F.sqrt(F.col("squares") / (number - 1))).alias("stddev_quantity"),
     )
@@ -52,7 +57,8 @@ def _quantity_levels(df: DataFrame, key: str, value: str) -> DataFrame:
 
 def group_statistics(df: DataFrame, key: str = "StockCode", value: str = "Quantity") -> DataFrame:
     """``key``, ``median_quantity`` and ``stddev_quantity``: one row per key, the NULL key included."""
-    return _quantity_levels(df, key, value).select(key, "median_quantity", "stddev_quantity").distinct()
+    levels = _quantity_levels(df, key, value)
+    return levels.select(F.col("group_key").alias(key), "median_quantity", "stddev_quantity").distinct()
 
 
 def quantity_outliers(
@@ -67,10 +73,18 @@ def quantity_outliers(
     limit = F.col("median_quantity") + F.lit(k) * F.col("stddev_quantity")
     limits = (
         _quantity_levels(df, key, value)
-        .select(F.col(key).alias("limited_key"), F.col(value).alias("level"), "median_quantity", limit.alias("limit"))
+        .withColumn("limit", limit)
         .filter(F.col("level") > F.col("limit"))
-        .select("limited_key", "median_quantity", "limit")
+        .select("group_key", "median_quantity", "limit")
         .distinct()
     )
-    beyond = split_key(F.col(key), F.col("limited_key")) & (F.col(value) > F.col("limit"))
-    return df.join(limits, beyond).select("CustomerID", "InvoiceNo", key, value, "median_quantity").distinct()
+    # Sales under names of their own as well; the caller's come back in the result.
+    sales = df.select(
+        F.col("CustomerID").alias("customer"),
+        F.col("InvoiceNo").alias("invoice"),
+        F.col(key).alias("sold_key"),
+        F.col(value).alias("sold_value"),
+    )
+    beyond = same_key(sales, F.col("sold_key"), limits, F.col("group_key")) & (F.col("sold_value") > F.col("limit"))
+    found = sales.join(limits, beyond).select("customer", "invoice", "sold_key", "sold_value", "median_quantity")
+    return found.distinct().toDF("CustomerID", "InvoiceNo", key, value, "median_quantity")

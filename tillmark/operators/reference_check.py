@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.operators.joins import split_key
+from tillmark.operators.joins import same_key
 
 _REFERENCE_KEY = "_reference_key"
 _LISTED = "_listed"
@@ -19,7 +19,7 @@ _LISTED = "_listed"
 def _existence_join(df: DataFrame, reference: DataFrame, key: str, reference_key: str | None, how: str) -> DataFrame:
     # A renamed key and a plain condition keep the column order of df; a USING join would move the key to the front.
     keys = reference.select(F.col(reference_key or key).alias(_REFERENCE_KEY))
-    return df.join(keys, split_key(F.col(key), F.col(_REFERENCE_KEY)), how)
+    return df.join(keys, same_key(df, F.col(key), keys, F.col(_REFERENCE_KEY)), how)
 
 
 def in_reference(df: DataFrame, reference: DataFrame, key: str, reference_key: str | None = None) -> DataFrame:
@@ -45,5 +45,5 @@ def split_by_reference(
 def tag_by_reference(df: DataFrame, reference: DataFrame, key: str, flag: str) -> DataFrame:
     """``df`` plus a boolean ``flag``, for jobs that write both sides of the split in one pass over ``df``."""
     keys = reference.select(F.col(key).alias(_REFERENCE_KEY)).distinct().withColumn(_LISTED, F.lit(True))
-    joined = df.join(keys, split_key(F.col(key), F.col(_REFERENCE_KEY)), "left")
+    joined = df.join(keys, same_key(df, F.col(key), keys, F.col(_REFERENCE_KEY)), "left")
     return joined.select(*df.columns, F.coalesce(_LISTED, F.lit(False)).alias(flag))

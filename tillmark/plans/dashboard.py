@@ -2,18 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmark.operators import sales
-from tillmark.sources.layers import read_layer
+from tillmark.plans.trending import TABLE as TRENDS
+from tillmark.sources.layers import exists, read_layer
+
+Read = Callable[[str], DataFrame]
+
 
+def dashboard(spark: SparkSession, gold: str | None = None, read: Read | None = None) -> dict[str, DataFrame]:
+    """The five questions by name: four over the star schema, and the stored trend table once there is one.
 
-def dashboard(spark: SparkSession, gold: str | None = None) -> dict[str, DataFrame]:
-    """The four sales questions by name, over Parquet tables under ``gold`` or catalog tables."""
-    fact = read_layer(spark, "fct_sales", gold)
-    return {
-        "sales_by_day": sales.sales_by_day(fact, read_layer(spark, "dim_date", gold)).orderBy("full_date"),
-        "top_products": sales.top_products(fact, read_layer(spark, "dim_products", gold)),
-        "sales_by_country": sales.sales_by_country(fact, read_layer(spark, "dim_geography", gold)),
+    Tables are Parquet under ``gold`` or catalog tables; ``read(name)`` opens them elsewhere, such as in a database.
+    Each answer is whole and in order.
+    """
+    read = read or (lambda name: read_layer(spark, name, gold))
+    fact = read("fct_sales")
+    answers = {
+        "sales_by_day": sales.sales_by_day(fact, read("dim_date")).orderBy("full_date"),
+        "top_products": sales.top_products(fact, read("dim_products")),
+        "sales_by_country": sales.sales_by_country(fact, read("dim_geography")).orderBy("country"),
         "top_customers": sales.top_customers(fact),
     }
+    if exists(lambda: read(TRENDS)):
+        trends = read(TRENDS)
+        answers[TRENDS] = trends.orderBy(trends["count"].desc(), "product_mention")
+    return answers

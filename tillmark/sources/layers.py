@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +20,29 @@ def read_layer(spark: SparkSession, name: str, root: str | None = None) -> DataF
     return spark.table(name) if root is None else spark.read.parquet(f"{root}/{name}")
 
 
+def exists(read: Callable[[], DataFrame]) -> bool:
+    """Whether the folder or table that ``read`` opens is there; any other trouble is raised."""
+    try:
+        read()
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            return False
+        raise
+    return True
+
+
+def _stored_transactions(spark: SparkSession, path: str) -> DataFrame:
+    """What the ingest has stored; nothing before its first batch, when there is no folder yet."""
+    reader = spark.read.schema(schemas.TRANSACTION_STORAGE)
+    if not exists(lambda: reader.parquet(path)):
+        return spark.createDataFrame([], schemas.TRANSACTION_STORAGE)
+    return reader.parquet(path)
+
+
 def _ingested(spark: SparkSession, path: str, quality: str, since: dt.date | None) -> DataFrame:
     # quality and invoice_month are folders, so the filters on them prune files before any is opened. The filter on
     # the timestamp reaches the Parquet reader, which skips row groups by it: files are stored in order of time.
-    stored = spark.read.schema(schemas.TRANSACTION_STORAGE).parquet(path).filter(F.col("quality") == quality)
+    stored = _stored_transactions(spark, path).filter(F.col("quality") == quality)
     if since is not None:
         month = since.year * 100 + since.month
         stored = stored.filter((F.col("invoice_month") >= month) & (F.col("InvoiceTimestamp") >= F.lit(since)))
