@@ -32,6 +32,8 @@ def groups(batches: Batches, keys: list[str]) -> Iterator[pa.Table]:
                 yield pa.Table.from_batches(parts)
                 parts = []
             parts.append(part)
+        del batch
+        pa.default_memory_pool().release_unused()
     if parts:
         yield pa.Table.from_batches(parts)
 

@@ -37,6 +37,8 @@ def slices(batches: Iterable[pa.RecordBatch], size: int = 4 << 20) -> Iterator[p
         step = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+        # Else the pool keeps what a large batch took, beside the next stage's worker.
+        pa.default_memory_pool().release_unused()
 
 
 def free_name(frame: DataFrame, name: str) -> str:

@@ -41,7 +41,7 @@ ARRAY_BYTES = 1 << 20
 BLOCK_BYTES = 1 << 20
 
 #: Bytes of rows that are packed together.
-BATCH_BYTES = 1 << 24
+BATCH_BYTES = 1 << 23
 
 #: Bits of an anchor's hash that are compared. Anchors that agree in them by chance cost time, not correctness.
 HASH_BITS = 48
@@ -358,7 +358,8 @@ def spans_to_remove(docs: DataFrame) -> DataFrame:
     """of (a doc_id) and spans (byte ranges, which may overlap) of the first copy of each text that loses some."""
     # The documents are dealt out by id for each join; one exchange serves all of them.
     texts = _texts(docs)
-    buckets = bucket_count(docs)
+    # Buckets are held in memory one at a time, so they are made half as large as partitions.
+    buckets = 2 * bucket_count(docs)
     firsts = first_copies(keys(docs)).select("first_id")
     reps = texts.join(firsts, texts["doc_id"] == firsts["first_id"], "left_semi")
     shared = map_groups(pack_anchors(reps, buckets), ["bucket"], _shared, SHARED)
