@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 from tillmark.llm.rows import slices
 
 #: Entries that each worker's tables of remembered chunks and of remembered pieces hold at most.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 #: Pairs of tokens that each worker remembers at most.
-REMEMBERED_PAIRS = 200_000
+REMEMBERED_PAIRS = 150_000
 
 ENCODED = "doc_id long, ids binary"
 DECODED = f"{ENCODED}, text string"
@@ -184,8 +184,8 @@ class PrefixEncoder:
 class TextEncoder:
     """Whole texts to packed ids (little-endian, 32 bits), by any way of encoding one piece."""
 
-    def __init__(self, splitter: Splitter, ids_of_piece: Callable[[str], list[int]]) -> None:
-        pieces = Remembering(lambda piece: np.array(ids_of_piece(piece), "<u4").tobytes())
+    def __init__(self, splitter: Splitter, ids_of_piece: Callable[[str], list[int]], most: int = REMEMBERED) -> None:
+        pieces = Remembering(lambda piece: np.array(ids_of_piece(piece), "<u4").tobytes(), most)
 
         def encode_chunk(chunk: str) -> bytes:
             return b"".join(
@@ -193,7 +193,7 @@ class TextEncoder:
                 for piece in splitter.pieces(chunk)
             )
 
-        self._chunks = Remembering(encode_chunk)
+        self._chunks = Remembering(encode_chunk, most)
 
     def packed(self, text: str | None) -> bytes:
         return b"".join(map(self._chunks.__getitem__, text.replace("\n", " ").split(" "))) if text else b""

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm import chains, textbytes
-from tillmark.llm.rows import held_out
+from tillmark.llm.rows import held_out, slices
 
 #: Documents per language that the model learns from, about (a hash of the id below a threshold chooses them).
 TRAINING_DOCUMENTS = 3000
@@ -45,6 +45,10 @@ UNDETERMINED = "und"
 #: Documents in which no language has this share of the letters are a mixture, which filtering drops.
 LEAST_SCORE = 0.5
 
+#: Bytes of rows, and of their texts, that are worked on at a time; the work takes about sixty times as much memory.
+BATCH_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 20
+
 LABELLED = "doc_id long, lang_pred string, score double"
 SPANS = "spans array<struct<start: long, end: long, lang: string>>"
 
@@ -198,7 +202,7 @@ def _labelled(texts: pa.Array, model: Model) -> Iterator[_Labelled]:
     n_languages = len(model.languages)
     penalty = (-SWITCH * (1 - np.eye(n_languages))).astype(np.float32)
     names = np.array([*model.languages, UNDETERMINED], dtype=object)
-    for at, end, data, first in textbytes.blocks(texts):
+    for at, end, data, first in textbytes.blocks(texts, BLOCK_BYTES):
         words, n = read_words(data, first), end - at
         document = textbytes.owner(words.first_word)
         share = np.zeros((n, n_languages + 1))
@@ -235,7 +239,7 @@ def label_spans(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, BATCH_BYTES):
             for found in _labelled(batch.column("text"), shared.value):
                 ids = batch.column("doc_id").slice(found.at, found.n)
                 columns = [ids, pa.array(found.language, pa.string()), pa.array(found.score)]
@@ -256,7 +260,7 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = LEAST_SC
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, BATCH_BYTES):
             for found in _labelled(batch.column("text"), shared.value):
                 kept = (found.language != UNDETERMINED) & (found.score >= least_score)
                 yield batch.slice(found.at, found.n).filter(pa.array(kept.astype(bool)))

@@ -35,6 +35,9 @@ from tillmark.llm.rows import chunks, slices
 WRITTEN = "place int, name string, width int, documents long, without_id long, tokens long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
+#: Entries of each worker's tables of remembered chunks and pieces; asking the library costs more than a table does.
+REMEMBERED = 400_000
+
 #: Documents that a reader returns at a time.
 BATCH = 4096
 
@@ -42,7 +45,7 @@ BATCH = 4096
 def library_text_encoder(content: str) -> TextEncoder:
     splitter = Splitter(content)
     model = splitter.tokenizer.model
-    return TextEncoder(splitter, lambda piece: [token.id for token in model.tokenize(piece)])
+    return TextEncoder(splitter, lambda piece: [token.id for token in model.tokenize(piece)], REMEMBERED)
 
 
 def _opened(folder: str) -> tuple[fs.FileSystem, str]:
