@@ -33,6 +33,8 @@ def test_country_parts(spark, expression, expected):
 def test_whole_number(spark):
     values = ["17850", "17850.0", "12.9", "-3", " 7 ", "x", "1.x", "1e3", "", "99999999999", None]
     expected = [17850, 17850, 12, -3, 7, None, None, None, None, None, None]
+    values += ["17850.0 ", "17850. ", " 17850.5\t", "."]
+    expected += [17850, 17850, 17850, None]
     assert evaluate(spark, values, parsing.whole_number) == expected
 
 

@@ -1,0 +1,83 @@
+"""Join keys of different types match as in a plain join."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from tillmark.operators import fact, outliers
+from tillmark.operators.joins import same_key
+from tillmark.operators.reference_check import in_reference, missing_reference, tag_by_reference
+
+DAY = dt.date(2024, 1, 2)
+
+KEYS = {
+    "int and bigint": ("int", [1, 2, None], "bigint", [2, 3]),
+    "int and string": ("int", [1, 2, None], "string", ["2", "3"]),
+    "string and bigint": ("string", ["1", "2", None], "bigint", [2, 3]),
+    "two scales": ("decimal(10,2)", [Decimal("1.50"), Decimal("2.00")], "decimal(12,4)", [Decimal("1.5000")]),
+    "date and timestamp": ("date", [DAY, None], "timestamp", [dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 2, 1)]),
+    "doubles": ("double", [0.0, 1.5], "double", [-0.0, 1.5]),
+    "float and int": ("float", [1.0, 1.5], "int", [1]),
+    "one collation": ("string collate UTF8_LCASE", ["a", "B"], "string collate UTF8_LCASE", ["A", "c"]),
+}
+
+
+def frames(spark, name):
+    left, values, right, listed = KEYS[name]
+    return (
+        spark.createDataFrame([(v,) for v in values], f"k {left}"),
+        spark.createDataFrame([(v,) for v in listed], f"r {right}"),
+    )
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+@pytest.mark.parametrize("name", list(KEYS))
+def test_as_in_a_plain_join(spark, setting, name, threshold):
+    setting(spark__sql__autoBroadcastJoinThreshold=threshold)
+    left, right = frames(spark, name)
+    condition = same_key(left, F.col("k"), right, F.col("r"))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain = left.join(right, F.col("k") == F.col("r"), how).collect()
+        assert sorted(map(repr, left.join(right, condition, how).collect())) == sorted(map(repr, plain))
+    semi = left.join(right, F.col("k") == F.col("r"), "left_semi")
+    assert in_reference(left, right, "k", "r").count() == semi.count() > 0
+    assert missing_reference(left, right, "k", "r").count() == left.count() - semi.count()
+    tagged = tag_by_reference(left, right.withColumnRenamed("r", "k"), "k", "listed")
+    assert tagged.filter("listed").count() == semi.count()
+
+
+def test_types_that_have_nothing_in_common(spark):
+    left, right = spark.createDataFrame([(1,)], "k int"), spark.createDataFrame([([1],)], "r array<int>")
+    with pytest.raises(AnalysisException):
+        same_key(left, F.col("k"), right, F.col("r"))
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_the_fact_with_other_key_types(spark, setting, threshold):
+    setting(spark__sql__autoBroadcastJoinThreshold=threshold)
+    sales = spark.createDataFrame(
+        [("1", 7, 3, dt.datetime(2024, 1, 2, 3), "c", 11)],
+        "InvoiceNo string, StockCode int, Quantity int, InvoiceTimestamp timestamp, CustomerID string, CountryID int",
+    )
+    prices = spark.createDataFrame([("7", DAY, Decimal("2.50"))], "StockCode string, Date date, UnitPrice decimal(10,2)")
+    geography = spark.createDataFrame([("11",)], "geo_id string")
+    row = fact.fct_sales(sales, prices, geography).first()
+    assert (row["total_price"], row["geo_id"]) == (Decimal("7.50"), "11")
+    assert fact.unpriced_sales(sales, prices).count() == 0
+
+
+HELPERS = "group_key level weight rank number total squares median limit customer invoice sold_key sold_value".split()
+
+
+@pytest.mark.parametrize("name", HELPERS)
+def test_outliers_of_columns_named_like_helpers(spark, name):
+    rows = [("c", str(n), "p", 1 + n % 3) for n in range(20)] + [("c", "99", "p", 500)]
+    for key, value in ((name, "Quantity"), ("StockCode", name)):
+        df = spark.createDataFrame(rows, f"CustomerID string, InvoiceNo string, {key} string, {value} int")
+        found = outliers.quantity_outliers(df, key, value)
+        assert found.columns == ["CustomerID", "InvoiceNo", key, value, "median_quantity"]
+        assert [tuple(row) for row in found.collect()] == [("c", "99", "p", 500, 2)]
+        assert outliers.group_statistics(df, key, value).first()["median_quantity"] == 2

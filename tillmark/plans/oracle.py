@@ -9,23 +9,23 @@ from __future__ import annotations
 _RAW = """
 WITH nation_codes AS (
   SELECT n_nationkey, n_name,
-         CASE WHEN n_nationkey % 12 = 0 THEN '9999'
-              ELSE CASE n_regionkey WHEN 0 THEN '22' WHEN 1 THEN '55' WHEN 2 THEN '33' WHEN 3 THEN '11'
-                                    WHEN 4 THEN '13' END || lpad(CAST(n_nationkey AS VARCHAR), 2, '0')
-         END AS code,
+         CASE n_regionkey WHEN 0 THEN '22' WHEN 1 THEN '55' WHEN 2 THEN '33' WHEN 3 THEN '11'
+                          WHEN 4 THEN '13' END || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code,
          CAST(n_regionkey + 1 AS VARCHAR) AS region
   FROM nation
 ),
 raw_countries AS (
-  SELECT code AS "CountryID", n_name AS "CountryName" FROM nation_codes WHERE n_nationkey % 12 <> 0
+  SELECT code AS "CountryID", n_name AS "CountryName" FROM nation_codes
 ),
 raw_transactions AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS "InvoiceNo",
          CAST(l_partkey AS VARCHAR) AS "StockCode",
-         CAST(l_quantity AS INTEGER) AS "Quantity",
-         strftime(o_orderdate, '%d/%m/%Y %H:%M') AS "InvoiceDate",
+         CASE WHEN o_orderkey % 40 <> 9 THEN CAST(l_quantity AS INTEGER) END AS "Quantity",
+         CASE WHEN o_orderkey % 50 = 7 THEN strftime(o_orderdate, '%Y.%m.%d')
+              ELSE strftime(o_orderdate, '%d/%m/%Y %H:%M') END AS "InvoiceDate",
          CAST(o_custkey AS VARCHAR) AS "CustomerID",
-         code || '-' || region AS "Country"
+         CASE WHEN o_orderkey % 12 = 0 THEN '9999' ELSE code END
+           || CASE WHEN o_orderkey % 25 = 3 THEN '' ELSE '-' || region END AS "Country"
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
@@ -33,10 +33,11 @@ raw_transactions AS (
 ),
 raw_products AS (
   SELECT CAST(p_partkey AS VARCHAR) AS "StockCode", p_name AS "ProductDescription",
-         CAST(TRY_CAST(p_retailprice AS DECIMAL(10, 2)) AS VARCHAR) AS "UnitPrice",
-         strftime(o_orderdate, '%Y-%m-%d') AS "Date"
-  FROM (SELECT DISTINCT l_partkey, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-        WHERE l_partkey % 20 <> 0) AS days
+         CASE WHEN l_partkey % 30 = 11 THEN 'n/a'
+              ELSE CAST(TRY_CAST(p_retailprice AS DECIMAL(10, 2)) AS VARCHAR) END AS "UnitPrice",
+         CASE WHEN l_partkey % 20 = 0 THEN strftime(o_orderdate, '%Y.%m.%d')
+              ELSE strftime(o_orderdate, '%Y-%m-%d') END AS "Date"
+  FROM (SELECT DISTINCT l_partkey, o_orderdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS days
   JOIN part ON l_partkey = p_partkey
 ),
 messages AS (
@@ -57,12 +58,12 @@ countries AS (
 ),
 products AS (
   SELECT "StockCode", "ProductDescription", TRY_CAST("UnitPrice" AS DECIMAL(10, 2)) AS "UnitPrice",
-         TRY_CAST("Date" AS DATE) AS "Date"
+         CAST(try_strptime("Date", '%Y-%m-%d') AS DATE) AS "Date"
   FROM raw_products
 ),
 parsed AS (
   SELECT *, try_strptime("InvoiceDate", '%d/%m/%Y %H:%M') AS "InvoiceTimestamp",
-         split_part("Country", '-', 1) AS "CountryID", split_part("Country", '-', 2) AS "RegionID"
+         split_part("Country", '-', 1) AS "CountryID", nullif(split_part("Country", '-', 2), '') AS "RegionID"
   FROM raw_transactions
 ),
 valid AS (
@@ -125,7 +126,8 @@ outlier_lines AS (
   FROM outliers
 ),
 invalid_lines AS (
-  SELECT concat_ws(',', "InvoiceNo", "StockCode", "Quantity", "CustomerID", "CountryID") AS line
+  SELECT concat_ws(',', "InvoiceNo", "StockCode", coalesce(CAST("Quantity" AS VARCHAR), ''), "CustomerID", "CountryID")
+           AS line
   FROM invalid_countries
 )"""
 )
@@ -268,6 +270,7 @@ FROM (SELECT product_id, count(*) AS description_count FROM dim_products GROUP B
     "top_customers": f"{_GOLD} {_CUSTOMER_SALES} ORDER BY total_sales DESC NULLS LAST, customer_id LIMIT 5",
     "product_mentions": f'{_TRENDS} SELECT "text", product_mention FROM mentions WHERE product_mention IS NOT NULL',
     "trending_products": f"{_TRENDS} SELECT * FROM trending",
+    "dashboard_trends": f"{_TRENDS} SELECT * FROM trending",
     "trending_streaming": f"{_TRENDS} SELECT * FROM trending",
     "ingest_incremental": f"{_BRONZE} SELECT {_PARSED_COLUMNS} FROM valid",
     "ingest_incremental_quarantine": f"{_BRONZE} SELECT {_PARSED_COLUMNS} FROM quarantine",
@@ -288,7 +291,6 @@ FROM (SELECT product_id, count(*) AS description_count FROM dim_products GROUP B
             "outliers": "outliers",
             "invalid_countries": '(SELECT * FROM valid WHERE "CountryID" NOT IN (SELECT geo_id FROM dim_geography))',
         },
-    )
-    + " UNION ALL SELECT 'ingest_batches', 1",
+    ),
     "daily_run_sales": f"{_GOLD} {_FACT}",
 }

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from tillmark.operators import alerts, bronze, dimensions, fact, outliers, reference_check, sales, trends
 from tillmark.plans.daily import DailyRun, run_daily
+from tillmark.plans.dashboard import dashboard
 from tillmark.plans.snapshot import snapshot
+from tillmark.plans.trending import refresh_trends
 from tillmark.plans.warehouse import star_schema
 from tillmark.session import scratch_path
 from tillmark.sinks.layers import write_layer
@@ -347,6 +349,16 @@ def trending_streaming(data: _Data) -> DataFrame:
     return read_layer(data.spark, "trending_products", path)
 
 
+@_query
+def dashboard_trends(data: _Data) -> DataFrame:
+    """The trend table as the dashboard reads it, from where a refresh stored it."""
+    gold = scratch_path(data.spark, "dashboard")
+    refresh_trends(data.tables.messages(), lambda df, name: write_layer(df, name, gold), PART_KEYWORDS)
+    for name, df in data.star.items():
+        write_layer(df.limit(0), name, gold)
+    return dashboard(data.spark, gold)["trending_products"]
+
+
 # --- jobs ----------------------------------------------------------------------------------------------------------
 
 
@@ -394,8 +406,9 @@ def _daily_run(data: _Data) -> tuple[DailyRun, dict[str, int]]:
 
 @_query
 def daily_run_metrics(data: _Data) -> DataFrame:
-    """Rows per table that a daily run writes."""
+    """Rows per table that a daily run writes. In how many batches they came depends on their size, so that is left out."""
     _, metrics = _daily_run(data)
+    metrics.pop("ingest_batches")
     return data.spark.createDataFrame(sorted(metrics.items()), "metric string, row_count bigint")
 
 
