@@ -86,6 +86,42 @@ def test_dashboard(spark, run):
     assert len(set(totals.values())) == 1 and len(totals) == 4
 
 
+def test_a_first_run_without_files(spark, run, tmp_path):
+    (tmp_path / "raw" / "1.txt").unlink()
+    metrics = run_daily(spark, run)
+    assert {metrics[name] for name in ("fct_sales", "dim_date", "dim_customers", "outliers", "invalid_countries")} == {0}
+    assert read_layer(spark, "fct_sales", run.gold).count() == 0
+    assert [row.message for row in read_layer(spark, "digest", run.reports).collect()] == [
+        "No high-value order anomalies detected.", "No invalid CountryID transactions detected."
+    ]
+    (tmp_path / "raw" / "2.txt").write_text(lines(200, 2, 12))
+    assert run_daily(spark, run)["fct_sales"] == 11
+
+
+def test_the_dashboard_prints_and_stores_every_row(spark, run, tmp_path, capsys):
+    codes = [f"11{n:02d}" for n in range(30)]
+    (tmp_path / "countries.csv").write_text("CountryID,CountryName\n" + "".join(f"{c},country {c}\n" for c in codes))
+    days = [f"{1 + n % 28:02d}/{2 + n // 28:02d}/2024" for n in range(40)]
+    prices = "".join(f"A,CAKE,1.50,2024-{day[3:5]}-{day[:2]}\n" for day in days)
+    (tmp_path / "products.csv").write_text(PRODUCTS.splitlines()[0] + "\n" + prices)
+    sold = "".join(f"{n},A,1,{day} 10:00,17850,{codes[n % 30]}-1\n" for n, day in enumerate(days))
+    (tmp_path / "raw" / "1.txt").write_text(sold)
+    run_daily(spark, run)
+    counts = command("dashboard", "--lake", run.lake)
+    assert (counts["sales_by_day"], counts["sales_by_country"]) == (40, 30)
+    printed = capsys.readouterr().out.splitlines()
+    countries = [line.split(" | ")[0] for line in printed if line.startswith("country 11")]
+    assert countries == [f"country {code}" for code in codes]
+    assert sum(line.startswith("2024-") for line in printed) == 40
+    assert read_layer(spark, "sales_by_country", f"{run.lake}/dashboard").count() == 30
+
+
+@pytest.mark.parametrize("options", [[], ["--topic", "t"], ["--servers", "s:1"]])
+def test_trends_need_a_source(options):
+    with pytest.raises(SystemExit):
+        command("trends", "--lake", "unused", *options)
+
+
 def command(*words):
     return cli.main([str(word) for word in words])
 
@@ -108,6 +144,7 @@ def test_commands(spark, run, tmp_path, capsys):
     spark.createDataFrame(message_rows, schemas.MESSAGES).write.parquet(str(tmp_path / "messages"))
     for mode in ([], ["--stream"]):
         assert command("trends", *lake, "--archive", tmp_path / "messages", *mode) == {"trending_products": 2}
+    assert command("dashboard", *lake)["trending_products"] == 2
     trending = read_layer(spark, "trending_products", run.gold).collect()
     assert [row["count"] for row in trending] == [2, 1]
 
