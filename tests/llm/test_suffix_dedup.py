@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 from llm_rows import documents, odd_rows, with_clashing_columns, words
+from pyspark.sql import functions as F
 
 from tillmark.llm import suffix_dedup as d
 from tillmark.llm.suffix_array import common_prefixes, suffix_array
@@ -66,14 +67,28 @@ def test_equal_to_a_table_of_all_strings(spark):
     assert sorted(map(tuple, found)) == brute(rows)
 
 
-def test_small_arrays_and_batches_give_the_same(spark, monkeypatch, setting):
+def test_small_batches_and_blocks_give_the_same(spark, monkeypatch, setting):
     rows = passages(60)
-    monkeypatch.setattr(d, "ARRAY_BYTES", 500)
+    monkeypatch.setattr(d, "BATCH_BYTES", 3000)
+    monkeypatch.setattr(d, "BLOCK_BYTES", 900)
     setting(spark__sql__execution__arrow__maxRecordsPerBatch="7", spark__sql__autoBroadcastJoinThreshold="-1")
     found = d.remove_repeats(documents(spark, rows).repartition(3)).collect()
     assert sorted(map(tuple, found)) == brute(rows)
 
 
+def test_small_suffix_arrays_give_the_same(spark, monkeypatch):
+    texts = documents(spark, passages(60)).select("doc_id", "text").coalesce(1)
+    shared = d.map_groups(d.pack_anchors(texts, 1), ["bucket"], d._shared, d.SHARED)
+    shared = shared.groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
+    packed = d.pack_stretches(texts.join(shared, "doc_id"), 1).toArrow()
+    marks = []
+    for size in (1 << 20, 200):
+        monkeypatch.setattr(d, "ARRAY_BYTES", size)
+        parts = list(d._marks([packed]))
+        marks.append(sorted(tuple(row.values()) for part in parts for row in part.to_pylist()))
+    assert len(parts) > 20 and marks[0] == marks[1] and marks[0]
+
+
 def test_odd_rows(spark):
     frame = with_clashing_columns(documents(spark, odd_rows()))
     found = d.remove_repeats(frame).collect()
