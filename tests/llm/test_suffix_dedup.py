@@ -101,6 +101,20 @@ def test_odd_rows(spark):
     assert d.remove_repeats(documents(spark, [])).count() == 0
 
 
+def test_repeated_rows_that_lose_a_passage_stay_as_many(spark):
+    rng = random.Random(21)
+    shared = words(rng, 15)
+    rows = [(1, words(rng, 9) + shared), (2, words(rng, 8) + shared + words(rng, 8)), (3, shared + words(rng, 9))]
+    rows = [rows[0], *[rows[1]] * 3, *[rows[2]] * 2]
+    frame = documents(spark, rows)
+    for repeated in (frame.coalesce(1), frame.repartition(4)):
+        found = sorted(map(tuple, d.remove_repeats(repeated).collect()))
+        assert found == brute(rows) and found[1][2] > 0
+    spans = {row["of"]: len(row["spans"]) for row in d.spans_to_remove(frame.repartition(4)).collect()}
+    once = {row["of"]: len(row["spans"]) for row in d.spans_to_remove(frame.distinct()).collect()}
+    assert spans == once
+
+
 def test_the_texts_that_are_left(spark):
     rng = random.Random(2)
     shared = "é" * 30 + words(rng, 12)

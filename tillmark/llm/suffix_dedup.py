@@ -144,7 +144,12 @@ def _shared(tables) -> Batches:
         other = np.zeros(number[-1] + 1, bool)
         other[number[doc != doc[new][number]]] = True
         chosen = other[number]
-        columns = [pa.array(doc[chosen]), pa.array(anchor[chosen].astype(np.int64))]
+        anchor, doc = anchor[chosen], doc[chosen]
+        # A row that is repeated asks once, else its list would grow with each repeat of it.
+        order = np.lexsort((doc, anchor))
+        anchor, doc = anchor[order], doc[order]
+        new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])])[: len(doc)]
+        columns = [pa.array(doc[new]), pa.array(anchor[new].astype(np.int64))]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "anchor"])
 
 
@@ -255,8 +260,11 @@ def _marks(tables) -> Batches:
         which = number[which]
         owner = np.full(len(kept), np.iinfo(np.int64).max)
         np.minimum.at(owner, which, doc)
-        by_stretch = np.argsort(which, kind="stable")
+        by_stretch = np.lexsort((start, doc, which))
         which, doc, start = which[by_stretch], doc[by_stretch], start[by_stretch]
+        # The same place of the same document comes from each of its repeated rows.
+        new = np.concatenate([[True], (which[1:] != which[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])])
+        which, doc, start = which[new], doc[new], start[new]
         # Whole anchors to one suffix array after the other.
         total = np.cumsum(length[kept])
         ends = np.flatnonzero(np.append(anchor[kept][1:] != anchor[kept][:-1], True)) + 1
@@ -390,6 +398,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         "n_spans",
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+    # Repeated rows are cut alike; each of them is joined with one cut.
+    cuts = cuts.dropDuplicates(["cut_id", "cut_key"])
     same = (judged["doc_id"] == cuts["cut_id"]) & (judged["text_key"] == cuts["cut_key"])
     rows = judged.join(cuts, same, "left")
     copy = (F.col("doc_id") > F.col("first_id")) & (F.col("n_bytes") >= LENGTH)
