@@ -65,6 +65,19 @@ def test_scripts_leave_only_their_languages(spark):
     assert allowed["latin"] == {"xx", "yy"} and allowed["cyrillic"] == {"zz"} and allowed["han"] == set()
 
 
+def test_letters_of_all_scripts_count_and_other_signs_do_not(spark):
+    rng = random.Random(14)
+    syllables = {"te": "తెలు గువా క్యం పదం".split(), "km": "ខ្មែរ ភាសា អក្សរ".split(), "am": "አማርኛ ቋንቋ ሰላም".split()}
+    learned = [(1000 + n, " ".join(rng.choices(syllables[lang], k=20)), lang) for lang in syllables for n in range(60)]
+    _, docs = corpus(spark, 60)
+    model = language.train(docs.unionByName(documents(spark, learned)))
+    texts = ["తెలుగు గువా పదం", "ភាសា ខ្មែរ", "አማርኛ ቋንቋ", "×÷ × ÷", "١٢٣ ٤٥٦", "ἀἁἂ ἤἥ", "ﻼﻴ ﺑﺮ", "ｱｲｳ", "𠀀𠀁"]
+    found = {r["doc_id"]: r for r in language.label_spans(documents(spark, list(enumerate(texts))), model).collect()}
+    assert [found[k]["lang_pred"] for k in range(3)] == ["te", "km", "am"]
+    assert [(found[k]["lang_pred"], found[k]["score"]) for k in (3, 4)] == [("und", 0.0)] * 2
+    assert all(found[k]["lang_pred"] != "und" and found[k]["score"] > 0 for k in range(5, 9))
+
+
 def test_odd_rows(spark):
     _, docs = corpus(spark, 60)
     model = language.train(docs.unionByName(documents(spark, [(500, None, "xx"), (501, "text", None), (None, "t", "xx")])))

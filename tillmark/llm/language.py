@@ -1,12 +1,13 @@
 """Language identification: script ranges, per-word scores, and Viterbi with a switching penalty.
 
-The script of a word, read from ranges of code points, leaves only the languages that are written in it. Those are
-scored by character n-grams of the word, and the best labelling of a document's words under a penalty for each change
+Letters are the code points of a Unicode letter category. The script of a word, read from ranges of code points, leaves
+only the languages that are written in it; letters outside of the ranges leave all languages. Those are scored by character n-grams of the word, and the best labelling of a document's words under a penalty for each change
 of language gives spans of one language each. A document's language is the one that most of its letters lie in.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -52,7 +53,7 @@ BLOCK_BYTES = 1 << 20
 LABELLED = "doc_id long, lang_pred string, score double"
 SPANS = "spans array<struct<start: long, end: long, lang: string>>"
 
-#: First and last code point of ranges, by script; code points outside of them belong to none.
+#: First and last code point of ranges, by script; what is no letter in them doesn't count.
 SCRIPT_RANGES = (
     ("latin", 0x41, 0x5A), ("latin", 0x61, 0x7A), ("latin", 0xC0, 0x24F), ("latin", 0x1E00, 0x1EFF),
     ("greek", 0x370, 0x3FF), ("cyrillic", 0x400, 0x52F), ("armenian", 0x530, 0x58F), ("hebrew", 0x590, 0x5FF),
@@ -61,11 +62,12 @@ SCRIPT_RANGES = (
     ("han", 0x3400, 0x4DBF), ("han", 0x4E00, 0x9FFF), ("hangul", 0xAC00, 0xD7AF),
 )
 
-SCRIPTS = tuple(dict.fromkeys(name for name, _, _ in SCRIPT_RANGES))
+#: Stands for all scripts outside of the ranges, so it tells nothing about the language.
+OTHER = "other"
 
-_RANGE_START = np.array(sorted(first for _, first, _ in SCRIPT_RANGES))
-_RANGE_END = np.array([last for _, _, last in sorted(SCRIPT_RANGES, key=lambda r: r[1])])
-_RANGE_SCRIPT = np.array([SCRIPTS.index(name) for name, _, _ in sorted(SCRIPT_RANGES, key=lambda r: r[1])])
+SCRIPTS = (*dict.fromkeys(name for name, _, _ in SCRIPT_RANGES), OTHER)
+
+NO_LETTER = 255
 
 
 @dataclass(frozen=True)
@@ -77,15 +79,13 @@ class Model:
     allowed: np.ndarray
 
 
-def _code_points(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where code points begin in UTF-8 bytes, and the code points."""
-    lead = np.flatnonzero((data & 0xC0) != 0x80)
-    byte = data[lead].astype(np.int64)
-    follow = [data[np.minimum(lead + k, len(data) - 1)].astype(np.int64) & 0x3F for k in (1, 2, 3)]
-    two = (byte & 0x1F) << 6 | follow[0]
-    three = (byte & 0x0F) << 12 | follow[0] << 6 | follow[1]
-    four = (byte & 0x07) << 18 | follow[0] << 12 | follow[1] << 6 | follow[2]
-    return lead, np.select([byte < 0x80, byte < 0xE0, byte < 0xF0], [byte, two, three], four)
+@functools.cache
+def _script_of() -> np.ndarray:
+    """The script of each code point that is a letter by its Unicode category, and ``NO_LETTER`` for all others."""
+    scripts = np.full(0x110000, SCRIPTS.index(OTHER), np.uint8)
+    for name, low, high in SCRIPT_RANGES:
+        scripts[low : high + 1] = SCRIPTS.index(name)
+    return np.where(textbytes.categories() == ord("L"), scripts, np.uint8(NO_LETTER))
 
 
 @dataclass
@@ -107,11 +107,11 @@ def read_words(data: np.ndarray, first: np.ndarray) -> Words:
     # Scripts of the distinct words only; the others repeat them.
     counts = np.zeros((len(distinct.hashes), len(SCRIPTS)), np.int64)
     if len(distinct.spelled):
-        place, points = _code_points(distinct.spelled)
-        at = np.searchsorted(_RANGE_START, points, "right") - 1
-        inside = (at >= 0) & (points <= _RANGE_END[at])
-        word = np.searchsorted(distinct.first, place[inside], "right") - 1
-        np.add.at(counts, (word, _RANGE_SCRIPT[at[inside]]), 1)
+        place = np.flatnonzero((distinct.spelled & 0xC0) != 0x80)
+        of = _script_of()[textbytes.code_points(distinct.spelled, place)]
+        letter = of != NO_LETTER
+        word = np.searchsorted(distinct.first, place[letter], "right") - 1
+        np.add.at(counts, (word, of[letter]), 1)
     letters, script = counts.sum(axis=1), counts.argmax(axis=1)
     return Words(start, end, first_word, letters[distinct.inverse], script[distinct.inverse], distinct)
 
@@ -166,6 +166,7 @@ def train(docs: DataFrame, per_language: int = TRAINING_DOCUMENTS) -> Model:
     scores = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * BUCKETS))
     scores -= scores.mean(axis=1, keepdims=True)
     allowed = letters >= SCRIPT_SHARE * np.maximum(1, letters.sum(axis=0))
+    allowed[SCRIPTS.index(OTHER)] = True
     return Model(languages, (WEIGHT * scores).astype(np.float32), allowed)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,16 +87,42 @@ def words(
     data: np.ndarray, first: np.ndarray, separator: np.ndarray = SPACE
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of each word, and the number of the first word of each document (one more at the end)."""
-    inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~separator[data]
-    border = np.zeros(len(data) + 1, bool)
+    return runs(separator[data], first)
+
+
+def runs(
+    outside: np.ndarray, first: np.ndarray, cuts: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Like ``words``, from whether each byte lies outside of words and places before which words end besides."""
+    inside = np.zeros(len(outside) + 2, bool)
+    inside[1:-1] = ~outside
+    border = np.zeros(len(outside) + 1, bool)
     border[first] = True
+    if cuts is not None:
+        border[cuts] = True
     before, after = inside[:-1], inside[1:]
     start = np.flatnonzero(after & (~before | border))
     end = np.flatnonzero(before & (~after | border))
     return start, end, np.searchsorted(start, first)
 
 
+@functools.cache
+def categories() -> np.ndarray:
+    """The first letter of the Unicode category of each code point, as a byte."""
+    return np.frombuffer("".join(unicodedata.category(chr(c))[0] for c in range(0x110000)).encode(), np.uint8)
+
+
+def code_points(data: np.ndarray, lead: np.ndarray) -> np.ndarray:
+    """The code points that begin at some places of UTF-8 bytes."""
+    byte = data[lead].astype(np.int64)
+    follow = [data[np.minimum(lead + k, len(data) - 1)].astype(np.int64) & 0x3F for k in (1, 2, 3)]
+    two = (byte & 0x1F) << 6 | follow[0]
+    three = (byte & 0x0F) << 12 | follow[0] << 6 | follow[1]
+    four = (byte & 0x07) << 18 | follow[0] << 12 | follow[1] << 6 | follow[2]
+    points = np.select([byte < 0x80, byte < 0xE0, byte < 0xF0], [byte, two, three], four)
+    return np.minimum(points, 0x10FFFF)
+
+
 def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     """Hash of each run of ``width`` hashes; those that reach into the next document must be left out by the caller."""
     n = len(hashes) - width + 1
