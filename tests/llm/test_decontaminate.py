@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from llm_rows import documents, odd_rows, with_clashing_columns, words
 
 from tillmark.llm import decontaminate as d
@@ -73,6 +74,28 @@ def test_several_passes_find_the_same(spark, monkeypatch):
     assert d.keep_clean(docs, items).count() == 0
 
 
+def test_scripts_without_spaces_and_their_punctuation(spark):
+    passages = [
+        "敏捷的棕色狐狸跳过了那只懒惰的狗", "いろはにほへとちりぬるを", "สุนัขจิ้งจอกสีน้ำตาลกระโดด", "កញ្ជ្រោងពណ៌ត្នោតលោត",
+        "「one two」—three four… five six", "𠀀𠀁𠀂𠀃𠀄𠀅",
+    ]
+    around = ["前文很长", "まえ。", "ก่อน", "មុន", "“zero“", "𠁀"]
+    rows = [(n, around[n] + passage + around[n]) for n, passage in enumerate(passages)] + [(8, "前文很长。"), (9, "zero")]
+    rows.append((10, "one, two; three four! five six"))
+    items = spark.createDataFrame(list(enumerate(passages)), ITEMS)
+    found = d.leaks(documents(spark, rows), items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == {(n, n) for n in range(6)} | {(10, 4)}
+    assert all(r["coverage"] == 1.0 for r in found)
+    assert sorted(r["doc_id"] for r in d.keep_clean(documents(spark, rows), items).collect()) == [8, 9]
+
+
+def test_short_items_are_counted(spark):
+    items = spark.createDataFrame([(1, "one two"), (2, "狐狸跳过"), (3, "a b c d e"), (4, None)], ITEMS)
+    assert d.too_short(["one two", "狐狸跳过", "a b c d e", None]) == [True, True, False, True]
+    with pytest.warns(UserWarning, match="^2 benchmark items of fewer than 5 tokens"):
+        assert d.leaks(documents(spark, [(1, "one two 狐狸跳过")]), items).count() == 0
+
+
 def test_odd_rows(spark):
     items = [(None, odd_rows()[0][1]), (1, None), (2, ""), (3, "one id"), (4, odd_rows()[9][1]), (4, odd_rows()[9][1])]
     frame = with_clashing_columns(documents(spark, odd_rows()))

@@ -8,6 +8,8 @@ were moved are caught too. A pair is reported if the tiles cover enough of the i
 
 from __future__ import annotations
 
+import functools
+import warnings
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -30,14 +32,50 @@ BENCHMARK_BYTES = 8 << 20
 
 LEAKS = "doc_id long, item_id long, matched_tokens long, coverage double"
 
-#: Tokens end at white space and at ASCII punctuation.
+#: Tokens end at white space and at punctuation; these are the ASCII ones.
 SEPARATOR = textbytes.SPACE.copy()
 SEPARATOR[[byte for byte in range(0x21, 0x7F) if not chr(byte).isalnum()]] = True
 
 
+#: First and last code point of blocks of scripts that are written without spaces between words.
+UNSPACED = (
+    (0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F),
+    (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x3029), (0x3038, 0x303B), (0x3040, 0x312F), (0x31A0, 0x31BF),
+    (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9DF), (0xA9E0, 0xA9FF), (0xAA60, 0xAADF),
+    (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF),
+)
+
+_WITHIN, _BETWEEN, _ALONE = range(3)
+
+
+@functools.cache
+def _kinds() -> np.ndarray:
+    """Whether each code point lies within a token, between tokens, or is a token of its own."""
+    kinds = np.full(0x110000, _WITHIN, np.uint8)
+    for low, high in UNSPACED:
+        kinds[low : high + 1] = _ALONE
+    kinds[np.isin(textbytes.categories(), np.frombuffer(b"PSZ", np.uint8))] = _BETWEEN
+    # NEL and the spaces without width.
+    kinds[[0x85, 0x200B, 0xFEFF]] = _BETWEEN
+    return kinds
+
+
 def tokens(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each token (A-Z lower-cased), and the number of each document's first token."""
-    start, end, first_token = textbytes.words(data, first, SEPARATOR)
+    """Hash of each token (A-Z lower-cased), and the number of each document's first token.
+
+    Tokens end at white space, punctuation and symbols; each code point of a script that is written without spaces is a
+    token.
+    """
+    outside, cuts = SEPARATOR[data], None
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        kind = _kinds()[textbytes.code_points(data, lead)]
+        length = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+        between, alone = kind == _BETWEEN, kind == _ALONE
+        for k in range(4):
+            outside[lead[between & (length > k)] + k] = True
+        cuts = np.concatenate([lead[alone], lead[alone] + length[alone]])
+    start, end, first_token = textbytes.runs(outside, first, cuts)
     return textbytes.Hasher(textbytes.LOWER[data])(start, end), first_token
 
 
@@ -177,7 +215,17 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str]]]:
     passes = max(1, -(-size // BENCHMARK_BYTES))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
     for n in range(passes):
-        yield [(row["item_id"], row["text"]) for row in items.where(part == n).collect()]
+        rows = [(row["item_id"], row["text"]) for row in items.where(part == n).collect()]
+        left_out = sum(too_short([text for _, text in rows]))
+        if left_out:
+            warnings.warn(f"{left_out} benchmark items of fewer than {LEAST_TILE} tokens match nothing", stacklevel=3)
+        yield rows
+
+
+def too_short(texts: list[str | None]) -> list[bool]:
+    """Whether each text has fewer than ``LEAST_TILE`` tokens, so that as a benchmark item it matches nothing."""
+    _, first_token = tokens(*textbytes.utf8(pa.array(texts, pa.string())))
+    return (np.diff(first_token) < LEAST_TILE).tolist()
 
 
 def _leaks_of_block(docs: DataFrame, rows: list[tuple[int | None, str]], coverage: float) -> DataFrame:
@@ -202,7 +250,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     """Pairs of a document and a benchmark item that it contains: doc_id, item_id, matched_tokens, coverage.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text. Documents that contain no item don't appear. Items of
-    fewer than ``LEAST_TILE`` tokens, NULL ones among them, name no passage and match nothing. A pair of rows is
+    fewer than ``LEAST_TILE`` tokens, NULL ones among them, name no passage and match nothing; a warning says how many
+    there are besides NULL ones (``too_short`` tells which). A pair of rows is
     reported once for each such pair, so repeated rows of either table repeat it; ids may be NULL. Other columns are
     ignored; if either table is empty so is the result.
 
