@@ -152,6 +152,17 @@ def test_commands(spark, run, tmp_path, capsys):
     assert counts == {"countries": 2, "products": 4, "transactions": 22, "quarantine": 2}
 
 
+def test_a_whole_snapshot_has_what_other_jobs_wrote(spark, run, tmp_path):
+    run_daily(spark, run)
+    trend = spark.createDataFrame([("cake", 3)], "product string, count long")
+    trend.write.parquet(f"{run.gold}/trending_products")
+    counts = command("snapshot", "--lake", run.lake, "--destination", tmp_path / "backups", "--whole")
+    assert {f"gold/{n}" for n in ("dim_date", "dim_customers", "dim_products", "dim_geography", "fct_sales")} < set(counts)
+    assert {f"reports/{n}" for n in ("outliers", "invalid_countries", "digest", "outliers.txt", "invalid_country.csv")} < set(counts)
+    assert (counts["gold/trending_products"], counts["gold/fct_sales"], counts["transactions"]) == (1, 22, 22)
+    assert not any(name.startswith("dashboard") for name in counts)
+
+
 def test_snapshot(spark, run, tmp_path):
     run_daily(spark, run)
     tables = {

@@ -21,7 +21,12 @@ from tillmark.session import get_spark
 from tillmark.sinks.jdbc import JdbcTarget, read_jdbc
 from tillmark.sinks.layers import write_layer
 from tillmark.sources import messages
-from tillmark.sources.layers import read_layer, read_quarantine, read_valid_transactions
+from tillmark.sources.layers import exists, read_layer, read_quarantine, read_valid_transactions
+
+
+#: Tables that may lie under the lake's gold folder, and answers under its dashboard folder.
+GOLD = ("dim_date", "dim_customers", "dim_products", "dim_geography", "fct_sales", trending.TABLE)
+ANSWERS = ("sales_by_day", "top_products", "sales_by_country", "top_customers", trending.TABLE)
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -30,7 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     required = {"lake", "raw-transactions", "raw-countries", "raw-products", "destination"}
     jdbc = ("jdbc-url", "jdbc-driver", "jdbc-partitions", "jdbc-batch-size", "jdbc-truncate")
     ingest = ("clean-source", "archive-folder")
-    flags = {"stream", "jdbc-truncate"}
+    flags = {"stream", "jdbc-truncate", "whole"}
 
     def command(name: str, text: str, *options: str) -> None:
         sub = commands.add_parser(name, help=text)
@@ -50,7 +55,7 @@ def _parser() -> argparse.ArgumentParser:
     command("daily", "all of the above", "raw-transactions", "raw-countries", "raw-products", *ingest, *jdbc)
     command("trends", "refresh the trend table", "servers", "topic", "archive", "stream", *jdbc)
     command("dashboard", "print the five questions and store the answers", *jdbc)
-    command("snapshot", "copy the lake", "destination")
+    command("snapshot", "copy the bronze tables; with --whole also gold, trends, reports and dashboard", "destination", "whole")
     return parser
 
 
@@ -96,13 +101,23 @@ def _trends(spark: SparkSession, options: argparse.Namespace, gold: str) -> dict
     return {} if target else {trending.TABLE: read_layer(spark, trending.TABLE, gold).count()}
 
 
-def _snapshot(spark: SparkSession, run: daily.DailyRun, destination: str) -> dict[str, int]:
+def _snapshot(spark: SparkSession, run: daily.DailyRun, destination: str, whole: bool = False) -> dict[str, int]:
     tables = {
         "countries": read_layer(spark, "countries", run.lake),
         "products": read_layer(spark, "products", run.lake),
         "transactions": read_valid_transactions(spark, run.transactions),
         "quarantine": read_quarantine(spark, run.transactions),
     }
+    # What other jobs have written so far; gold tables in a database aren't part of the lake.
+    layers = [(run.gold, name) for name in GOLD]
+    layers += [(run.reports, name) for name in ("outliers", "invalid_countries", "digest")]
+    layers += [(f"{run.lake}/dashboard", name) for name in ANSWERS]
+    for root, name in layers if whole else ():
+        if exists(lambda root=root, name=name: read_layer(spark, name, root)):
+            tables[f"{root.removeprefix(f'{run.lake}/')}/{name}"] = read_layer(spark, name, root)
+    for name in ("outliers.txt", "invalid_country.csv") if whole else ():
+        if exists(lambda name=name: spark.read.text(f"{run.reports}/{name}")):
+            tables[f"reports/{name}"] = spark.read.text(f"{run.reports}/{name}")
     stamp = f"{dt.datetime.now(dt.timezone.utc):%Y-%m-%d-%H%M%S}"
     return {row.table_name: row.row_count for row in snapshot(spark, tables, destination, stamp).collect()}
 
@@ -158,7 +173,7 @@ def main(arguments: Sequence[str] | None = None) -> dict[str, int]:
     elif options.command == "trends":
         counts = _trends(spark, options, run.gold)
     elif options.command == "snapshot":
-        counts = _snapshot(spark, run, options.destination)
+        counts = _snapshot(spark, run, options.destination, options.whole)
     else:
         counts = _dashboard(spark, options.lake, run.gold, target)
     for name, count in counts.items():
