@@ -1,0 +1,117 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_rows import documents, odd_rows, with_clashing_columns
+
+from tillmark.llm import source_audit as a
+from tillmark.llm import terms as T
+
+TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def terms_of(text):
+    return re.findall(TERM, "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def brute_force(rows, least=10, top=10):
+    counts, held, groups = defaultdict(Counter), defaultdict(Counter), defaultdict(set)
+    for _, text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        groups[lang].add(source)
+        found = terms_of(text)
+        counts[lang, source].update(found)
+        held[lang].update(set(found))
+    result = []
+    for lang, sources in groups.items():
+        kept = [term for term, n in held[lang].items() if n >= least]
+        share = {}
+        for group in [*sorted(sources), None]:
+            times = {t: sum(counts[lang, s][t] for s in (sources if group is None else [group])) for t in kept}
+            total = sum(times.values()) + 2 * len(kept)
+            share[group] = {t: 1 + 10**9 * (times[t] + 2) // total for t in kept}
+
+        def apart(p, q):
+            return (p - q) ** 2 // (p + q)
+
+        for source in sources:
+            pairs = [(o, sum(apart(share[source][t], share[o][t]) for t in kept)) for o in sources - {source}]
+            telling = [
+                (t, apart(share[source][t], share[None][t]))
+                for t in kept
+                if counts[lang, source][t] and share[source][t] > share[None][t]
+            ]
+            for part, found, limit in (("pair", pairs, None), ("term", telling, top)):
+                found.sort(key=lambda row: (-row[1], row[0].encode()))
+                result += [(lang, source, part, item, v, k + 1) for k, (item, v) in enumerate(found[:limit])]
+    return sorted(result)
+
+
+def found(frame):
+    assert frame.columns == ["lang", "source", "part", "item", "value", "rank"]
+    return sorted(tuple(row) for row in frame.collect())
+
+
+def sample(rng):
+    vocabulary = [*"abcdefgh", "eightchr", "ninechars", "sixteenbyteslong", "seventeen-bytes", "seventeenbyteslon"]
+    vocabulary += ["éééé", "ééééé", "日本語の文", "日本語の長い文です" * 3, "x" * 5000, "ABC", "Éa", "éA"]
+    rows = [(k, None, lang, source) for k, (lang, source) in enumerate([("en", "s9"), ("xx", "s1"), ("xx", "s2"), (None, "n")])]
+    for k in range(150):
+        lang, source = rng.choice(["en", "de", "", None]), rng.choice(["s1", "s2", "s3", "s10", None])
+        some = rng.sample(vocabulary, 6)
+        rows.append((k, " ".join(rng.choice(some) for _ in range(rng.randrange(0, 30))), lang, source))
+    return rows
+
+
+@pytest.mark.parametrize("blocks", [{}, {"source_block": 2, "compared_counts": 5}, {"source_block": 1}])
+def test_brute_force(spark, blocks):
+    rows = sample(random.Random(8))
+    frame = with_clashing_columns(documents(spark, rows)).withColumnRenamed("kept", "term").repartition(6)
+    assert found(a.audit(frame, **blocks)) == brute_force(rows)
+
+
+def test_odd_rows_repeated_rows_and_limits(spark):
+    rows = [(*row, "en", f"s{k % 3}") for k, row in enumerate(odd_rows(2000))] + [(1, "the row", "en", None)] * 12
+    assert found(a.audit(documents(spark, rows), least_documents=2, top_terms=3)) == brute_force(rows, 2, 3)
+
+
+def test_empty_tables(spark):
+    assert found(a.audit(documents(spark, []))) == []
+    lone = [(1, "a", "en", "s"), (2, None, "de", "s"), (3, None, "de", "t")]
+    assert found(a.audit(documents(spark, lone))) == [("de", "s", "pair", "t", 0, 1), ("de", "t", "pair", "s", 0, 1)]
+
+
+@pytest.mark.parametrize("held", [1, 50, 1 << 20])
+def test_counts_whatever_a_task_holds(held, monkeypatch):
+    monkeypatch.setattr(a, "HELD_ROWS", held)
+    rows = sample(random.Random(2))
+    numbers, counts, sums = {}, a.TermCounts(), defaultdict(lambda: [0, 0])
+    for some in (rows[:40], rows[40:90], rows[90:]):
+        group = np.array([numbers.setdefault(row[2:], len(numbers)) for row in some], np.uint32)
+        for at, found_terms in T.of_texts(pa.array([row[1] for row in some], pa.string()), a.SEPARATOR):
+            counts.add(found_terms, group[at : at + len(found_terms.first) - 1])
+        batches = list(counts.taken(list(numbers))) if counts.full or some is rows[90:] or held == 1 else []
+        for row in (row for batch in batches for row in batch.to_pylist()):
+            sums[row["lang"], row["source"], row["term"]][0] += row["times"]
+            sums[row["lang"], row["source"], row["term"]][1] += row["documents"]
+    for batch in counts.taken(list(numbers)):
+        for row in batch.to_pylist():
+            sums[row["lang"], row["source"], row["term"]][0] += row["times"]
+            sums[row["lang"], row["source"], row["term"]][1] += row["documents"]
+    want = defaultdict(lambda: [0, 0])
+    for _, text, lang, source in rows:
+        for term, n in Counter(terms_of(text)).items():
+            want[lang, source, term][0] += n
+            want[lang, source, term][1] += 1
+    assert sums == want
+
+
+def test_radix_order_and_shares_are_exact():
+    rng = np.random.default_rng(1)
+    keys = [rng.integers(0, 3, 500).astype(np.uint32), rng.integers(0, 1 << 63, 500).astype(np.uint64) >> np.uint64(40)]
+    assert T.radix_order(keys).tolist() == np.lexsort(keys[::-1]).tolist()
+    times, total = np.array([2, 10**15, 7], np.int64), np.array([3, 9 * 10**15, 7], np.int64)
+    assert a.shares(times, total).tolist() == [1 + 10**9 * int(t) // int(n) for t, n in zip(times, total, strict=True)]

@@ -177,7 +177,9 @@ def kept_counts(docs: DataFrame, least_documents: int = LEAST_DOCUMENTS) -> Data
     return kept.select("lang", "source", "term", "times", "lang_times", "leads")
 
 
-def group_totals(kept: DataFrame) -> DataFrame:
+def group_totals(
+    kept: DataFrame, source_block: int = SOURCE_BLOCK, compared_counts: int = COMPARED_COUNTS
+) -> DataFrame:
     """One row per language and source: number (from 0 within the language), block, total, and for the language
     kept_terms, lang_total, blocks, salts."""
     sums = kept.groupBy("lang", "source").agg(
@@ -189,12 +191,12 @@ def group_totals(kept: DataFrame) -> DataFrame:
         "lang",
         "source",
         number.alias("number"),
-        F.floor(number / SOURCE_BLOCK).cast("int").alias("block"),
+        F.floor(number / source_block).cast("int").alias("block"),
         "total",
         F.sum("leads").over(lang).alias("kept_terms"),
         F.sum("total").over(lang).alias("lang_total"),
-        F.ceil(F.count(F.lit(1)).over(lang) / SOURCE_BLOCK).cast("int").alias("blocks"),
-        F.ceil(F.sum("counts").over(lang) / COMPARED_COUNTS).cast("int").alias("salts"),
+        F.ceil(F.count(F.lit(1)).over(lang) / source_block).cast("int").alias("blocks"),
+        F.ceil(F.sum("counts").over(lang) / compared_counts).cast("int").alias("salts"),
     )
 
 
@@ -220,10 +222,9 @@ def apart(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 def _compared(counts: pa.Table, totals: pa.Table, low: int, high: int) -> pa.Table:
     """Every pair of a source of block ``low`` and one of block ``high``, over the terms of ``counts``."""
     totals = totals.sort_by("number")
-    number, total, kept = (totals.column(name).to_numpy() for name in ("number", "total", "kept_terms"))
+    block, number, total, kept = (totals.column(name).to_numpy() for name in ("block", "number", "total", "kept_terms"))
     raised = total + RAISED * kept
-    ahead = np.flatnonzero(number // SOURCE_BLOCK == low)
-    behind = np.flatnonzero(number // SOURCE_BLOCK == high)
+    ahead, behind = np.flatnonzero(block == low), np.flatnonzero(block == high)
     sums = np.zeros((len(number), len(number)), np.int64)
     encoded = counts.column("term").combine_chunks().dictionary_encode()
     code, seen = encoded.indices.to_numpy(zero_copy_only=False), len(encoded.dictionary)
@@ -258,7 +259,7 @@ def _compared(counts: pa.Table, totals: pa.Table, low: int, high: int) -> pa.Tab
 def source_pairs(kept: DataFrame, totals: DataFrame) -> DataFrame:
     """lang, source, item (another source of the language) and value: how far their shares are apart over all terms.
 
-    Sources are compared in blocks of ``SOURCE_BLOCK``, each pair of blocks in as many tasks as its language's counts
+    Sources are compared in blocks, each pair of blocks in as many tasks as its language's counts
     take (``salts``, by term), so neither a language of many sources nor one of many terms meets in one task. Every
     source goes to each of them with its total, which is what a source without a term needs.
     """
@@ -274,7 +275,8 @@ def source_pairs(kept: DataFrame, totals: DataFrame) -> DataFrame:
     counts = dealt(_with_totals(kept.filter("term != ''"), totals), salt, "term", "number", "times")
     # Both sides come from the totals; columns of their own tell them apart.
     totals = totals.select(*[F.col(name).alias(name) for name in totals.columns])
-    sources = dealt(totals, F.explode(F.sequence(F.lit(0), F.col("salts") - 1)), "source", "number", "total", "kept_terms")
+    salts = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    sources = dealt(totals, salts, "source", "block", "number", "total", "kept_terms")
 
     def run(key, counts: pa.Table, sources: pa.Table) -> pa.Table:
         lang, low, high, _ = (part.as_py() for part in key)
@@ -313,7 +315,12 @@ def telling_terms(kept: DataFrame, totals: DataFrame) -> DataFrame:
 
 
 def audit(
-    docs: DataFrame, folder: str | None = None, least_documents: int = LEAST_DOCUMENTS, top_terms: int = TOP_TERMS
+    docs: DataFrame,
+    folder: str | None = None,
+    least_documents: int = LEAST_DOCUMENTS,
+    top_terms: int = TOP_TERMS,
+    source_block: int = SOURCE_BLOCK,
+    compared_counts: int = COMPARED_COUNTS,
 ) -> DataFrame:
     """lang, source, part, item, value, rank: parts ``pair`` (all other sources of the language) and ``term`` (the
     ``top_terms`` that tell a source from its language most), ranked by value, then by item in order of bytes.
@@ -330,7 +337,7 @@ def audit(
     folder = folder or scratch_path(spark, "source-audit")
     kept_counts(docs, least_documents).write.parquet(f"{folder}/kept")
     kept = spark.read.parquet(f"{folder}/kept")
-    group_totals(kept).write.parquet(f"{folder}/totals")
+    group_totals(kept, source_block, compared_counts).write.parquet(f"{folder}/totals")
     totals = spark.read.parquet(f"{folder}/totals")
     order = Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")
     columns = ["lang", "source", "part", "item", "value", "rank"]

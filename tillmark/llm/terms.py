@@ -16,8 +16,8 @@ from tillmark.llm import textbytes
 #: Bytes of a term that one and two words hold.
 ONE_WORD, TWO_WORDS = 8, 16
 
-#: Longer terms are taken out one by one.
-LONGEST_ROW = 4096
+#: Terms of more bytes are copied one by one, others byte by byte.
+SLICED = 64
 
 _PADDING = np.zeros(TWO_WORDS, np.uint8)
 
@@ -58,24 +58,21 @@ class Terms:
         return [self.word(which, 8 * k) for k in range(n)]
 
     def long_rows(self, which: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Some long terms by length: which they are, and their bytes as fixed-width values that sort as bytes do."""
+        """Some long terms, all of one length at a time: which they are, and their bytes as values that sort as bytes."""
         order = which[np.argsort(self.length[which], kind="stable")]
         for some in np.split(order, np.flatnonzero(np.diff(self.length[order])) + 1):
             if not len(some):
                 continue
             width = int(self.length[some[0]])
-            if width > LONGEST_ROW:
-                for one in some:
-                    yield np.array([one]), np.array([self.spelled(one)], f"S{width}")
-                continue
-            # As many rows at a time as keep their places small.
-            for at in range(0, len(some), max(1, (1 << 19) // width)):
-                part = some[at : at + max(1, (1 << 19) // width)]
-                rows = self.data[self.start[part][:, None] + np.arange(width)]
-                yield part, rows.view(f"S{width}").ravel()
-
-    def spelled(self, term: int) -> bytes:
-        return self.data[self.start[term] : self.start[term] + self.length[term]].tobytes()
+            rows = np.zeros(len(some), f"S{width}")
+            cells = rows.view(np.uint8).reshape(len(some), width)
+            if width > SLICED:
+                for row, begin in zip(cells, self.start[some], strict=True):
+                    row[:] = self.data[begin : begin + width]
+            else:
+                for k in range(width):
+                    cells[:, k] = self.data[self.start[some] + k]
+            yield some, rows
 
 
 def of_texts(texts: pa.Array, separator: np.ndarray) -> Iterator[tuple[int, Terms]]:
