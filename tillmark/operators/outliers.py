@@ -16,23 +16,39 @@ from tillmark.operators.joins import same_key
 OUTLIER_DEVIATIONS = 2
 
 
-def _quantity_levels(df: DataFrame, key: str, value: str) -> DataFrame:
-    """``group_key``, ``level`` (a value), ``median_quantity``, ``stddev_quantity``: one row per key and value.
+def _weights(df: DataFrame, key: str, value: str) -> DataFrame:
+    """``group_key``, ``level`` (a value) and ``weight``: how often; NULL is a level of weight 0."""
+    # Names of its own, so that no column of the caller's is meant by mistake.
+    own = df.select(F.col(key).alias("group_key"), F.col(value).alias("level"))
+    return own.groupBy("group_key", "level").agg(F.count("level").alias("weight"))
+
+
+def _histogram_weights(histogram: DataFrame) -> DataFrame:
+    weight = F.when(F.col("level").isNull(), F.lit(0)).otherwise(F.col("row_count"))
+    return histogram.select("group_key", "level", weight.alias("weight"))
+
+
+def merged_histogram(parts: DataFrame) -> DataFrame:
+    """``group_key``, ``level`` and ``row_count`` of all rows, from histograms of parts of them; negative counts take
+    rows out."""
+    merged = parts.groupBy("group_key", "level").agg(F.sum("row_count").alias("row_count"))
+    return merged.filter("row_count <> 0")
+
+
+def _quantity_levels(weights: DataFrame) -> DataFrame:
+    """``group_key``, ``level``, ``median_quantity``, ``stddev_quantity``: one row per key and value.
 
-    The median is the lower of the two middle values of an even group and keeps the type of ``value``. NULL values
+    The median is the lower of the two middle values of an even group and keeps the type of the values. NULL values
     count for neither; the deviation of a single value is NULL. Counts are multiplied as doubles because count times
     quantity may leave the range of a bigint.
 
     The levels of one key are sorted in one task: as many as it has distinct values. That suits order quantities; a
     measure with ever new values would be rounded first.
     """
-    # Names of its own, so that no column of the caller's is meant by mistake.
-    own = df.select(F.col(key).alias("group_key"), F.col(value).alias("level"))
     group = Window.partitionBy("group_key")
     so_far = group.orderBy("level").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     level, weight, number = F.col("level"), F.col("weight"), F.col("number")
-    levels = own.groupBy("group_key", "level").agg(F.count("level").alias("weight"))
-    levels = levels.withColumns(
+    levels = weights.withColumns(
         {
             "rank": F.sum(weight).over(so_far),
             "number": F.sum(weight).over(group),
@@ -57,22 +73,37 @@ def _quantity_levels(df: DataFrame, key: str, value: str) -> DataFrame:
 
 def group_statistics(df: DataFrame, key: str = "StockCode", value: str = "Quantity") -> DataFrame:
     """``key``, ``median_quantity`` and ``stddev_quantity``: one row per key, the NULL key included."""
-    levels = _quantity_levels(df, key, value)
+    return _statistics(_weights(df, key, value), key)
+
+
+def histogram_statistics(histogram: DataFrame, key: str = "StockCode") -> DataFrame:
+    """The same from a histogram that is at hand; see ``merged_histogram``."""
+    return _statistics(_histogram_weights(histogram), key)
+
+
+def _statistics(weights: DataFrame, key: str) -> DataFrame:
+    levels = _quantity_levels(weights)
     return levels.select(F.col("group_key").alias(key), "median_quantity", "stddev_quantity").distinct()
 
 
 def quantity_outliers(
-    df: DataFrame, key: str = "StockCode", value: str = "Quantity", k: float = OUTLIER_DEVIATIONS
+    df: DataFrame,
+    key: str = "StockCode",
+    value: str = "Quantity",
+    k: float = OUTLIER_DEVIATIONS,
+    histogram: DataFrame | None = None,
 ) -> DataFrame:
     """Distinct order lines whose quantity is above its product's median plus ``k`` standard deviations.
 
+    ``histogram`` is that of ``df`` where it is at hand, which saves a pass over the sales.
+
     The histogram tells which products have an outlier at all, so sales are joined to the limits of those products
     only: one row per such product, usually small enough for Spark to broadcast. Where it is not, the sales are
     shuffled by product and Spark splits the partition of a hot product, which joins to a single limit.
     """
     limit = F.col("median_quantity") + F.lit(k) * F.col("stddev_quantity")
     limits = (
-        _quantity_levels(df, key, value)
+        _quantity_levels(_weights(df, key, value) if histogram is None else _histogram_weights(histogram))
         .withColumn("limit", limit)
         .filter(F.col("level") > F.col("limit"))
         .select("group_key", "median_quantity", "limit")

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillmark.operators import alerts, bronze, dimensions, outliers
 from tillmark.operators.reference_check import missing_reference
+from tillmark.plans.incremental import refresh_star
 from tillmark.plans.warehouse import load_warehouse, star_schema
 from tillmark.sinks.layers import write_layer
 from tillmark.sinks.reports import write_invalid_country_report, write_outlier_report
 from tillmark.sources import files
-from tillmark.sources.layers import read_layer, read_valid_transactions
-from tillmark.streaming.ingest import ingest_new_files
+from tillmark.sources.layers import read_layer, read_quantity_histogram, read_valid_transactions
+from tillmark.streaming.ingest import compact_transactions, ingest_new_files, replay_countries
 
 
 Load = Callable[[dict[str, DataFrame]], dict[str, int]]
@@ -55,21 +56,35 @@ class DailyRun:
 
 
 def refresh_dimensions(spark: SparkSession, run: DailyRun) -> dict[str, int]:
-    """Write the country and the product layer anew."""
+    """Write the country and the product layer anew. Prices lie in order of day, so that readers of some months skip
+    the rest."""
     frames = {
         "countries": bronze.countries(files.read_countries(spark, run.raw_countries)),
         "products": bronze.products(files.read_products(spark, run.raw_products)),
     }
-    return load_warehouse(frames, lambda df, name: write_layer(df, name, run.lake))
+    order = {"countries": (), "products": ("Date",)}
+    return load_warehouse(frames, lambda df, name: write_layer(df, name, run.lake, sort_by=order[name]))
 
 
 def ingest_transactions(spark: SparkSession, run: DailyRun) -> dict[str, int]:
-    """Store the raw files that came since the last call; also the job to run between daily runs."""
+    """Store the raw files that came since the last call and merge the folders of small batches; also the job to run
+    between daily runs."""
     raw = files.stream_transactions(spark, run.raw_transactions, **run.source_options)
     counts = ingest_new_files(raw, read_layer(spark, "countries", run.lake), run.transactions, run.checkpoint)
+    compact_transactions(spark, run.transactions)
     return {f"ingest_{name}": count for name, count in counts.items()}
 
 
+def replay_quarantine(spark: SparkSession, run: DailyRun) -> dict[str, int]:
+    """Judge the stored transactions by the stored countries as they are now, and bring nothing else up to date.
+
+    Not part of a daily run: there, rows keep the verdict of the day they came, and the invalid-country report lists
+    those whose country has gone since.
+    """
+    moved = replay_countries(read_layer(spark, "countries", run.lake), run.transactions)
+    return {f"moved_to_{quality}": count for quality, count in moved.items()}
+
+
 def stored_star(spark: SparkSession, run: DailyRun) -> dict[str, DataFrame]:
     """The star schema over the bronze layers."""
     return star_schema(
@@ -80,16 +95,18 @@ def stored_star(spark: SparkSession, run: DailyRun) -> dict[str, DataFrame]:
 
 
 def refresh_gold(spark: SparkSession, run: DailyRun, load: Load | None = None) -> dict[str, int]:
-    """Write the star schema anew: to Parquet, or with ``load`` to wherever that puts it."""
-    tables = stored_star(spark, run)
-    return load(tables) if load else load_warehouse(tables, lambda df, name: write_layer(df, name, run.gold))
+    """Bring the star schema up to date: in Parquet the months that changed, or with ``load`` all of it to wherever that
+    puts it. Returns the rows that each table has."""
+    return load(stored_star(spark, run)) if load else refresh_star(spark, run.lake, run.gold)
 
 
 def write_reports(spark: SparkSession, run: DailyRun) -> dict[str, int]:
-    """Write both reports and the digest. The outliers are computed once and read back for the text report."""
+    """Write both reports and the digest. The outliers are computed once and read back for the text report; medians and
+    deviations come from the histogram that the ingest keeps."""
     transactions = read_valid_transactions(spark, run.transactions)
     geography = dimensions.dim_geography(read_layer(spark, "countries", run.lake))
-    found = outliers.quantity_outliers(transactions)
+    histogram = read_quantity_histogram(spark, run.transactions)
+    found = outliers.quantity_outliers(transactions, histogram=histogram)
     invalid = missing_reference(transactions, geography, "CountryID", "geo_id")
     counts = load_warehouse(
         {"outliers": found, "invalid_countries": invalid.select(*alerts.INVALID_COUNTRY_COLUMNS)},

@@ -61,12 +61,12 @@ PRODUCTS = _struct(
 #: How ingested transactions lie on disk: the columns above plus these, used as folders.
 TRANSACTION_STORAGE = T.StructType(
     TRANSACTIONS.fields
-    + _struct(
-        ("ingest_run", T.StringType()),
-        ("batch_id", T.LongType()),
-        ("quality", T.StringType()),
-        ("invoice_month", T.IntegerType()),
-    ).fields
+    + _struct(("data", T.StringType()), ("quality", T.StringType()), ("invoice_month", T.IntegerType())).fields
+)
+
+#: How often each quantity of a product was ordered, among valid and among quarantined rows.
+QUANTITY_HISTOGRAM = _struct(
+    ("quality", T.StringType()), ("group_key", T.StringType()), ("level", T.IntegerType()), ("row_count", T.LongType())
 )
 
 # --- gold -------------------------------------------------------------------------------------------------------

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
+
+from tillmark import storage, versions
 
 
 def write_layer(
@@ -15,18 +17,31 @@ def write_layer(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
 ) -> None:
-    """Write the Parquet folder ``<root>/<name>``, or the managed catalog table ``name`` where no root is given.
+    """Write the Parquet table ``<root>/<name>``, or the managed catalog table ``name`` where no root is given.
 
     ``mode`` is ``overwrite`` for a full refresh or ``append``. Partitioned output is first rebalanced by the
     partition columns, which gives each folder few files of even size and splits a folder that holds most rows. Each
     file is ordered by ``sort_by``, so that readers skip parts of it by those columns.
+
+    A table under a root that isn't partitioned changes from version to version (see ``versions``): a write that fails
+    midway leaves the old rows, and a reader that has opened them finishes. Old versions are removed after a day. A
+    partitioned table is a plain folder, as is one that something else wrote: appending to it adds files there.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    writer = df.write.mode(mode).format("parquet").partitionBy(*partition_by)
+
+    def writer(frame: DataFrame) -> DataFrameWriter:
+        return frame.write.mode(mode).format("parquet").partitionBy(*partition_by)
+
     if root is None:
-        writer.saveAsTable(name)
+        writer(df).saveAsTable(name)
+        return
+    path, spark = f"{root}/{name}", df.sparkSession
+    append = mode == "append"
+    if partition_by or append and storage.exists(spark, path) and not versions.numbers(spark, path):
+        writer(df).save(path)
     else:
-        writer.save(f"{root}/{name}")
+        versions.publish(df, path, lambda frame, folder: writer(frame).save(folder), append)
+        versions.tidy(spark, path)

@@ -9,15 +9,18 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark import schemas
-
-VALID = "valid"
-QUARANTINE = "quarantine"
+from tillmark import schemas, versions
+from tillmark.sinks import transactions
+from tillmark.sinks.transactions import QUARANTINE, VALID
 
 
 def read_layer(spark: SparkSession, name: str, root: str | None = None) -> DataFrame:
-    """The Parquet folder ``<root>/<name>``, or the catalog table ``name`` where no root is given."""
-    return spark.table(name) if root is None else spark.read.parquet(f"{root}/{name}")
+    """The Parquet table ``<root>/<name>`` in its latest version, or as a plain folder where it has no versions; the
+    catalog table ``name`` where no root is given."""
+    if root is None:
+        return spark.table(name)
+    version = versions.latest(spark, f"{root}/{name}")
+    return versions.read(spark, f"{root}/{name}", version) if version.number else spark.read.parquet(f"{root}/{name}")
 
 
 def exists(read: Callable[[], DataFrame]) -> bool:
@@ -31,22 +34,14 @@ def exists(read: Callable[[], DataFrame]) -> bool:
     return True
 
 
-def _stored_transactions(spark: SparkSession, path: str) -> DataFrame:
-    """What the ingest has stored; nothing before its first batch, when there is no folder yet."""
-    reader = spark.read.schema(schemas.TRANSACTION_STORAGE)
-    if not exists(lambda: reader.parquet(path)):
-        return spark.createDataFrame([], schemas.TRANSACTION_STORAGE)
-    return reader.parquet(path)
-
-
 def _ingested(spark: SparkSession, path: str, quality: str, since: dt.date | None) -> DataFrame:
-    # quality and invoice_month are folders, so the filters on them prune files before any is opened. The filter on
-    # the timestamp reaches the Parquet reader, which skips row groups by it: files are stored in order of time.
-    stored = _stored_transactions(spark, path).filter(F.col("quality") == quality)
+    # The filter on the month prunes folders. The filter on the timestamp reaches the Parquet reader, which skips row
+    # groups by it: files are stored in order of time.
+    where = None
     if since is not None:
         month = since.year * 100 + since.month
-        stored = stored.filter((F.col("invoice_month") >= month) & (F.col("InvoiceTimestamp") >= F.lit(since)))
-    return stored.select(*schemas.TRANSACTIONS.names)
+        where = (F.col("invoice_month") >= month) & (F.col("InvoiceTimestamp") >= F.lit(since))
+    return transactions.read_transactions(spark, path, quality, where).select(*schemas.TRANSACTIONS.names)
 
 
 def read_valid_transactions(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
@@ -57,3 +52,8 @@ def read_valid_transactions(spark: SparkSession, path: str, since: dt.date | Non
 def read_quarantine(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
     """Ingested transactions that failed the country check."""
     return _ingested(spark, path, QUARANTINE, since)
+
+
+def read_quantity_histogram(spark: SparkSession, path: str) -> DataFrame:
+    """How often each quantity of each product was ordered, of all valid transactions, as the ingest keeps it."""
+    return transactions.read_histogram(spark, path, VALID)
