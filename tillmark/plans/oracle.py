@@ -274,6 +274,13 @@ FROM (SELECT product_id, count(*) AS description_count FROM dim_products GROUP B
     "trending_streaming": f"{_TRENDS} SELECT * FROM trending",
     "ingest_incremental": f"{_BRONZE} SELECT {_PARSED_COLUMNS} FROM valid",
     "ingest_incremental_quarantine": f"{_BRONZE} SELECT {_PARSED_COLUMNS} FROM quarantine",
+    "ingest_compacted": f"{_BRONZE} SELECT {_PARSED_COLUMNS} FROM valid",
+    "ingest_quantity_stats": f'{_QUALITY} SELECT "StockCode", median_quantity, '
+    "round(stddev_quantity, 6) AS stddev_quantity FROM stats",
+    "ingest_replayed": f"""{_BRONZE}
+SELECT {_PARSED_COLUMNS}, 'valid' AS quality FROM valid
+UNION ALL SELECT {_PARSED_COLUMNS}, 'quarantine' FROM quarantine""",
+    "daily_sales_incremental": f"{_GOLD} {_FACT}",
     "snapshot_manifest": f"{_BRONZE} "
     + " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count, '{ddl}' AS table_schema FROM {source}"

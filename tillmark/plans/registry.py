@@ -5,13 +5,14 @@ Queries that go through files or streams write what they need under the shared f
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.operators import alerts, bronze, dimensions, fact, outliers, reference_check, sales, trends
+from tillmark.plans import daily
 from tillmark.plans.daily import DailyRun, run_daily
 from tillmark.plans.dashboard import dashboard
 from tillmark.plans.snapshot import snapshot
@@ -21,10 +22,10 @@ from tillmark.session import scratch_path
 from tillmark.sinks.layers import write_layer
 from tillmark.sinks.reports import write_invalid_country_report, write_outlier_report
 from tillmark.sources import files
-from tillmark.sources.layers import read_layer, read_quarantine, read_valid_transactions
+from tillmark.sources.layers import read_layer, read_quantity_histogram, read_quarantine, read_valid_transactions
 from tillmark.sources.messages import read_archive, stream_archive
-from tillmark.sources.star_tables import PART_KEYWORDS, StarTables
-from tillmark.streaming.ingest import ingest_new_files
+from tillmark.sources.star_tables import INVALID_COUNTRY, PART_KEYWORDS, StarTables
+from tillmark.streaming.ingest import compact_transactions, ingest_new_files, replay_countries
 from tillmark.streaming.trends import start_trends
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -382,6 +383,79 @@ def ingest_incremental_quarantine(data: _Data) -> DataFrame:
     return read_quarantine(data.spark, _ingest(data))
 
 
+#: Deliveries that the raw transactions come in, and files of each.
+DROPS, FILES = 3, 4
+
+
+def _drops(data: _Data, path: str) -> Iterator[str]:
+    """The raw folder after each of ``DROPS`` deliveries of files, which together are all raw transactions; each holds
+    invoices of all months."""
+    drop = F.pmod(F.xxhash64("InvoiceNo"), F.lit(DROPS))
+    data.tables.raw_transactions().withColumn("drop", drop).write.partitionBy("drop").csv(f"{path}/drops")
+    for number in range(DROPS):
+        delivered = files.read_transactions(data.spark, f"{path}/drops/drop={number}")
+        delivered.repartition(FILES).write.mode("append").csv(f"{path}/raw")
+        yield f"{path}/raw"
+
+
+def _ingest_drops(data: _Data, countries: DataFrame, merged: bool = True) -> str:
+    """Ingest the deliveries one after the other, each a batch, and merge the batches."""
+    path = scratch_path(data.spark, "ingest-drops")
+    for folder in _drops(data, path):
+        raw = files.stream_transactions(data.spark, folder)
+        ingest_new_files(raw, countries, f"{path}/transactions", f"{path}/checkpoint")
+    if merged:
+        compact_transactions(data.spark, f"{path}/transactions", fan_in=DROPS)
+    return f"{path}/transactions"
+
+
+@_query
+def ingest_compacted(data: _Data) -> DataFrame:
+    """Valid transactions of many batches after their folders were merged."""
+    return read_valid_transactions(data.spark, _ingest_drops(data, data.countries))
+
+
+@_query
+def ingest_quantity_stats(data: _Data) -> DataFrame:
+    """Median and deviation per product from the histogram that the ingest keeps; no transaction is read for them."""
+    histogram = read_quantity_histogram(data.spark, _ingest_drops(data, data.countries))
+    stats = outliers.histogram_statistics(histogram)
+    return stats.withColumn("stddev_quantity", F.round("stddev_quantity", 6))
+
+
+@_query
+def ingest_replayed(data: _Data) -> DataFrame:
+    """Both sides of the country check after the country table was put right: ingested while it listed the invalid
+    country and lacked all of Asia, then judged again."""
+    wrong = data.countries.filter(F.col("ContinentName") != "Asia").select("CountryID")
+    invalid = data.spark.createDataFrame([(INVALID_COUNTRY,)], "CountryID string")
+    path = _ingest_drops(data, wrong.unionAll(invalid), merged=False)
+    replay_countries(data.countries, path)
+    compact_transactions(data.spark, path, fan_in=DROPS)
+    sides = {"valid": read_valid_transactions, "quarantine": read_quarantine}
+    tagged = [read(data.spark, path).withColumn("quality", F.lit(name)) for name, read in sides.items()]
+    return tagged[0].unionAll(tagged[1])
+
+
+@_query
+def daily_sales_incremental(data: _Data) -> DataFrame:
+    """The fact after three loads, of which only the first computes everything: late invoices come with each, and a
+    third of the prices is wrong until the last."""
+    path = scratch_path(data.spark, "daily-incremental")
+    raw_products = data.tables.raw_products()
+    data.tables.raw_countries().write.option("header", True).csv(f"{path}/countries")
+    raw_products.write.option("header", True).csv(f"{path}/products-right")
+    wrong = F.when(F.pmod(F.xxhash64("StockCode"), F.lit(3)) == 0, F.lit("0.01")).otherwise(F.col("UnitPrice"))
+    raw_products.withColumn("UnitPrice", wrong).write.option("header", True).csv(f"{path}/products-wrong")
+    for number, folder in enumerate(_drops(data, path)):
+        prices = "right" if number == DROPS - 1 else "wrong"
+        run = DailyRun(folder, f"{path}/countries", f"{path}/products-{prices}", f"{path}/lake")
+        daily.refresh_dimensions(data.spark, run)
+        daily.ingest_transactions(data.spark, run)
+        daily.refresh_gold(data.spark, run)
+    return read_layer(data.spark, "fct_sales", run.gold)
+
+
 @_query
 def snapshot_manifest(data: _Data) -> DataFrame:
     valid, quarantined = reference_check.split_by_reference(data.parsed, data.countries, "CountryID")

@@ -340,9 +340,10 @@ def replay(countries: DataFrame, path: str) -> dict[str, int]:
         delta = versions.new_folder()
         _write_delta(_stored(spark, path, [entry["rows"] for entry in entries]), differing, f"{path}/{delta}")
         counted = spark.read.schema(_DELTA).parquet(f"{path}/{delta}")
-        for row in counted.groupBy("quality", "month").agg(F.sum("row_count").alias("n")).collect():
+        arrived = F.sum(F.greatest("row_count", F.lit(0))).alias("arrived")
+        for row in counted.groupBy("quality", "month").agg(arrived).collect():
             changed.add(NO_MONTH if row.month is None else str(row.month))
-            moved_to[row.quality] += max(0, row.n)
+            moved_to[row.quality] += row.arrived
         deltas.append(delta)
     number = before.number + 1
     content |= {"rulings": rulings, "deltas": deltas, "reference": reference}
