@@ -97,3 +97,28 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     field = quality.train(documents(spark, []), labels)
     assert field is quality.NO_FIELD and quality.judge(documents(spark, []), field).count() == 0
+
+
+def test_regular_structure_does_not_deceive_hashes():
+    """Words and lines of two letters in the order of Thue and Morse, and the same with the letters exchanged."""
+    from tillmark.llm import textbytes
+
+    for length in (16, 17, 512, 1024, 2048, 4096, 8192):
+        order = [bin(n).count("1") % 2 for n in range(length)]
+        for one, other in (("a", "b"), ("aXbYcZdQ", "bXaYcZdQ")):
+            left = "".join((one, other)[bit] for bit in order).encode()
+            right = "".join((other, one)[bit] for bit in order).encode()
+            data = np.frombuffer(left + b" " + right + b" " + left, np.uint8)
+            n = len(left)
+            hashes = textbytes.Hasher(data)(np.array([0, n + 1, 2 * n + 2]), np.array([n, 2 * n + 1, 3 * n + 2]))
+            assert hashes[0] == hashes[2] != hashes[1]
+
+
+def test_hashes_of_short_stretches_tell_zeros_and_lengths_apart():
+    from tillmark.llm import textbytes
+
+    data = np.frombuffer(b"a\0a\0\0" + b"x" * 40, np.uint8)
+    spans = [(0, 0), (0, 1), (0, 2), (2, 3), (2, 4), (2, 5), (5, 21), (5, 22), (6, 22), (len(data), len(data))]
+    hashes = textbytes.Hasher(data)(*np.array(spans).T).tolist()
+    assert hashes[1] == hashes[3] and hashes[2] == hashes[4] and hashes[6] == hashes[8] and hashes[0] == hashes[9]
+    assert len(set(hashes)) == 6

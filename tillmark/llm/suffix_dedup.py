@@ -56,12 +56,12 @@ TRIMMED = "doc_id long, text_key string, n_removed long, n_spans long, kept bina
 _MARK = 0xFF
 
 
-def stretches(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, textbytes.Hasher]:
+def stretches(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, textbytes.StretchHasher]:
     """First byte, last byte + 1, hash of the anchor and document of each stretch of a block, and the block's hasher.
 
     A stretch is a maximal run of strings of ``LENGTH`` bytes with the same anchor; the leftmost of equal anchors counts.
     """
-    hasher = textbytes.Hasher(data)
+    hasher = textbytes.StretchHasher(data)
     nothing = np.zeros(0, np.int64)
     if len(data) < LENGTH:
         return nothing, nothing, nothing.astype(np.uint64), nothing, hasher
@@ -251,7 +251,7 @@ def _marks(tables) -> Batches:
         anchor, length, text, doc, which, start = map(np.concatenate, (anchors, lengths, content, ids, which, starts))
         begin = np.cumsum(length) - length
         # The same stretch from several batches counts once, for the smallest document.
-        key = textbytes.mix(textbytes.Hasher(text)(begin, begin + length) + textbytes.mix(anchor))
+        key = textbytes.mix(textbytes.StretchHasher(text)(begin, begin + length) + textbytes.mix(anchor))
         order = np.lexsort((key, anchor))
         new = np.concatenate([[True], (key[order][1:] != key[order][:-1]) | (anchor[order][1:] != anchor[order][:-1])])
         number = np.empty(len(order), np.int64)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import hashlib
 import unicodedata
 from collections.abc import Iterator
 
@@ -12,8 +13,10 @@ import pyarrow as pa
 #: Bytes of text worked on at a time; a longer document is worked on alone.
 BLOCK_BYTES = 1 << 22
 
-_BASE = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
+_SEED = 0x9E3779B97F4A7C15
+
+#: What remains of a word of which so many bytes belong to a stretch.
+_KEPT = np.array([0] + [(0xFFFFFFFFFFFFFFFF << (64 - 8 * n)) & 0xFFFFFFFFFFFFFFFF for n in range(1, 9)], np.uint64)
 
 #: The white space that separates words.
 SPACE = np.zeros(256, bool)
@@ -31,6 +34,35 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
+#: Bytes of a stretch that are hashed as two 64-bit words.
+_PACKED = 16
+
+
+class Hasher:
+    """64-bit hashes of stretches of a byte array, whatever their length.
+
+    Stretches of up to 16 bytes, as nearly all words are, are hashed as two words and their length, all at a time;
+    longer ones by BLAKE2b, one by one. Unlike sums of powers neither is deceived by texts of a regular structure.
+    """
+
+    def __init__(self, data: np.ndarray) -> None:
+        self._data = np.concatenate([data, np.zeros(_PACKED, np.uint8)])
+        self._words = np.ndarray((len(self._data) - 7,), ">u8", self._data, strides=(1,))
+
+    def _word(self, start: np.ndarray, length: np.ndarray, at: int) -> np.ndarray:
+        return self._words[np.minimum(start + at, len(self._words) - 1)].astype(np.uint64) & _KEPT[np.clip(length - at, 0, 8)]
+
+    def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        length = end - start
+        mixed = mix(self._word(start, length, 0) ^ np.uint64(_SEED)) + length.astype(np.uint64)
+        mixed = mix(mix(mixed) ^ self._word(start, length, 8))
+        text = self._data.tobytes() if (length > _PACKED).any() else b""
+        for k in np.flatnonzero(length > _PACKED).tolist():
+            digest = hashlib.blake2b(text[start[k] : end[k]], digest_size=8).digest()
+            mixed[k] = int.from_bytes(digest, "little")
+        return mixed
+
+
 class _Powers:
     """Powers of the base of the hash and of its inverse, as many as were needed so far."""
 
@@ -40,8 +72,8 @@ class _Powers:
     def upto(self, n: int) -> None:
         if len(self.up) < n:
             n = max(n, BLOCK_BYTES + 1)
-            inverse = pow(_BASE, -1, 1 << 64)
-            for name, base in (("up", _BASE), ("down", inverse)):
+            inverse = pow(_SEED, -1, 1 << 64)
+            for name, base in (("up", _SEED), ("down", inverse)):
                 steps = np.full(n, base, np.uint64)
                 steps[0] = 1
                 setattr(self, name, np.cumprod(steps, dtype=np.uint64))
@@ -50,8 +82,12 @@ class _Powers:
 _POWERS = _Powers()
 
 
-class Hasher:
-    """64-bit hashes of stretches of a byte array, whatever their length, in constant time each."""
+class StretchHasher:
+    """64-bit hashes of stretches of a byte array, whatever their length, in constant time each.
+
+    They are sums of powers, which long texts of a regular structure (from about a thousand bytes on) can deceive: only
+    for shorter stretches, or where the bytes are compared as well.
+    """
 
     def __init__(self, data: np.ndarray) -> None:
         _POWERS.upto(len(data) + 1)
