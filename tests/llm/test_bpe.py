@@ -87,3 +87,23 @@ def test_token_files_of_an_empty_table(spark, tmp_path):
     folder = f"{tmp_path}/tokens"
     token_files.write_tokens(documents(spark, []), vocabulary_path(), folder, END_ID)
     assert token_files.read_tokens(spark, folder).count() == 0
+
+
+def test_long_keys_are_not_remembered():
+    made = []
+    table = bpe.Remembering(lambda key: made.append(key) or len(key), 10)
+    long = "x" * 1000
+    assert [table[key] for key in ("ab", long, "ab", long)] == [2, 1000, 2, 1000]
+    assert made == ["ab", long, long] and list(table) == ["ab"]
+
+
+def test_plain_pieces_are_the_tokenizers_own():
+    """Every character of plain texts, on both sides of every kind of character."""
+    splitter = bpe.Splitter(open(vocabulary_path(), encoding="utf-8").read())
+    plain = [chr(c) for c in range(0x21, 0x180) if bpe._PLAIN.fullmatch(chr(c))]
+    for left in plain:
+        text = "".join(f"{left}{right}{left} " for right in ["a", "Z", "é", "1", "_", "'", "s", "'re", "\n", "!", *plain[::7]])
+        normal = splitter.tokenizer.normalizer.normalize_str(text)
+        own = [piece for piece, _ in splitter.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+        found = bpe._PIECES.findall(text.lower())
+        assert ["".join(map(splitter.characters.__getitem__, piece.encode())) for piece in found] == own

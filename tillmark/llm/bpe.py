@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -23,8 +24,11 @@ from pyspark.sql import functions as F
 
 from tillmark.llm.rows import slices
 
-#: Entries that each worker's tables of remembered chunks and of remembered pieces hold at most.
-REMEMBERED = 200_000
+#: Entries that each worker's table of remembered pieces holds at most; that of odd chunks holds an eighth of them.
+REMEMBERED = 400_000
+
+#: Characters of the longest key that is remembered.
+LONGEST_REMEMBERED = 64
 
 #: Pairs of tokens that each worker remembers at most.
 REMEMBERED_PAIRS = 150_000
@@ -34,9 +38,11 @@ DECODED = f"{ENCODED}, text string"
 
 #: Chunks of ASCII and precomposed Latin letters; normalising them means to lower their case.
 _PLAIN = re.compile("[\x21-\x7eÀ-ÖØ-öø-įĲ-ňŊ-ž]+")
+_PLAIN_TEXT = re.compile("[ \n\x21-\x7eÀ-ÖØ-öø-įĲ-ňŊ-ž]*")
 
-#: The tokenizer's own pieces, in the form they take for plain chunks.
-_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+#: The tokenizer's own pieces, in the form they take for plain text in lower case, whose letters are these.
+_LETTERS = "a-zß-öø-ž"
+_PIECES = re.compile(rf"[{_LETTERS}]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\s0-9{_LETTERS}]+")
 
 _EXPECTED = ("NFC", r"\s+", "Lowercase", r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -50,7 +56,10 @@ def byte_characters() -> list[str]:
 
 
 class Remembering(dict):
-    """A table that makes what it lacks; when half full it forgets what wasn't asked for since it was last half full."""
+    """A table that makes what it lacks; when half full it forgets what wasn't asked for since it was last half full.
+
+    Long keys, such as texts without spaces, aren't kept, so the bytes of a table are bounded as its entries are.
+    """
 
     def __init__(self, make: Callable, most: int = REMEMBERED) -> None:
         super().__init__()
@@ -60,6 +69,8 @@ class Remembering(dict):
         value = self._older.get(key)
         if value is None:
             value = self.make(key)
+            if isinstance(key, str) and len(key) > LONGEST_REMEMBERED:
+                return value
         if len(self) >= self.half:
             self._older = dict(self)
             self.clear()
@@ -82,13 +93,13 @@ class Splitter:
         self.tokenizer = Tokenizer.from_str(content)
         self.special = {token["content"]: token["id"] for token in described["added_tokens"]}
         self._special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")")
-        self._characters = byte_characters()
+        self.characters = byte_characters()
 
     def pieces(self, chunk: str) -> Iterator[str | int]:
         """Pieces in order; the id where a special token's text stands."""
         if _PLAIN.fullmatch(chunk) and "<|" not in chunk:
             for piece in _PIECES.findall(chunk.lower()):
-                yield piece if piece.isascii() else "".join(map(self._characters.__getitem__, piece.encode()))
+                yield piece if piece.isascii() else "".join(map(self.characters.__getitem__, piece.encode()))
             return
         for part in self._special.split(chunk):
             if part in self.special:
@@ -185,18 +196,39 @@ class TextEncoder:
     """Whole texts to packed ids (little-endian, 32 bits), by any way of encoding one piece."""
 
     def __init__(self, splitter: Splitter, ids_of_piece: Callable[[str], list[int]], most: int = REMEMBERED) -> None:
-        pieces = Remembering(lambda piece: np.array(ids_of_piece(piece), "<u4").tobytes(), most)
+        characters = splitter.characters
+
+        def encode_piece(piece: str) -> bytes:
+            return array("I", ids_of_piece(piece)).tobytes()
+
+        def encode_plain(piece: str) -> bytes:
+            return encode_piece(piece if piece.isascii() else "".join(map(characters.__getitem__, piece.encode())))
 
         def encode_chunk(chunk: str) -> bytes:
-            return b"".join(
-                pieces[piece] if isinstance(piece, str) else np.array([piece], "<u4").tobytes()
-                for piece in splitter.pieces(chunk)
-            )
+            parts = splitter.pieces(chunk)
+            return b"".join(encode_piece(part) if isinstance(part, str) else array("I", [part]).tobytes() for part in parts)
 
-        self._chunks = Remembering(encode_chunk, most)
+        #: Pieces of plain text, as they stand there in lower case, and chunks of other text.
+        self._pieces, self._chunks = Remembering(encode_plain, most), Remembering(encode_chunk, most // 8)
 
     def packed(self, text: str | None) -> bytes:
-        return b"".join(map(self._chunks.__getitem__, text.replace("\n", " ").split(" "))) if text else b""
+        """The ids of a text. Plain text is cut into pieces at one go, other text line by line and chunk by chunk."""
+        if not text:
+            return b""
+        if self._is_plain(text):
+            return self._plain(text)
+        parts = (
+            self._plain(line) if self._is_plain(line) else b"".join(map(self._chunks.__getitem__, line.split(" ")))
+            for line in text.split("\n")
+        )
+        return b"".join(parts)
+
+    @staticmethod
+    def _is_plain(text: str) -> bool:
+        return _PLAIN_TEXT.fullmatch(text) is not None and "<|" not in text
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self._pieces.__getitem__, _PIECES.findall(text.lower())))
 
 
 _BUILT: dict[tuple[str, int], object] = {}

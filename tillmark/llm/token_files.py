@@ -35,8 +35,8 @@ from tillmark.llm.rows import chunks, slices
 WRITTEN = "place int, name string, width int, documents long, without_id long, tokens long"
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
-#: Entries of each worker's tables of remembered chunks and pieces; asking the library costs more than a table does.
-REMEMBERED = 400_000
+#: Entries of each worker's table of remembered pieces; asking the library costs more than a table does.
+REMEMBERED = 800_000
 
 #: Documents that a reader returns at a time.
 BATCH = 4096
