@@ -4,7 +4,7 @@ from collections import Counter
 
 import pytest
 
-from tillmark import versions
+from tillmark import cli, versions
 from tillmark.plans import daily, incremental
 from tillmark.plans.daily import DailyRun
 from tillmark.plans.warehouse import star_schema
@@ -162,3 +162,12 @@ def test_first_load_without_transactions(shop):
     (shop.folder / "raw" / "0.txt").write_text("")
     assert shop.load()["fct_sales"] == 0
     assert shop.stored() == shop.rebuilt()
+
+
+def test_replay_command(shop, capsys):
+    shop.deliver((1, "05/01/2024", 7, "1101"), (2, "05/02/2024", 8, "9999"))
+    shop.load()
+    shop.countries["9999"] = "New Country"
+    shop.load(ingest=False)
+    assert cli.main(["replay", "--lake", shop.run.lake]) == {"moved_to_valid": 1, "moved_to_quarantine": 0}
+    assert cli.main(["replay", "--lake", shop.run.lake]) == {"moved_to_valid": 0, "moved_to_quarantine": 0}

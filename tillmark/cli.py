@@ -51,6 +51,7 @@ def _parser() -> argparse.ArgumentParser:
 
     command("dimensions", "refresh countries and products", "raw-countries", "raw-products")
     command("ingest", "store new transaction files", "raw-transactions", *ingest)
+    command("replay", "judge the stored transactions by the countries as they are now")
     command("warehouse", "refresh the star schema and the reports", *jdbc)
     command("daily", "all of the above", "raw-transactions", "raw-countries", "raw-products", *ingest, *jdbc)
     command("trends", "refresh the trend table", "servers", "topic", "archive", "stream", *jdbc)
@@ -166,6 +167,8 @@ def main(arguments: Sequence[str] | None = None) -> dict[str, int]:
         counts = daily.refresh_dimensions(spark, run)
     elif options.command == "ingest":
         counts = daily.ingest_transactions(spark, run)
+    elif options.command == "replay":
+        counts = daily.replay_quarantine(spark, run)
     elif options.command == "warehouse":
         counts = {**daily.refresh_gold(spark, run, load), **daily.write_reports(spark, run)}
     elif options.command == "daily":
