@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillmark.plans import warehouse
-from tillmark.sinks.jdbc import JdbcTarget, write_jdbc
+from tillmark.plans.dashboard import dashboard
+from tillmark.sinks.jdbc import JdbcTarget, has_table, write_jdbc
 from tillmark.sinks.layers import write_layer
 from tillmark.sinks.metrics import write_counted
 from tillmark.sinks.reports import write_invalid_country_report, write_outlier_report
@@ -194,3 +195,55 @@ def test_topic_calls(read):
     if read is messages.read_topic:
         expected["endingOffsets"] = "latest"
     assert spark.read.settings == expected
+
+
+class Listing:
+    """Stands in for a JVM whose database lists some tables."""
+
+    def __init__(self, tables):
+        self.tables, self.opened, self.closed = tables, [], 0
+        self._jvm = self.java = self.lang = self.Class = self.sql = self.DriverManager = self
+
+    def forName(self, name):
+        self.opened.append(name)
+
+    def getConnection(self, *arguments):
+        self.opened.append(arguments)
+        return self
+
+    def getMetaData(self):
+        return self
+
+    def getTables(self, catalog, schema, name, kinds):
+        return iter_with_next(name in self.tables)
+
+    def close(self):
+        self.closed += 1
+
+
+def iter_with_next(answer):
+    class Rows:
+        def next(self):
+            return answer
+
+    return Rows()
+
+
+def test_jdbc_tables_are_looked_up():
+    target = JdbcTarget("jdbc:example:warehouse", "loader", "secret", "org.example.Driver")
+    for tables, found in ((["trending_products"], True), (["TRENDING_PRODUCTS"], True), (["fct_sales"], False)):
+        spark = Listing(tables)
+        assert has_table(spark, "trending_products", target) is found
+        assert spark.opened == ["org.example.Driver", ("jdbc:example:warehouse", "loader", "secret")] and spark.closed == 1
+
+
+@pytest.mark.parametrize("there", [True, False])
+def test_dashboard_of_a_database_without_trends(spark, tmp_path, there):
+    star = {
+        "fct_sales": "date_id int, product_id string, geo_id string, customer_id string, total_price decimal(21,2)",
+        "dim_date": "full_date date, date_id int", "dim_products": "product_id string, description string",
+        "dim_geography": "geo_id string, country string, continent string", "trending_products": "product_mention string, count long",
+    }
+    tables = {name: spark.createDataFrame([], schema) for name, schema in star.items()}
+    answers = dashboard(spark, None, tables.__getitem__, lambda name: there)
+    assert ("trending_products" in answers) is there

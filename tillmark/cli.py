@@ -18,7 +18,7 @@ from tillmark.plans.dashboard import dashboard
 from tillmark.plans.snapshot import snapshot
 from tillmark.plans.warehouse import load_jdbc_warehouse, load_warehouse
 from tillmark.session import get_spark
-from tillmark.sinks.jdbc import JdbcTarget, read_jdbc
+from tillmark.sinks.jdbc import JdbcTarget, has_table, read_jdbc
 from tillmark.sinks.layers import write_layer
 from tillmark.sources import messages
 from tillmark.sources.layers import exists, read_layer, read_quarantine, read_valid_transactions
@@ -111,7 +111,7 @@ def _snapshot(spark: SparkSession, run: daily.DailyRun, destination: str, whole:
     }
     # What other jobs have written so far; gold tables in a database aren't part of the lake.
     layers = [(run.gold, name) for name in GOLD]
-    layers += [(run.reports, name) for name in ("outliers", "invalid_countries", "digest")]
+    layers += [(run.reports, name) for name in ("outliers", "invalid_countries", "digest", "alert_lines")]
     layers += [(f"{run.lake}/dashboard", name) for name in ANSWERS]
     for root, name in layers if whole else ():
         if exists(lambda root=root, name=name: read_layer(spark, name, root)):
@@ -127,7 +127,8 @@ def _dashboard(spark: SparkSession, lake: str, gold: str, target: JdbcTarget | N
     """Store every answer whole under ``<lake>/dashboard`` and print it row by row, as it is read back in order."""
     read = (lambda name: read_jdbc(spark, name, target)) if target else None
     counts = {}
-    for name, df in dashboard(spark, gold, read).items():
+    has = (lambda name: has_table(spark, name, target)) if target else None
+    for name, df in dashboard(spark, gold, read, has).items():
         counts.update(load_warehouse({name: df}, lambda counted, name: write_layer(counted, name, f"{lake}/dashboard")))
         stored = read_layer(spark, name, f"{lake}/dashboard")
         if name.startswith("sales_by"):

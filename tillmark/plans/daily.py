@@ -101,7 +101,7 @@ def refresh_gold(spark: SparkSession, run: DailyRun, load: Load | None = None) -
 
 
 def write_reports(spark: SparkSession, run: DailyRun) -> dict[str, int]:
-    """Write both reports and the digest. The outliers are computed once and read back for the text report; medians and
+    """Write both reports, the digest and its lines. The outliers are computed once and read back for the text report; medians and
     deviations come from the histogram that the ingest keeps."""
     transactions = read_valid_transactions(spark, run.transactions)
     geography = dimensions.dim_geography(read_layer(spark, "countries", run.lake))
@@ -116,6 +116,7 @@ def write_reports(spark: SparkSession, run: DailyRun) -> dict[str, int]:
     write_outlier_report(found, f"{run.reports}/outliers.txt")
     write_invalid_country_report(invalid, f"{run.reports}/invalid_country.csv")
     write_layer(alerts.alert_digest(found, invalid), "digest", run.reports)
+    write_layer(alerts.alert_lines(found, invalid), "alert_lines", run.reports)
     return counts
 
 

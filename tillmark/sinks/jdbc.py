@@ -49,3 +49,16 @@ def count_jdbc(spark: SparkSession, table: str, target: JdbcTarget) -> int:
     query = f"SELECT COUNT(*) AS row_count FROM {table}"
     reader = spark.read.format("jdbc").options(**target.options()).option("query", query)
     return int(reader.load().first()[0])
+
+
+def has_table(spark: SparkSession, table: str, target: JdbcTarget) -> bool:
+    """Whether the database lists a table of this name, in the letters it was given or in upper case."""
+    jvm = spark._jvm
+    if target.driver:
+        jvm.java.lang.Class.forName(target.driver)
+    connection = jvm.java.sql.DriverManager.getConnection(target.url, target.user, target.password)
+    try:
+        listed = connection.getMetaData()
+        return any(listed.getTables(None, None, name, None).next() for name in (table, table.upper()))
+    finally:
+        connection.close()
