@@ -116,7 +116,17 @@ def test_the_dashboard_prints_and_stores_every_row(spark, run, tmp_path, capsys)
     assert read_layer(spark, "sales_by_country", f"{run.lake}/dashboard").count() == 30
 
 
-@pytest.mark.parametrize("options", [[], ["--topic", "t"], ["--servers", "s:1"]])
+@pytest.mark.parametrize(
+    "options",
+    [
+        [],
+        ["--topic", "t"],
+        ["--servers", "s:1"],
+        ["--archive", "a", "--incremental", "--stream"],
+        ["--servers", "s:1", "--topic", "t", "--incremental"],
+        ["--archive", "a", "--every", "1 second"],
+    ],
+)
 def test_trends_need_a_source(options):
     with pytest.raises(SystemExit):
         command("trends", "--lake", "unused", *options)
@@ -144,6 +154,11 @@ def test_commands(spark, run, tmp_path, capsys):
     spark.createDataFrame(message_rows, schemas.MESSAGES).write.parquet(str(tmp_path / "messages"))
     for mode in ([], ["--stream"]):
         assert command("trends", *lake, "--archive", tmp_path / "messages", *mode) == {"trending_products": 2}
+    for new in (3, 0):
+        counts = command("trends", *lake, "--archive", tmp_path / "messages", "--incremental")
+        assert counts == {"new_messages": new, "trending_products": 2}
+    running = ("--stream", "--every", "1 second", "--stop-seconds", "0")
+    assert command("trends", *lake, "--archive", tmp_path / "messages", *running) == {"trending_products": 2}
     assert command("dashboard", *lake)["trending_products"] == 2
     trending = read_layer(spark, "trending_products", run.gold).collect()
     assert [row["count"] for row in trending] == [2, 1]

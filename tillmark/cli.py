@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from tillmark.plans import daily, trending
+from tillmark.plans import daily, ledger, trending
 from tillmark.plans.dashboard import dashboard
 from tillmark.plans.snapshot import snapshot
 from tillmark.plans.warehouse import load_jdbc_warehouse, load_warehouse
@@ -35,7 +35,9 @@ def _parser() -> argparse.ArgumentParser:
     required = {"lake", "raw-transactions", "raw-countries", "raw-products", "destination"}
     jdbc = ("jdbc-url", "jdbc-driver", "jdbc-partitions", "jdbc-batch-size", "jdbc-truncate")
     ingest = ("clean-source", "archive-folder")
-    flags = {"stream", "jdbc-truncate", "whole"}
+    trends = ("stream", "every", "stop-file", "stop-seconds", "incremental", "partitions")
+    flags = {"stream", "incremental", "jdbc-truncate", "whole"}
+    numbers = {"jdbc-partitions": int, "jdbc-batch-size": int, "partitions": int, "stop-seconds": float}
 
     def command(name: str, text: str, *options: str) -> None:
         sub = commands.add_parser(name, help=text)
@@ -44,17 +46,15 @@ def _parser() -> argparse.ArgumentParser:
                 sub.add_argument(f"--{option}", action="store_true")
             elif option == "clean-source":
                 sub.add_argument("--clean-source", choices=("archive", "delete", "off"), default="off")
-            elif option in ("jdbc-partitions", "jdbc-batch-size"):
-                sub.add_argument(f"--{option}", type=int)
             else:
-                sub.add_argument(f"--{option}", required=option in required)
+                sub.add_argument(f"--{option}", type=numbers.get(option, str), required=option in required)
 
     command("dimensions", "refresh countries and products", "raw-countries", "raw-products")
     command("ingest", "store new transaction files", "raw-transactions", *ingest)
     command("replay", "judge the stored transactions by the countries as they are now")
     command("warehouse", "refresh the star schema and the reports", *jdbc)
     command("daily", "all of the above", "raw-transactions", "raw-countries", "raw-products", *ingest, *jdbc)
-    command("trends", "refresh the trend table", "servers", "topic", "archive", "stream", *jdbc)
+    command("trends", "refresh the trend table", "servers", "topic", "archive", *trends, *jdbc)
     command("dashboard", "print the five questions and store the answers", *jdbc)
     command("snapshot", "copy the bronze tables; with --whole also gold, trends, reports and dashboard", "destination", "whole")
     return parser
@@ -94,11 +94,20 @@ def _trends(spark: SparkSession, options: argparse.Namespace, gold: str) -> dict
             write_layer(df, name, gold)
 
     archive, topic = options.archive, (options.servers, options.topic)
+    if options.incremental:
+
+        def read(offsets):
+            if archive:
+                return messages.read_archive_from(spark, archive, offsets)
+            return messages.read_topic_from(spark, *topic, offsets, options.partitions)
+
+        return ledger.refresh_from_ledger(spark, read, write, f"{options.lake}/trend_ledger")
     if not options.stream:
         log = messages.read_archive(spark, archive) if archive else messages.read_topic(spark, *topic)
         return trending.refresh_trends(log, write)
     log = messages.stream_archive(spark, archive) if archive else messages.stream_topic(spark, *topic)
-    trending.follow_trends(log, write, f"{options.lake}/checkpoints/trends")
+    stop = trending.stop_when(log, options.stop_file, options.stop_seconds)
+    trending.follow_trends(log, write, f"{options.lake}/checkpoints/trends", every=options.every, stop=stop)
     return {} if target else {trending.TABLE: read_layer(spark, trending.TABLE, gold).count()}
 
 
@@ -150,6 +159,11 @@ def main(arguments: Sequence[str] | None = None) -> dict[str, int]:
     given = vars(options)
     if options.command == "trends" and not options.archive and not (options.servers and options.topic):
         parser.error("trends needs --archive, or --servers and --topic")
+    if options.command == "trends":
+        if options.incremental and (options.stream or not options.archive and not options.partitions):
+            parser.error("--incremental excludes --stream, and with --topic needs --partitions")
+        if (options.every or options.stop_file or options.stop_seconds) and not options.stream:
+            parser.error("--every, --stop-file and --stop-seconds need --stream")
     if given.get("clean_source") == "archive" and not options.archive_folder:
         parser.error("--clean-source archive needs --archive-folder")
     spark = get_spark(f"tillmark-{options.command}")

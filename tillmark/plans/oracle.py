@@ -271,6 +271,9 @@ FROM (SELECT product_id, count(*) AS description_count FROM dim_products GROUP B
     "product_mentions": f'{_TRENDS} SELECT "text", product_mention FROM mentions WHERE product_mention IS NOT NULL',
     "trending_products": f"{_TRENDS} SELECT * FROM trending",
     "dashboard_trends": f"{_TRENDS} SELECT * FROM trending",
+    "trending_ledger": f"{_TRENDS} SELECT * FROM trending",
+    "trend_offsets": f"{_RAW} SELECT 'part_names' AS topic, CAST(message_offset % 4 AS INTEGER) AS \"partition\", "
+    'max(message_offset) + 1 AS next_offset FROM messages GROUP BY 2',
     "trending_streaming": f"{_TRENDS} SELECT * FROM trending",
     "ingest_incremental": f"{_BRONZE} SELECT {_PARSED_COLUMNS} FROM valid",
     "ingest_incremental_quarantine": f"{_BRONZE} SELECT {_PARSED_COLUMNS} FROM quarantine",

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.operators import alerts, bronze, dimensions, fact, outliers, reference_check, sales, trends
-from tillmark.plans import daily
+from tillmark.plans import daily, ledger
 from tillmark.plans.daily import DailyRun, run_daily
 from tillmark.plans.dashboard import dashboard
 from tillmark.plans.snapshot import snapshot
@@ -23,7 +23,7 @@ from tillmark.sinks.layers import write_layer
 from tillmark.sinks.reports import write_invalid_country_report, write_outlier_report
 from tillmark.sources import files
 from tillmark.sources.layers import read_layer, read_quantity_histogram, read_quarantine, read_valid_transactions
-from tillmark.sources.messages import read_archive, stream_archive
+from tillmark.sources.messages import read_archive, read_archive_from, stream_archive
 from tillmark.sources.star_tables import INVALID_COUNTRY, PART_KEYWORDS, StarTables
 from tillmark.streaming.ingest import compact_transactions, ingest_new_files, replay_countries
 from tillmark.streaming.trends import start_trends
@@ -350,6 +350,49 @@ def trending_streaming(data: _Data) -> DataFrame:
     return read_layer(data.spark, "trending_products", path)
 
 
+#: Partitions that the ledger's message log is dealt out to.
+PARTITIONS = 4
+
+
+def _archived(data: _Data, path: str) -> Iterator[str]:
+    """An archive of all messages in ``PARTITIONS`` partitions, after each of ``DROPS`` deliveries in order of offset."""
+    log = data.tables.messages().withColumn("partition", F.pmod("offset", F.lit(PARTITIONS)).cast("int"))
+    last = log.agg(F.max("offset")).first()[0] or 0
+    drop = F.floor(F.col("offset") * DROPS / F.lit(last + 1))
+    for number in range(DROPS):
+        log.filter(drop == number).write.mode("append").parquet(f"{path}/messages")
+        yield f"{path}/messages"
+
+
+def _kept_ledger(data: _Data) -> str:
+    """Where the trend table and its ledger lie after a run for each delivery, and one more that finds nothing new."""
+    path = scratch_path(data.spark, "ledger")
+    for archive in _archived(data, path):
+        for _ in range(2):
+            ledger.refresh_from_ledger(
+                data.spark,
+                lambda offsets, archive=archive: read_archive_from(data.spark, archive, offsets),
+                lambda df, name: write_layer(df, name, path),
+                f"{path}/ledger",
+                PART_KEYWORDS,
+            )
+    return path
+
+
+@_query
+def trending_ledger(data: _Data) -> DataFrame:
+    """The trend table after several runs, each of which read the messages that came since the one before."""
+    return read_layer(data.spark, "trending_products", _kept_ledger(data))
+
+
+@_query
+def trend_offsets(data: _Data) -> DataFrame:
+    """Up to where the ledger has counted each partition."""
+    offsets = ledger.counted_offsets(data.spark, f"{_kept_ledger(data)}/ledger")
+    rows = [(topic, partition, following) for (topic, partition), following in offsets.items()]
+    return data.spark.createDataFrame(rows, "topic string, partition int, next_offset bigint")
+
+
 @_query
 def dashboard_trends(data: _Data) -> DataFrame:
     """The trend table as the dashboard reads it, from where a refresh stored it."""
