@@ -93,6 +93,52 @@ def test_the_field_learns_boilerplate_from_labels(spark):
     assert sum(found[n]["kept"] == bool(good) for n, good, _ in labels) >= 0.98 * len(labels)
 
 
+def test_both_kinds_of_line_in_one_document(spark):
+    """Good documents hold some boilerplate and the others some content; only documents are labelled."""
+    rng = random.Random(8)
+
+    def line(kind):
+        if kind == quality.CONTENT:
+            return words(rng, 10, 5000).capitalize() + "."
+        return rng.choice((" | ".join(words(rng, 6, 5000).split()), "## " + words(rng, 2, 50).upper() + " >>"))
+
+    rows, labels, kinds = [], [], {}
+    for n in range(400):
+        good, of = n % 4 > 0, []
+        while len(of) < 14:
+            other = rng.random() < 0.25
+            of += [quality.CONTENT if good != other else quality.BOILERPLATE] * rng.randrange(1, 4)
+        rows.append((n, "\n".join(line(kind) for kind in of)))
+        labels.append((n, int(good), 0))
+        kinds[n] = of
+    docs = documents(spark, rows)
+    field = quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    right = total = 0
+    for n, text in rows:
+        lines = quality.measure(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+        found = quality.label_lines(lines, field)
+        right, total = right + int((found == kinds[n]).sum()), total + len(found)
+    assert right >= 0.9 * total
+    share = {row["doc_id"]: row["content_share"] for row in quality.judge(docs, field).collect()}
+    mixed = [n for n, of in kinds.items() if len(set(of)) == 2]
+    assert len(mixed) > 250 and sum(0 < share[n] < 1 for n in mixed) >= 0.9 * len(mixed)
+
+
+def test_labels_behind_noisy_copies():
+    """Chains in runs of two hidden labels, whose one given label is the more frequent one's."""
+    rng = np.random.default_rng(2)
+    hidden, first = [], [0]
+    for n in range(300):
+        rare = rng.random(6) < 0.2
+        hidden += np.repeat(np.where(rare, 1 - n % 2, n % 2), 2).tolist()
+        first.append(len(hidden))
+    hidden, first = np.array(hidden), np.array(first)
+    features = np.stack([np.ones(len(hidden)), rng.random(len(hidden)) < np.where(hidden == 1, 0.9, 0.1)], axis=1).astype(float)
+    given = np.repeat(np.arange(300) % 2, 12)
+    weights, transition = chains.train_latent_field(features, first, given, 2, 0.65)
+    assert (chains.viterbi(features @ weights, first, transition) == hidden).mean() > 0.88
+
+
 def test_empty_tables(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     field = quality.train(documents(spark, []), labels)

@@ -25,6 +25,9 @@ TRAINING_TASKS = 8
 #: A document is kept if at least this share of its words lies in content lines.
 CONTENT_SHARE = 0.5
 
+#: How likely a line is of the kind that its document's label names.
+AGREEMENT = 0.65
+
 FEWEST_WORDS = 50
 MOST_REPEATED = 0.5
 
@@ -157,7 +160,10 @@ def measure(data: np.ndarray, first: np.ndarray) -> Lines:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Field:
-    """Train the field on a bounded sample of labelled documents: lines of good ones are content, of bad ones not.
+    """Train the field on a bounded sample of labelled documents.
+
+    Which lines are content and which boilerplate is learned: lines of good documents are mostly content, lines of the
+    others mostly not (``AGREEMENT``), and a line that looks like those of the other kind of document belongs to them.
 
     ``docs`` has doc_id and text, ``labels`` has doc_id and quality (1: good). About ``TRAINING_DOCUMENTS`` of them are
     used. Rows with a NULL in any of these columns are left out. Where one of the two kinds is missing the result
@@ -189,7 +195,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Field:
     chains_of = [np.frombuffer(row["features"], np.uint8).reshape(-1, width) for row in rows]
     first = np.concatenate([[0], np.cumsum([len(chain) for chain in chains_of])])
     kinds = np.repeat([CONTENT if row["quality"] else BOILERPLATE for row in rows], np.diff(first))
-    return Field(*chains.train_field(np.concatenate(chains_of).astype(float), first, kinds, 2))
+    features = np.concatenate(chains_of).astype(float)
+    return Field(*chains.train_latent_field(features, first, kinds, 2, AGREEMENT))
 
 
 def label_lines(lines: Lines, field: Field) -> np.ndarray:
