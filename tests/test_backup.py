@@ -1,0 +1,147 @@
+"""Backups: what is copied again, what a damaged copy does, and what a restored lake can go on with."""
+
+import shutil
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+from test_jobs import COUNTRIES, PRODUCTS, command, lines
+
+from tillmark import versions
+from tillmark.plans import backup
+from tillmark.plans.daily import DailyRun, ingest_transactions, refresh_gold, run_daily
+from tillmark.sinks.layers import write_layer
+from tillmark.sources.layers import read_layer, read_quantity_histogram, read_quarantine, read_valid_transactions
+
+
+@pytest.fixture
+def run(tmp_path):
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "countries.csv").write_text(COUNTRIES)
+    (tmp_path / "products.csv").write_text(PRODUCTS)
+    (tmp_path / "raw" / "1.txt").write_text(lines(100, 1, 24))
+    return DailyRun(*(str(tmp_path / name) for name in ("raw", "countries.csv", "products.csv", "lake")))
+
+
+def bag(df):
+    return Counter(tuple(row) for row in df.collect())
+
+
+def state(spark, lake):
+    """Everything that the tables of a lake say."""
+    path = f"{lake}/transactions"
+    frames = {
+        "valid": read_valid_transactions(spark, path),
+        "quarantine": read_quarantine(spark, path),
+        "histogram": read_quantity_histogram(spark, path),
+        **{name: read_layer(spark, name, lake) for name in backup.tables_of(spark, lake) if name != "transactions"},
+    }
+    return {name: bag(df) for name, df in frames.items()}
+
+
+def test_a_restored_lake_is_the_lake_and_goes_on(spark, run, tmp_path):
+    run_daily(spark, run)
+    destination, restored = str(tmp_path / "backup"), str(tmp_path / "restored")
+    first = backup.backup(spark, run.lake, destination)
+    assert first.filter("NOT copied").isEmpty()
+    assert {"transactions", "countries", "gold/fct_sales", "reports/outliers"} <= {r.table_name for r in first.collect()}
+    # A second day: the folders of the first aren't copied again.
+    (tmp_path / "raw" / "2.txt").write_text(lines(200, 2, 12))
+    ingest_transactions(spark, run)
+    refresh_gold(spark, run)
+    second = backup.backup(spark, run.lake, destination).collect()
+    old = [row for row in second if row.table_name == "transactions" and not row.copied]
+    new = [row for row in second if row.table_name == "transactions" and row.copied]
+    assert len(old) == 3 and len(new) == 2
+    assert not any(row.copied for row in second if row.table_name in ("countries", "products", "reports/outliers"))
+
+    counts = backup.restore(spark, destination, restored)
+    assert state(spark, restored) == state(spark, run.lake)
+    assert counts["gold/fct_sales"] == 33
+    assert versions.latest(spark, f"{restored}/gold/fct_sales") == versions.latest(spark, f"{run.lake}/gold/fct_sales")
+    # A load on the restored lake computes only what is new, and a batch that is in stays in once.
+    shutil.copytree(f"{run.lake}/checkpoints", f"{restored}/checkpoints")
+    (tmp_path / "raw" / "3.txt").write_text(lines(300, 2, 10))
+    again = DailyRun(run.raw_transactions, run.raw_countries, run.raw_products, restored)
+    for job in (run, again):
+        assert ingest_transactions(spark, job)["ingest_valid"] == 9
+        refresh_gold(spark, job)
+    assert state(spark, restored) == state(spark, run.lake)
+
+
+def test_an_older_backup_is_put_back(spark, tmp_path):
+    lake, destination = str(tmp_path / "lake"), str(tmp_path / "backup")
+    for n in (3, 5):
+        write_layer(spark.range(n), "layer", lake)
+        backup.backup(spark, lake, destination)
+    for number, n in ((1, 3), (2, 5)):
+        assert backup.restore(spark, destination, f"{tmp_path}/{number}", number) == {"layer": n}
+        assert read_layer(spark, "layer", f"{tmp_path}/{number}").count() == n
+    with pytest.raises(FileExistsError, match="layer"):
+        backup.restore(spark, destination, lake)
+    assert read_layer(spark, "layer", lake).count() == 5
+    with pytest.raises(FileNotFoundError):
+        backup.restore(spark, str(tmp_path / "nothing"), str(tmp_path / "new"))
+
+
+@pytest.mark.parametrize("damage", ["bytes", "missing", "rows"])
+def test_a_damaged_copy_is_found(spark, tmp_path, damage):
+    lake, destination = str(tmp_path / "lake"), str(tmp_path / "backup")
+    write_layer(spark.range(50).repartition(2), "layer", lake)
+    write_layer(spark.range(4), "other", lake)
+    backup.backup(spark, lake, destination)
+    assert {row.state for row in backup.verify(spark, destination).collect()} == {backup.SOUND}
+    copy = versions.latest(spark, destination).content["tables"]["layer"]["folders"]
+    folder = tmp_path / "backup" / next(iter(copy.values()))["stored"]
+    file = next(folder.glob("*.parquet"))
+    if damage == "bytes":
+        file.write_bytes(file.read_bytes()[:-30] + b"\0" * 30)
+        (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
+    elif damage == "missing":
+        file.unlink()
+    else:
+        spark.range(7, 8).write.mode("append").parquet(str(folder))
+    found = {row.table_name: row.state for row in backup.verify(spark, destination).collect()}
+    assert found == {"layer": backup.DAMAGED, "other": backup.SOUND}
+    with pytest.raises(Exception):
+        backup.restore(spark, destination, str(tmp_path / "restored"))
+    # Nothing of it is to be seen.
+    assert list(backup.tables_of(spark, str(tmp_path / "restored"))) == []
+
+
+def test_a_backup_that_dies(spark, tmp_path, monkeypatch):
+    lake, destination = str(tmp_path / "lake"), str(tmp_path / "backup")
+    write_layer(spark.range(3), "layer", lake)
+    backup.backup(spark, lake, destination)
+    write_layer(spark.range(5), "layer", lake)
+    monkeypatch.setattr(backup.versions, "commit", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        backup.backup(spark, lake, destination)
+    monkeypatch.undo()
+    assert backup.restore(spark, destination, f"{tmp_path}/restored") == {"layer": 3}
+    assert backup.backup(spark, lake, destination).first()["copied"]
+    assert backup.restore(spark, destination, f"{tmp_path}/restored-again") == {"layer": 5}
+
+
+def test_digests(spark):
+    rows = [(1, None, "a"), (None, 1, "a"), (None, None, None)]
+    df = spark.createDataFrame(rows, "x int, `y.z` int, w string")
+
+    def digest(frame):
+        return backup._digest_of(frame)
+
+    assert digest(df) == digest(df.repartition(3).orderBy(F.desc("x")))
+    others = [df.limit(2), df.unionAll(df), df.select(F.col("`y.z`").alias("x"), F.col("x").alias("y"), "w").limit(1), df.fillna(0)]
+    assert len({digest(frame) for frame in [df, df.limit(1), *others]}) == 6
+    assert digest(df.limit(0)) == (0, "0:0")
+
+
+def test_commands(spark, run, tmp_path, capsys):
+    run_daily(spark, run)
+    lake, destination = ["--lake", run.lake], ["--destination", tmp_path / "backup"]
+    assert command("backup", *lake, *destination)["countries"] == 2
+    folders = command("verify", *lake, *destination)
+    assert folders["sound"] > 5 and folders["damaged"] == 0
+    put_back = command("restore", "--lake", tmp_path / "restored", *destination, "--number", 1)
+    assert put_back["gold/fct_sales"] == 22
+    assert state(spark, str(tmp_path / "restored")) == state(spark, run.lake)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
-from tillmark.plans import daily, ledger, trending
+from tillmark.plans import backup, daily, ledger, trending
 from tillmark.plans.dashboard import dashboard
 from tillmark.plans.snapshot import snapshot
 from tillmark.plans.warehouse import load_jdbc_warehouse, load_warehouse
@@ -37,7 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     ingest = ("clean-source", "archive-folder")
     trends = ("stream", "every", "stop-file", "stop-seconds", "incremental", "partitions")
     flags = {"stream", "incremental", "jdbc-truncate", "whole"}
-    numbers = {"jdbc-partitions": int, "jdbc-batch-size": int, "partitions": int, "stop-seconds": float}
+    numbers = {"jdbc-partitions": int, "jdbc-batch-size": int, "partitions": int, "number": int, "stop-seconds": float}
 
     def command(name: str, text: str, *options: str) -> None:
         sub = commands.add_parser(name, help=text)
@@ -57,6 +57,9 @@ def _parser() -> argparse.ArgumentParser:
     command("trends", "refresh the trend table", "servers", "topic", "archive", *trends, *jdbc)
     command("dashboard", "print the five questions and store the answers", *jdbc)
     command("snapshot", "copy the bronze tables; with --whole also gold, trends, reports and dashboard", "destination", "whole")
+    command("backup", "back up the tables of the lake, copying what earlier backups don't have", "destination")
+    command("verify", "read a backup again and list damaged folders", "destination", "number")
+    command("restore", "put the tables of a backup into a lake that lacks them", "destination", "number")
     return parser
 
 
@@ -192,6 +195,19 @@ def main(arguments: Sequence[str] | None = None) -> dict[str, int]:
         counts = _trends(spark, options, run.gold)
     elif options.command == "snapshot":
         counts = _snapshot(spark, run, options.destination, options.whole)
+    elif options.command == "backup":
+        manifest = backup.backup(spark, options.lake, options.destination).collect()
+        counts = {row.table_name: 0 for row in manifest}
+        for row in manifest:
+            counts[row.table_name] += row.row_count
+    elif options.command == "verify":
+        counts = {backup.SOUND: 0, backup.DAMAGED: 0}
+        for row in backup.verify(spark, options.destination, options.number).collect():
+            counts[row.state] += 1
+            if row.state == backup.DAMAGED:
+                print(f"damaged: {row.table_name}/{row.folder}")
+    elif options.command == "restore":
+        counts = backup.restore(spark, options.destination, options.lake, options.number)
     else:
         counts = _dashboard(spark, options.lake, run.gold, target)
     for name, count in counts.items():

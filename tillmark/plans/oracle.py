@@ -282,6 +282,9 @@ FROM (SELECT product_id, count(*) AS description_count FROM dim_products GROUP B
     "round(stddev_quantity, 6) AS stddev_quantity FROM stats",
     "ingest_replayed": f"""{_BRONZE}
 SELECT {_PARSED_COLUMNS}, 'valid' AS quality FROM valid
+UNION ALL SELECT {_PARSED_COLUMNS}, 'quarantine' FROM quarantine""",
+    "backup_restored": f"""{_BRONZE}
+SELECT {_PARSED_COLUMNS}, 'valid' AS quality FROM valid
 UNION ALL SELECT {_PARSED_COLUMNS}, 'quarantine' FROM quarantine""",
     "daily_sales_incremental": f"{_GOLD} {_FACT}",
     "snapshot_manifest": f"{_BRONZE} "

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.operators import alerts, bronze, dimensions, fact, outliers, reference_check, sales, trends
-from tillmark.plans import daily, ledger
+from tillmark.plans import backup, daily, ledger
 from tillmark.plans.daily import DailyRun, run_daily
 from tillmark.plans.dashboard import dashboard
 from tillmark.plans.snapshot import snapshot
@@ -475,6 +475,11 @@ def ingest_replayed(data: _Data) -> DataFrame:
     path = _ingest_drops(data, wrong.unionAll(invalid), merged=False)
     replay_countries(data.countries, path)
     compact_transactions(data.spark, path, fan_in=DROPS)
+    return _both_sides(data, path)
+
+
+def _both_sides(data: _Data, path: str) -> DataFrame:
+    """Valid and quarantined transactions of a table, told apart by ``quality``."""
     sides = {"valid": read_valid_transactions, "quarantine": read_quarantine}
     tagged = [read(data.spark, path).withColumn("quality", F.lit(name)) for name, read in sides.items()]
     return tagged[0].unionAll(tagged[1])
@@ -499,6 +504,22 @@ def daily_sales_incremental(data: _Data) -> DataFrame:
     return read_layer(data.spark, "fct_sales", run.gold)
 
 
+@_query
+def backup_restored(data: _Data) -> DataFrame:
+    """Both sides of the country check in a lake that was put back from its backups: one for each delivery, which copies
+    what the one before it didn't have, and one after the batches were merged."""
+    path = scratch_path(data.spark, "backup")
+    lake, destination = f"{path}/lake", f"{path}/backup"
+    for folder in _drops(data, path):
+        raw = files.stream_transactions(data.spark, folder)
+        ingest_new_files(raw, data.countries, f"{lake}/transactions", f"{path}/checkpoint")
+        backup.backup(data.spark, lake, destination)
+    compact_transactions(data.spark, f"{lake}/transactions", fan_in=DROPS)
+    backup.backup(data.spark, lake, destination)
+    backup.restore(data.spark, destination, f"{path}/restored")
+    return _both_sides(data, f"{path}/restored/transactions")
+
+
 @_query
 def snapshot_manifest(data: _Data) -> DataFrame:
     valid, quarantined = reference_check.split_by_reference(data.parsed, data.countries, "CountryID")
