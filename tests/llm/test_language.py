@@ -58,6 +58,55 @@ def test_spans_of_mixed_text(spark):
     assert abs(row["score"] - max(letters.values()) / sum(letters.values())) < 1e-9
 
 
+UNSPACED_SYLLABLES = {
+    "zh": "我们 他们 中国 学习 语言 今天 工作 问题".split(),
+    "ja": "わたし たち です ます 学習 言語 ことば もんだい".split(),
+    "th": "ภาษา ไทย วันนี้ เรียน ทำงาน คำถาม".split(),
+}
+
+
+def unspaced(rng, lang, n=30):
+    return "".join(rng.choice(UNSPACED_SYLLABLES[lang]) for _ in range(n))
+
+
+def test_scripts_without_spaces(spark):
+    rng = random.Random(21)
+    _, docs = corpus(spark, 200)
+    learned = [(1000 + n, unspaced(rng, lang), lang) for lang in UNSPACED_SYLLABLES for n in range(80)]
+    model = language.train(docs.unionByName(documents(spark, learned)))
+    alone = [(n, unspaced(rng, lang), lang) for n, lang in enumerate(list(UNSPACED_SYLLABLES) * 20)]
+    found = {r["doc_id"]: r for r in language.label_spans(documents(spark, alone), model).collect()}
+    assert sum(found[n]["lang_pred"] == lang for n, _, lang in alone) >= 0.98 * len(alone)
+    # No white space between languages, also next to a script that has some.
+    for langs in (("zh", "th"), ("th", "xx"), ("zz", "ja", "xx"), ("zh", "ja"), ("zz", "xx")):
+        parts = [(x, unspaced(rng, x) if x in UNSPACED_SYLLABLES else sentence(rng, x, 15)) for x in langs]
+        text = "".join(part for _, part in parts)
+        row = language.label_spans(documents(spark, [(1, text)]), model, spans=True).first()
+        data = text.encode()
+        spans = [(s["lang"], data[s["start"] : s["end"]].decode()) for s in row["spans"]]
+        assert [lang for lang, _ in spans] == list(langs)
+        if langs != ("zh", "ja"):
+            assert spans == parts
+        assert "".join(part for _, part in spans) == text
+
+
+def test_words_end_where_the_script_does():
+    def words(*texts):
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        first = np.cumsum([0] + [len(text.encode()) for text in texts])
+        found = language.read_words(data, first)
+        return [bytes(data[a:b]).decode() for a, b in zip(found.start, found.end, strict=True)]
+
+    assert words("naïve “café” e\u0301te\u0301 ǅ x²") == ["naïve", "“café”", "e\u0301te\u0301", "ǅ", "x²"]
+    assert words("приветhello мир") == ["привет", "hello", "мир"]
+    assert words("abc中文字符很多123def") == ["abc", "中文字符", "很多", "123def"]
+    assert words("中文", "字x") == ["中文", "字", "x"]
+    assert words("ไทยabc") == ["ไทย", "abc"]
+    assert words("हिन्दी में") == ["हिन्दी", "में"]
+    assert words("漢字かな交じり") == ["漢字", "かな", "交", "じり"]
+    assert words("", "  ") == [] and words("中") == ["中"]
+
+
 def test_scripts_leave_only_their_languages(spark):
     _, docs = corpus(spark)
     model = language.train(docs)

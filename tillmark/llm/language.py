@@ -1,6 +1,7 @@
 """Language identification: script ranges, per-word scores, and Viterbi with a switching penalty.
 
-Letters are the code points of a Unicode letter category. The script of a word, read from ranges of code points, leaves
+Letters are the code points of a Unicode letter category. Words end at white space and where the script changes; in
+scripts that are written without spaces they are short runs of code points. The script of a word, read from ranges of code points, leaves
 only the languages that are written in it; letters outside of the ranges leave all languages. Those are scored by character n-grams of the word, and the best labelling of a document's words under a penalty for each change
 of language gives spans of one language each. A document's language is the one that most of its letters lie in.
 """
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm import chains, textbytes
+from tillmark.llm.decontaminate import UNSPACED
 from tillmark.llm.rows import held_out, slices
 
 #: Documents per language that the model learns from, about (a hash of the id below a threshold chooses them).
@@ -62,6 +64,9 @@ SCRIPT_RANGES = (
     ("han", 0x3400, 0x4DBF), ("han", 0x4E00, 0x9FFF), ("hangul", 0xAC00, 0xD7AF),
 )
 
+#: Code points of a word in scripts that are written without spaces.
+RUN = 4
+
 #: Stands for all scripts outside of the ranges, so it tells nothing about the language.
 OTHER = "other"
 
@@ -88,6 +93,50 @@ def _script_of() -> np.ndarray:
     return np.where(textbytes.categories() == ord("L"), scripts, np.uint8(NO_LETTER))
 
 
+@functools.cache
+def _written_in() -> np.ndarray:
+    """The script that each letter, or mark in a script's range, is written in; ``NO_LETTER`` for all others."""
+    inside = np.zeros(0x110000, bool)
+    scripts = _script_of().copy()
+    for name, low, high in SCRIPT_RANGES:
+        scripts[low : high + 1] = SCRIPTS.index(name)
+        inside[low : high + 1] = True
+    kind = textbytes.categories()
+    return np.where((kind == ord("L")) | inside & (kind == ord("M")), scripts, np.uint8(NO_LETTER))
+
+
+@functools.cache
+def _unspaced() -> np.ndarray:
+    """Whether each code point is a letter or mark of a script that is written without spaces."""
+    unspaced = np.zeros(0x110000, bool)
+    for low, high in UNSPACED:
+        unspaced[low : high + 1] = True
+    return unspaced & np.isin(textbytes.categories(), np.frombuffer(b"LM", np.uint8))
+
+
+#: The lowest first byte of code points beyond the Latin letters at the start of Unicode.
+_BEYOND_LATIN = 0xCA
+
+
+def script_cuts(data: np.ndarray) -> np.ndarray:
+    """Places before which words end though there is no white space: see the module's text.
+
+    Texts without letters of other scripts than Latin have none and are not looked at letter by letter.
+    """
+    beyond = np.flatnonzero(data >= _BEYOND_LATIN)
+    if not len(beyond) or (_written_in()[textbytes.code_points(data, beyond)] == NO_LETTER).all():
+        return np.zeros(0, np.int64)
+    start = np.flatnonzero((data & 0xC0) != 0x80)
+    points = textbytes.code_points(data, start)
+    script, unspaced = _written_in()[points], _unspaced()[points]
+    cut = np.zeros(len(start), bool)
+    both = (script[1:] != NO_LETTER) & (script[:-1] != NO_LETTER)
+    cut[1:] = both & (script[1:] != script[:-1]) | (unspaced[1:] != unspaced[:-1])
+    number = np.arange(len(start))
+    begin = np.maximum.accumulate(np.where(cut, number, 0))
+    return start[cut | unspaced & ((number - begin) % RUN == 0)]
+
+
 @dataclass
 class Words:
     """The words of a block: where they lie, letters of each script in them, and the distinct ones spelled out."""
@@ -101,7 +150,7 @@ class Words:
 
 
 def read_words(data: np.ndarray, first: np.ndarray) -> Words:
-    start, end, first_word = textbytes.words(data, first)
+    start, end, first_word = textbytes.runs(textbytes.SPACE[data], first, script_cuts(data))
     lowered = textbytes.LOWER[data]
     distinct = textbytes.Distinct(lowered, start, end, textbytes.Hasher(lowered)(start, end))
     # Scripts of the distinct words only; the others repeat them.
