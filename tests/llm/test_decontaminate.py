@@ -108,3 +108,53 @@ def test_odd_rows(spark):
     empty = spark.createDataFrame([], ITEMS)
     assert d.leaks(frame, empty).count() == 0 and d.keep_clean(frame, empty).count() == len(odd_rows())
     assert d.leaks(documents(spark, []), benchmark).count() == 0
+
+
+def test_repetitive_texts_take_little_memory():
+    """An item of one word forty times, and texts of that word: as many agreeing places as the product of both."""
+    import tracemalloc
+
+    from tillmark.llm import decontaminate
+
+    peaks = []
+    for n in (20_000, 40_000):
+        tracemalloc.start()
+        assert decontaminate.greedy_tiles([7] * 40, [7] * n) == [(0, 0, 40)]
+        peaks.append(tracemalloc.get_traced_memory()[1] / n)
+        tracemalloc.stop()
+    assert max(peaks) < 400
+
+
+def test_tiles_are_those_of_all_matches():
+    """Against a search that looks at every pair of places, on sequences that repeat a lot."""
+    import random
+
+    from tillmark.llm import decontaminate
+
+    def all_pairs(pattern, text, least):
+        in_pattern, in_text, tiles = [False] * len(pattern), [False] * len(text), []
+        while True:
+            best = []
+            for p in range(len(pattern)):
+                for t in range(len(text)):
+                    run = 0
+                    while (
+                        p + run < len(pattern) and t + run < len(text) and pattern[p + run] == text[t + run]
+                        and not in_pattern[p + run] and not in_text[t + run]
+                    ):
+                        run += 1
+                    best.append((run, p, t))
+            longest = max((run for run, _, _ in best), default=0)
+            if longest < least:
+                return tiles
+            for run, p, t in best:
+                if run == longest and not any(in_pattern[p : p + run]) and not any(in_text[t : t + run]):
+                    in_pattern[p : p + run] = in_text[t : t + run] = [True] * run
+                    tiles.append((p, t, run))
+
+    rng = random.Random(6)
+    for _ in range(150):
+        pattern = rng.choices(range(rng.choice((1, 2, 3, 9))), k=rng.randrange(0, 30))
+        text = rng.choices(range(3), k=rng.randrange(0, 40)) + pattern[rng.randrange(0, 10) :]
+        found = decontaminate.greedy_tiles(pattern, text, 3)
+        assert sorted(found) == sorted(all_pairs(pattern, text, 3))

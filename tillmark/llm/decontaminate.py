@@ -94,16 +94,23 @@ def _window_hashes(sequence: list[int], length: int) -> list[int]:
     return hashes
 
 
-def _matches(
+def _longest_matches(
     pattern: list[int], text: list[int], in_pattern: list[bool], in_text: list[bool], length: int
-) -> list[tuple[int, int, int]]:
-    """Common runs of unmarked tokens of at least ``length``, as long as they go on from where they were found."""
+) -> tuple[int, list[tuple[int, int]]]:
+    """The longest common runs of unmarked tokens, if of at least ``length``: their length and where they begin.
+
+    A run is followed only from its first token, and of all runs only the longest so far are held. So a text that repeats
+    a few tokens takes memory in proportion to its length, however many pairs of places agree.
+    """
     table = defaultdict(list)
     for t, value in enumerate(_window_hashes(text, length)):
         table[value].append(t)
-    found = []
+    longest, found = length, []
     for p, value in enumerate(_window_hashes(pattern, length)):
+        inner = p > 0 and not in_pattern[p - 1]
         for t in table.get(value, ()):
+            if inner and t > 0 and not in_text[t - 1] and pattern[p - 1] == text[t - 1]:
+                continue
             run = 0
             while (
                 p + run < len(pattern)
@@ -113,9 +120,11 @@ def _matches(
                 and not in_text[t + run]
             ):
                 run += 1
-            if run >= length:
-                found.append((run, p, t))
-    return found
+            if run > longest:
+                longest, found = run, []
+            if run == longest:
+                found.append((p, t))
+    return longest, found
 
 
 def greedy_tiles(pattern: list[int], text: list[int], least: int = LEAST_TILE) -> list[tuple[int, int, int]]:
@@ -129,10 +138,9 @@ def greedy_tiles(pattern: list[int], text: list[int], least: int = LEAST_TILE) -
     tiles = []
     length = max(least, min(len(pattern), len(text)))
     while True:
-        found = _matches(pattern, text, in_pattern, in_text, length)
-        longest = max((run for run, _, _ in found), default=0)
-        for run, p, t in found:
-            if run == longest and not any(in_pattern[p : p + run]) and not any(in_text[t : t + run]):
+        run, found = _longest_matches(pattern, text, in_pattern, in_text, length)
+        for p, t in found:
+            if not any(in_pattern[p : p + run]) and not any(in_text[t : t + run]):
                 in_pattern[p : p + run] = in_text[t : t + run] = [True] * run
                 tiles.append((p, t, run))
         if not found:
@@ -256,7 +264,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     ignored; if either table is empty so is the result.
 
     The benchmark goes to the tasks in blocks of about ``BENCHMARK_BYTES`` bytes, one pass over the documents each, so
-    what is broadcast doesn't grow with it.
+    what a task holds doesn't grow with it; the driver reads all blocks while it builds the plan.
     """
     return reduce(DataFrame.unionAll, [_leaks_of_block(docs, rows, coverage) for rows in _blocks(benchmark)])
 
