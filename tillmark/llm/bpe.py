@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.rows import slices
+from tillmark.llm.rows import releasing, slices
 
 #: Entries that each worker's table of remembered pieces holds at most; that of odd chunks holds an eighth of them.
 REMEMBERED = 400_000
@@ -286,7 +286,7 @@ def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        lambda batches: _encoded(batches, shared.value), ENCODED
+        releasing(lambda batches: _encoded(batches, shared.value)), ENCODED
     )
 
 
@@ -296,14 +296,16 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     The vocabulary names no decoder, so the marks of word ends stay. No ids, or NULL, give an empty text.
     """
     shared = encoded.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
-    return encoded.select("doc_id", "ids").mapInArrow(lambda batches: _decoded(batches, shared.value), DECODED)
+    return encoded.select("doc_id", "ids").mapInArrow(
+        releasing(lambda batches: _decoded(batches, shared.value)), DECODED
+    )
 
 
 def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
     """``decode(encode(docs))`` within the same tasks: doc_id, ids, text."""
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        lambda batches: _decoded(_encoded(batches, shared.value), shared.value), DECODED
+        releasing(lambda batches: _decoded(_encoded(batches, shared.value), shared.value)), DECODED
     )
 
 

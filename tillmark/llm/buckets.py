@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tillmark.llm.rows import give_back, releasing
+
 Batches = Iterator[pa.RecordBatch]
 
 
@@ -33,7 +35,7 @@ def groups(batches: Batches, keys: list[str]) -> Iterator[pa.Table]:
                 parts = []
             parts.append(part)
         del batch
-        pa.default_memory_pool().release_unused()
+        give_back()
     if parts:
         yield pa.Table.from_batches(parts)
 
@@ -44,7 +46,7 @@ def map_groups(rows: DataFrame, keys: list[str], run: Callable[[Iterator[pa.Tabl
     def over(batches: Batches) -> Batches:
         return run(groups(batches, keys))
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(over, schema)
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(releasing(over), schema)
 
 
 def bucket_count(rows: DataFrame) -> int:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm import textbytes
+from tillmark.llm.rows import releasing
 
 #: Tokens of the shortest tile; also the length of a seed.
 LEAST_TILE = 5
@@ -251,7 +252,7 @@ def _leaks_of_block(docs: DataFrame, rows: list[tuple[int | None, str]], coverag
             columns = [pa.array([row[k] for row in found], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "matched_tokens", "coverage"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, LEAKS)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(run), LEAKS)
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -284,5 +285,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE
                 kept[[row for row, *_ in _found(batch.column("text"), seeds, coverage)]] = False
                 yield batch.filter(pa.array(kept))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = docs.mapInArrow(releasing(run), docs.schema)
     return docs

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tillmark.llm import chains, textbytes
 from tillmark.llm.decontaminate import UNSPACED
-from tillmark.llm.rows import held_out, slices
+from tillmark.llm.rows import held_out, releasing, slices
 
 #: Documents per language that the model learns from, about (a hash of the id below a threshold chooses them).
 TRAINING_DOCUMENTS = 3000
@@ -299,7 +299,7 @@ def label_spans(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame
                 yield pa.RecordBatch.from_arrays(columns, fields)
 
     schema = f"{LABELLED}, {SPANS}" if spans else LABELLED
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(releasing(run), schema)
 
 
 def keep_identified(docs: DataFrame, model: Model, least_score: float = LEAST_SCORE) -> DataFrame:
@@ -315,4 +315,4 @@ def keep_identified(docs: DataFrame, model: Model, least_score: float = LEAST_SC
                 kept = (found.language != UNDETERMINED) & (found.score >= least_score)
                 yield batch.slice(found.at, found.n).filter(pa.array(kept.astype(bool)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)

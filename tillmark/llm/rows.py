@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+from collections.abc import Callable, Iterable, Iterator
 from typing import TypeVar
 
 import pyarrow as pa
@@ -37,8 +38,28 @@ def slices(batches: Iterable[pa.RecordBatch], size: int = 4 << 20) -> Iterator[p
         step = max(1, int(batch.num_rows * size / max(1, batch.nbytes)))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
-        # Else the pool keeps what a large batch took, beside the next stage's worker.
-        pa.default_memory_pool().release_unused()
+        give_back()
+
+
+def give_back() -> None:
+    """Hand freed memory back to the system, else a worker keeps what its largest batch took beside the next stage's.
+
+    Arrow's pool and numpy's arrays are apart: the latter lie in the heap of the C library, which GNU's can trim.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, for ``mapInArrow``, that gives its memory back when the partition is done and its arrays are gone."""
+
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return over
 
 
 def free_name(frame: DataFrame, name: str) -> str:

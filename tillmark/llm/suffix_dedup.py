@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tillmark.llm import textbytes
 from tillmark.llm.buckets import Batches, bucket_count, map_groups
-from tillmark.llm.rows import free_name, slices
+from tillmark.llm.rows import free_name, releasing, slices
 from tillmark.llm.suffix_array import common_prefixes, suffix_array
 from tillmark.operators.joins import split_key
 
@@ -124,7 +124,7 @@ def pack_anchors(docs: DataFrame, buckets: int) -> DataFrame:
             columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, [part.split()[0] for part in PACKED_ANCHORS.split(", ")])
 
-    return docs.mapInArrow(run, PACKED_ANCHORS)
+    return docs.mapInArrow(releasing(run), PACKED_ANCHORS)
 
 
 def _shared(tables) -> Batches:
@@ -189,7 +189,7 @@ def pack_stretches(docs: DataFrame, buckets: int) -> DataFrame:
             columns = [pa.array([row[k] for row in rows], kind) for k, kind in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, [part.split()[0] for part in STRETCHES.split(", ")])
 
-    return docs.mapInArrow(run, STRETCHES)
+    return docs.mapInArrow(releasing(run), STRETCHES)
 
 
 def earliest(content: np.ndarray, lengths: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -337,7 +337,7 @@ def trim(docs: DataFrame) -> DataFrame:
             names = [part.split()[0] for part in TRIMMED.split(", ")]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
 
-    return docs.select("doc_id", "text", "spans").mapInArrow(run, TRIMMED)
+    return docs.select("doc_id", "text", "spans").mapInArrow(releasing(run), TRIMMED)
 
 
 def _content() -> Column:
@@ -453,4 +453,4 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             columns["n_chars"] = pa.array(lengths, batch.column("n_chars").type)
             yield pa.RecordBatch.from_pydict(columns).filter(pa.array(kept))
 
-    return wide.mapInArrow(run, schema)
+    return wide.mapInArrow(releasing(run), schema)

@@ -71,7 +71,8 @@ class _Powers:
 
     def upto(self, n: int) -> None:
         if len(self.up) < n:
-            n = max(n, BLOCK_BYTES + 1)
+            # Twice as many each time, so that they are made anew rarely and never take much more than is hashed.
+            n = max(n, 2 * len(self.up))
             inverse = pow(_SEED, -1, 1 << 64)
             for name, base in (("up", _SEED), ("down", inverse)):
                 steps = np.full(n, base, np.uint64)
