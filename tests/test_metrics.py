@@ -1,0 +1,81 @@
+"""Counts taken during writes, kept per run, and the limits they are held against."""
+
+import dataclasses
+
+import pytest
+from test_jobs import run  # noqa: F401
+
+from tillmark import versions
+from tillmark.operators.flaws import broken_limits, latest_metrics
+from tillmark.plans.daily import run_daily
+from tillmark.sinks import metrics, transactions
+from tillmark.sources.layers import read_layer
+from tillmark.streaming.ingest import compact_transactions, store_batch
+
+RAW = "InvoiceNo string, StockCode string, Quantity int, InvoiceDate string, CustomerID string, Country string"
+GOOD = ("1", "A", 2, "01/02/2024 10:00", "7", "1101-1")
+BAD_DATE = ("2", "A", 2, "soon", "7", "1101-1")
+BAD_QUANTITY = ("3", None, None, "01/02/2024 10:00", None, "9999-1")
+
+
+def rows_of(frame):
+    return sorted(tuple(row) for row in frame.collect())
+
+
+def test_runs_are_kept(spark, tmp_path):
+    path = f"{tmp_path}/metrics"
+    assert metrics.record(spark, path, {"a": {"row_count": 10, "odd": 1}, "b": {"row_count": 0, "odd": 0}}) == 1
+    assert metrics.record(spark, path, {"a": {"row_count": 20, "odd": 6}}) == 2
+    kept = read_layer(spark, "metrics", str(tmp_path))
+    assert rows_of(kept) == [
+        (1, "a", "odd", 1), (1, "a", "row_count", 10), (1, "b", "odd", 0), (1, "b", "row_count", 0),
+        (2, "a", "odd", 6), (2, "a", "row_count", 20),
+    ]
+    assert rows_of(latest_metrics(kept)) == [("a", "odd", 6), ("a", "row_count", 20), ("b", "odd", 0), ("b", "row_count", 0)]
+    limits = {("a", "odd"): 0.25, ("b", "odd"): 0.0, ("c", "odd"): 0.0, ("a", "none"): 0.0}
+    assert rows_of(broken_limits(kept, limits)) == [("a", "odd", 6, 20, 5)]
+    assert rows_of(broken_limits(kept, {("a", "odd"): 0.3})) == []
+    assert rows_of(broken_limits(kept, {})) == []
+
+
+def test_a_run_that_dies_adds_nothing(spark, tmp_path, monkeypatch):
+    path = f"{tmp_path}/metrics"
+    metrics.record(spark, path, {"a": {"row_count": 1}})
+
+    def die(*_):
+        raise OSError
+
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        patch.setattr(versions, "commit", die)
+        metrics.record(spark, path, {"a": {"row_count": 2}})
+    assert rows_of(read_layer(spark, "metrics", str(tmp_path))) == [(1, "a", "row_count", 1)]
+    assert metrics.record(spark, path, {"a": {"row_count": 3}}) == 2
+
+
+def test_batches_count_once(spark, tmp_path):
+    path = f"{tmp_path}/transactions"
+    countries = spark.createDataFrame([("1101",)], "CountryID string")
+    first = spark.createDataFrame([GOOD, BAD_DATE], RAW)
+    second = spark.createDataFrame([GOOD, BAD_QUANTITY], RAW)
+    for batch_id, raw in ((0, first), (1, second), (1, second)):
+        store_batch(raw, countries, path, "run", batch_id)
+    expected = {
+        "row_count": 4, "unreadable_dates": 1, "unreadable_quantities": 1, "missing_products": 1, "missing_customers": 1,
+        "missing_countries": 0,
+    }
+    assert transactions.measured(spark, path) == expected
+    assert compact_transactions(spark, path, fan_in=2) == 1
+    assert transactions.measured(spark, path) == expected
+    store_batch(second, countries, path, "run", 1)
+    assert transactions.measured(spark, path) == expected
+
+
+def test_limits_of_a_daily_run(spark, run, tmp_path):  # noqa: F811
+    (tmp_path / "raw" / "3.txt").write_text("900,A,1,never,17850,1101-1\n")
+    limits = {("transactions", "unreadable_dates"): 0.01, ("products", "unreadable_prices"): 0.0}
+    strict = dataclasses.replace(run, limits=limits)
+    run_daily(spark, strict)
+    found = read_layer(spark, "broken_limits", strict.reports)
+    assert rows_of(found) == [("transactions", "unreadable_dates", 1, 25, 0)]
+    kept = read_layer(spark, "metrics", strict.lake)
+    assert {(row.run, row.table_name) for row in kept.collect()} == {(1, "countries"), (1, "products"), (2, "transactions")}

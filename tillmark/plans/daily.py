@@ -8,10 +8,13 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmark.operators import alerts, bronze, dimensions, outliers
+from tillmark.operators.flaws import broken_limits
 from tillmark.operators.reference_check import missing_reference
 from tillmark.plans.incremental import refresh_star
-from tillmark.plans.warehouse import load_warehouse, star_schema
+from tillmark.plans.warehouse import load_measured, load_warehouse, star_schema
+from tillmark.sinks import transactions
 from tillmark.sinks.layers import write_layer
+from tillmark.sinks.metrics import ROW_COUNT, record
 from tillmark.sinks.reports import write_invalid_country_report, write_outlier_report
 from tillmark.sources import files
 from tillmark.sources.layers import read_layer, read_quantity_histogram, read_valid_transactions
@@ -29,7 +32,8 @@ class DailyRun:
     """Folders of a run. All but the raw files are written; ``lake`` must be shared by all executors.
 
     ``source_options`` are those of Spark's file source; for a folder that keeps growing, ``cleanSource`` moves files
-    away once they are stored, which keeps listing it cheap.
+    away once they are stored, which keeps listing it cheap. ``limits`` says of which share of a bronze table's rows a
+    flaw may be found, by table and flaw (see ``flaws``); what exceeds one is among the reports as ``broken_limits``.
     """
 
     raw_transactions: str
@@ -37,6 +41,7 @@ class DailyRun:
     raw_products: str
     lake: str
     source_options: dict[str, str | int] = field(default_factory=lambda: {"maxBytesPerTrigger": BATCH_BYTES})
+    limits: dict[tuple[str, str], float] = field(default_factory=dict)
 
     @property
     def transactions(self) -> str:
@@ -54,6 +59,10 @@ class DailyRun:
     def reports(self) -> str:
         return f"{self.lake}/reports"
 
+    @property
+    def metrics(self) -> str:
+        return f"{self.lake}/metrics"
+
 
 def refresh_dimensions(spark: SparkSession, run: DailyRun) -> dict[str, int]:
     """Write the country and the product layer anew. Prices lie in order of day, so that readers of some months skip
@@ -63,7 +72,9 @@ def refresh_dimensions(spark: SparkSession, run: DailyRun) -> dict[str, int]:
         "products": bronze.products(files.read_products(spark, run.raw_products)),
     }
     order = {"countries": (), "products": ("Date",)}
-    return load_warehouse(frames, lambda df, name: write_layer(df, name, run.lake, sort_by=order[name]))
+    measured = load_measured(frames, lambda df, name: write_layer(df, name, run.lake, sort_by=order[name]))
+    record(spark, run.metrics, measured)
+    return {name: counts[ROW_COUNT] for name, counts in measured.items()}
 
 
 def ingest_transactions(spark: SparkSession, run: DailyRun) -> dict[str, int]:
@@ -72,6 +83,8 @@ def ingest_transactions(spark: SparkSession, run: DailyRun) -> dict[str, int]:
     raw = files.stream_transactions(spark, run.raw_transactions, **run.source_options)
     counts = ingest_new_files(raw, read_layer(spark, "countries", run.lake), run.transactions, run.checkpoint)
     compact_transactions(spark, run.transactions)
+    # Counts of all that is stored, as the batches' writes have left them: no row is read for them.
+    record(spark, run.metrics, {"transactions": transactions.measured(spark, run.transactions)})
     return {f"ingest_{name}": count for name, count in counts.items()}
 
 
@@ -103,11 +116,11 @@ def refresh_gold(spark: SparkSession, run: DailyRun, load: Load | None = None) -
 def write_reports(spark: SparkSession, run: DailyRun) -> dict[str, int]:
     """Write both reports, the digest and its lines. The outliers are computed once and read back for the text report; medians and
     deviations come from the histogram that the ingest keeps."""
-    transactions = read_valid_transactions(spark, run.transactions)
+    valid = read_valid_transactions(spark, run.transactions)
     geography = dimensions.dim_geography(read_layer(spark, "countries", run.lake))
     histogram = read_quantity_histogram(spark, run.transactions)
-    found = outliers.quantity_outliers(transactions, histogram=histogram)
-    invalid = missing_reference(transactions, geography, "CountryID", "geo_id")
+    found = outliers.quantity_outliers(valid, histogram=histogram)
+    invalid = missing_reference(valid, geography, "CountryID", "geo_id")
     counts = load_warehouse(
         {"outliers": found, "invalid_countries": invalid.select(*alerts.INVALID_COUNTRY_COLUMNS)},
         lambda df, name: write_layer(df, name, run.reports),
@@ -117,6 +130,9 @@ def write_reports(spark: SparkSession, run: DailyRun) -> dict[str, int]:
     write_invalid_country_report(invalid, f"{run.reports}/invalid_country.csv")
     write_layer(alerts.alert_digest(found, invalid), "digest", run.reports)
     write_layer(alerts.alert_lines(found, invalid), "alert_lines", run.reports)
+    if run.limits:
+        metrics = read_layer(spark, "metrics", run.lake)
+        write_layer(broken_limits(metrics, run.limits), "broken_limits", run.reports)
     return counts
 
 

@@ -305,5 +305,37 @@ UNION ALL SELECT {_PARSED_COLUMNS}, 'quarantine' FROM quarantine""",
             "invalid_countries": '(SELECT * FROM valid WHERE "CountryID" NOT IN (SELECT geo_id FROM dim_geography))',
         },
     ),
+    "kept_metrics": f"{_BRONZE} "
+    + " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{metric}' AS metric, COUNT(*) FILTER ({test}) AS value, 3::BIGINT AS runs FROM {source}"
+        for table, source, tests in (
+            (
+                "transactions",
+                "parsed",
+                {
+                    "unreadable_dates": '"InvoiceTimestamp" IS NULL',
+                    "unreadable_quantities": '"Quantity" IS NULL',
+                    "missing_products": '"StockCode" IS NULL',
+                    "missing_customers": '"CustomerID" IS NULL',
+                    "missing_countries": '"CountryID" IS NULL',
+                },
+            ),
+            (
+                "products",
+                "products",
+                {
+                    "unreadable_prices": '"UnitPrice" IS NULL',
+                    "unreadable_dates": '"Date" IS NULL',
+                    "missing_products": '"StockCode" IS NULL',
+                },
+            ),
+            (
+                "countries",
+                "countries",
+                {"missing_countries": '"CountryID" IS NULL', "unknown_continents": '"ContinentID" IS NULL'},
+            ),
+        )
+        for metric, test in {"row_count": "TRUE", **tests}.items()
+    ),
     "daily_run_sales": f"{_GOLD} {_FACT}",
 }

@@ -12,14 +12,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.operators import alerts, bronze, dimensions, fact, outliers, reference_check, sales, trends
+from tillmark.operators.flaws import latest_metrics
 from tillmark.plans import backup, daily, ledger
 from tillmark.plans.daily import DailyRun, run_daily
 from tillmark.plans.dashboard import dashboard
 from tillmark.plans.snapshot import snapshot
 from tillmark.plans.trending import refresh_trends
-from tillmark.plans.warehouse import star_schema
+from tillmark.plans.warehouse import load_measured, star_schema
 from tillmark.session import scratch_path
+from tillmark.sinks import transactions
 from tillmark.sinks.layers import write_layer
+from tillmark.sinks.metrics import record
 from tillmark.sinks.reports import write_invalid_country_report, write_outlier_report
 from tillmark.sources import files
 from tillmark.sources.layers import read_layer, read_quantity_histogram, read_quarantine, read_valid_transactions
@@ -550,6 +553,23 @@ def daily_run_metrics(data: _Data) -> DataFrame:
     return data.spark.createDataFrame(sorted(metrics.items()), "metric string, row_count bigint")
 
 
+@_query
+def kept_metrics(data: _Data) -> DataFrame:
+    """What the writes of bronze tables have counted, kept over several runs: the last state of each table, and how many
+    runs are kept."""
+    path = scratch_path(data.spark, "metrics")
+    order = {"countries": data.countries, "products": data.products}
+    for folder in _drops(data, path):
+        measured = load_measured(order, lambda df, name: write_layer(df, name, path))
+        raw = files.stream_transactions(data.spark, folder)
+        ingest_new_files(raw, data.countries, f"{path}/transactions", f"{path}/checkpoint")
+        compact_transactions(data.spark, f"{path}/transactions", fan_in=2)
+        measured["transactions"] = transactions.measured(data.spark, f"{path}/transactions")
+        record(data.spark, f"{path}/metrics", measured)
+    metrics = read_layer(data.spark, "metrics", path)
+    return latest_metrics(metrics).withColumn("runs", F.lit(metrics.select("run").distinct().count()).cast("long"))
+
+
 @_query
 def daily_run_sales(data: _Data) -> DataFrame:
     """The fact as a daily run stores it."""

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from tillmark.operators import dimensions, fact
+from tillmark.operators.flaws import flaws
 from tillmark.sinks.jdbc import JdbcTarget, count_jdbc, write_jdbc
-from tillmark.sinks.metrics import write_counted
+from tillmark.sinks.metrics import write_counted, write_measured
 
 Write = Callable[[DataFrame, str], None]
 
@@ -30,6 +31,13 @@ def load_warehouse(tables: dict[str, DataFrame], write: Write) -> dict[str, int]
     return {name: write_counted(df, lambda counted, name=name: write(counted, name)) for name, df in tables.items()}
 
 
+def load_measured(tables: dict[str, DataFrame], write: Write) -> dict[str, dict[str, int]]:
+    """Like ``load_warehouse``; returns the rows of each table and how many of them have which flaw."""
+    return {
+        name: write_measured(df, lambda measured, name=name: write(measured, name), flaws(name)) for name, df in tables.items()
+    }
+
+
 def load_jdbc_warehouse(tables: dict[str, DataFrame], target: JdbcTarget, attempts: int = 3) -> dict[str, int]:
     """Replace the tables of a database.
 

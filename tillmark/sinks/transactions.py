@@ -4,7 +4,7 @@ The table is one of ``versions``. Its content:
 
 * ``entries``: the live folders of rows, each with the folder of their histogram (``quality``, product, quantity, number
   of rows), the months its valid rows lie in, the country keys it was checked against (``reference``), the batch it is,
-  and its level: 0 for a batch, one more than its inputs for a merged one.
+  its level: 0 for a batch, one more than its inputs for a merged one, and how many rows and flaws its write counted.
 * ``rulings``: for folders checked against older country keys, the keys on which newer ones have decided otherwise.
 * ``deltas``: histograms of rows that such a ruling has moved, positive where they went and negative where they were.
 * ``batches``: which batches are in, as ranges of ids per ingest run.
@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 
 from tillmark import schemas, storage, versions
 from tillmark.operators import outliers
+from tillmark.operators.flaws import flaws
 from tillmark.operators.joins import same_key
 from tillmark.operators.reference_check import in_reference, missing_reference
 from tillmark.sinks.layers import write_layer
+from tillmark.sinks.metrics import write_measured
 
 VALID = "valid"
 QUARANTINE = "quarantine"
@@ -155,9 +157,9 @@ def add_batch(rows: DataFrame, path: str, reference: str, run: str, batch_id: in
     """
     spark = rows.sparkSession
     folder, histogram = versions.new_folder(), versions.new_folder()
-    _write_rows(rows, path, folder)
+    counted = write_measured(rows, lambda df: _write_rows(df, path, folder), flaws("transactions"))
     _histogram_by_quality(_stored(spark, path, [folder])).write.parquet(f"{path}/{histogram}")
-    entry = {**_entry(spark, path, folder, histogram, reference, 0), "batch": [run, batch_id]}
+    entry = {**_entry(spark, path, folder, histogram, reference, 0), "batch": [run, batch_id], "measured": counted}
 
     def change(content: dict, number: int) -> dict:
         content = {**_EMPTY, **content}
@@ -176,6 +178,19 @@ def add_batch(rows: DataFrame, path: str, reference: str, run: str, batch_id: in
     return histogram
 
 
+def _summed(entries: list[dict]) -> dict[str, int]:
+    names = ["row_count", *flaws("transactions")]
+    return {name: sum(entry.get("measured", {}).get(name, 0) for entry in entries) for name in names}
+
+
+def measured(spark: SparkSession, path: str) -> dict[str, int]:
+    """Rows of the table, valid and quarantined, and how many have which flaw, each batch counted once.
+
+    They were counted while the batches were written and lie in the version file; nothing else is read.
+    """
+    return _summed(contents(versions.latest(spark, path))["entries"])
+
+
 def batch_counts(spark: SparkSession, path: str, histogram: str) -> dict[str, int]:
     """Valid and quarantined rows of a batch, summed up from its histogram."""
     counted = spark.read.schema(schemas.QUANTITY_HISTOGRAM).parquet(f"{path}/{histogram}")
@@ -284,6 +299,7 @@ def compact(spark: SparkSession, path: str, fan_in: int = FAN_IN) -> int:
         sums = parts.groupBy("quality", "group_key", "level").agg(F.sum("row_count").alias("row_count"))
         sums.write.parquet(f"{path}/{histogram}")
         entry = _entry(spark, path, rows, histogram, reference, max(one["level"] for one in merged) + 1)
+        entry["measured"] = _summed(merged)
         if not _swap(spark, path, merged, entry):
             return merges
         merges += 1
