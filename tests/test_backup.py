@@ -145,3 +145,32 @@ def test_commands(spark, run, tmp_path, capsys):
     put_back = command("restore", "--lake", tmp_path / "restored", *destination, "--number", 1)
     assert put_back["gold/fct_sales"] == 22
     assert state(spark, str(tmp_path / "restored")) == state(spark, run.lake)
+
+
+def test_copies_are_not_shuffled(spark, tmp_path):
+    """A folder of many subfolders is copied by as many jobs as a plain one; its files stay in order of time."""
+    month = F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(202401 + F.col("id") % 3).cast("int")
+    columns = [F.lit("1").alias(name) for name in ("InvoiceNo", "StockCode", "InvoiceDate", "CustomerID", "Country")]
+    rows = spark.range(3000).select(
+        *columns[:2], F.col("id").cast("int").alias("Quantity"), *columns[2:],
+        F.timestamp_seconds("id").alias("InvoiceTimestamp"), F.lit("1101").alias("CountryID"), F.lit("1").alias("RegionID"),
+        F.when(F.col("id") % 2 == 0, "valid").otherwise("quarantine").alias("quality"), month.alias("invoice_month"),
+    )
+    stored = backup._Folder(backup.transactions.STORAGE_FOLDERS, schema=backup._ROWS)
+    rows.repartition(1).sortWithinPartitions("quality", "invoice_month", "InvoiceTimestamp").write.partitionBy(
+        *stored.partition_by
+    ).parquet(f"{tmp_path}/rows")
+    spark.range(10).write.parquet(f"{tmp_path}/plain")
+    jobs = {}
+    for name, kind in (("rows", stored), ("plain", backup._Folder(schema=spark.range(0).schema))):
+        spark.sparkContext.setJobGroup(f"copy-{name}", name)
+        backup._copy(spark, kind, f"{tmp_path}/{name}", f"{tmp_path}/copy", name)
+        jobs[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"copy-{name}"))
+    spark.sparkContext.setJobGroup("", "")
+    assert jobs["rows"] == jobs["plain"] > 0
+    found = sorted(path.parent.relative_to(tmp_path / "rows") for path in (tmp_path / "rows").glob("*/*/*.parquet"))
+    copied = sorted((tmp_path / "copy" / "rows").glob("*/*/*.parquet"))
+    assert [path.parent.relative_to(tmp_path / "copy" / "rows") for path in copied] == found
+    for path in copied:
+        seconds = [row.InvoiceTimestamp for row in spark.read.parquet(str(path)).collect()]
+        assert seconds == sorted(seconds)

@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillmark import schemas, storage, versions
+from tillmark.operators.digests import digest
 from tillmark.sinks import transactions
-from tillmark.sinks.layers import write_layer
 
 TRANSACTIONS = "transactions"
 
@@ -32,25 +32,32 @@ MANIFEST = "table_name string, folder string, row_count bigint, content_hash str
 #: What a kept folder is found to be by ``verify``.
 SOUND, DAMAGED = "sound", "damaged"
 
+#: Files that a task of a copy has open at most; with more subfolders than that it sorts the rest of its rows.
+OPEN_FILES = 200
+
 _ROWS = StructType([field for field in schemas.TRANSACTION_STORAGE.fields if field.name != "data"])
 
 
 @dataclass(frozen=True)
 class _Folder:
-    """How the rows of a folder lie: subfolders, order within a file, and their schema where files may be missing."""
+    """How the rows of a folder lie: subfolders, and their schema where files may be missing."""
 
     partition_by: tuple[str, ...] = ()
-    sort_by: tuple[str, ...] = ()
     schema: StructType | None = None
 
     def read(self, spark: SparkSession, path: str) -> DataFrame:
         return (spark.read.schema(self.schema) if self.schema else spark.read).parquet(path)
 
     def write(self, df: DataFrame, root: str, folder: str) -> None:
-        if self.partition_by:
-            write_layer(df, folder, root, partition_by=self.partition_by, sort_by=self.sort_by)
-        else:
-            df.write.mode("overwrite").parquet(f"{root}/{folder}")
+        """Rows stay in the order and in about the files that they lie in already, so none is shuffled or sorted."""
+        df.write.mode("overwrite").partitionBy(*self.partition_by).parquet(f"{root}/{folder}")
+
+
+def _copying(spark: SparkSession) -> SparkSession:
+    """A session of its own whose tasks keep the files of several subfolders open, in place of sorting rows by these."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(OPEN_FILES))
+    return session
 
 
 def _folders(table: str, content: dict) -> dict[str, _Folder]:
@@ -58,31 +65,19 @@ def _folders(table: str, content: dict) -> dict[str, _Folder]:
     if table != TRANSACTIONS:
         return {folder: _Folder() for folder in content["parts"]}
     rows = {entry["rows"] for entry in content.get("entries", ())}
-    stored = _Folder(transactions.STORAGE_FOLDERS, ("InvoiceTimestamp",), _ROWS)
+    stored = _Folder(transactions.STORAGE_FOLDERS, _ROWS)
     return {folder: stored if folder in rows else _Folder() for folder in transactions.live_folders(content)}
 
 
-def _digest(df: DataFrame) -> tuple:
-    """Number of rows, and sum and exclusive or of two hashes of the rows, which no order of rows changes."""
-    columns = [F.col(f"`{name}`") for name in df.columns]
-    # A hash passes over NULLs, so it is told where they are.
-    row = [*columns, *(column.isNull() for column in columns)]
-    return (
-        F.count(F.lit(1)).alias("row_count"),
-        F.coalesce(F.sum(F.xxhash64(F.lit(1), *row).cast("decimal(20,0)")).cast("string"), F.lit("0")).alias("total"),
-        F.coalesce(F.bit_xor(F.xxhash64(F.lit(2), *row)), F.lit(0)).alias("parity"),
-    )
-
-
 def _digest_of(df: DataFrame) -> tuple[int, str]:
-    row = df.agg(*_digest(df)).first()
+    row = df.agg(*digest(df)).first()
     return row["row_count"], f"{row['total']}:{row['parity']}"
 
 
 def _copy(spark: SparkSession, kind: _Folder, source: str, root: str, folder: str) -> tuple[int, str]:
     """Copy a folder and return the digest of the copy, which is that of the original."""
-    df, seen = kind.read(spark, source), Observation()
-    kind.write(df.observe(seen, *_digest(df)), root, folder)
+    df, seen = kind.read(_copying(spark), source), Observation()
+    kind.write(df.observe(seen, *digest(df)), root, folder)
     found = _digest_of(kind.read(spark, f"{root}/{folder}"))
     # What was seen on the way counts rows of repeated tasks twice, so a difference isn't the last word.
     if (seen.get["row_count"], f"{seen.get['total']}:{seen.get['parity']}") != found and _digest_of(df) != found:
@@ -133,8 +128,8 @@ def backup(spark: SparkSession, lake: str, destination: str, tables: Iterable[st
         for folder, kind in _folders(table, version.content).items():
             if folder not in earlier:
                 stored = f"data/{uuid.uuid4().hex}"
-                rows, digest = _copy(spark, kind, f"{path}/{folder}", destination, stored)
-                earlier[folder] = {"stored": stored, "row_count": rows, "content_hash": digest}
+                rows, content_hash = _copy(spark, kind, f"{path}/{folder}", destination, stored)
+                earlier[folder] = {"stored": stored, "row_count": rows, "content_hash": content_hash}
                 copied.add((table, folder))
             folders[folder] = earlier[folder]
         content["tables"][table] = {"number": version.number, "content": version.content, "folders": folders}
