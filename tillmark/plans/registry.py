@@ -406,6 +406,10 @@ def dashboard_trends(data: _Data) -> DataFrame:
     return dashboard(data.spark, gold)["trending_products"]
 
 
+#: How raw files are compressed. Each is read by one task, and there are as many as tasks that wrote them.
+RAW_COMPRESSION = "gzip"
+
+
 # --- jobs ----------------------------------------------------------------------------------------------------------
 
 
@@ -429,19 +433,18 @@ def ingest_incremental_quarantine(data: _Data) -> DataFrame:
     return read_quarantine(data.spark, _ingest(data))
 
 
-#: Deliveries that the raw transactions come in, and files of each.
-DROPS, FILES = 3, 4
+#: Deliveries that the raw transactions come in.
+DROPS = 3
 
 
 def _drops(data: _Data, path: str) -> Iterator[str]:
-    """The raw folder after each of ``DROPS`` deliveries of files, which together are all raw transactions; each holds
-    invoices of all months."""
+    """The raw files after each of ``DROPS`` deliveries, which together are all raw transactions; each holds invoices of
+    all months. They are written once, and a pattern of folders names those that have come."""
     drop = F.pmod(F.xxhash64("InvoiceNo"), F.lit(DROPS))
-    data.tables.raw_transactions().withColumn("drop", drop).write.partitionBy("drop").csv(f"{path}/drops")
+    raw = data.tables.raw_transactions().withColumn("drop", drop)
+    raw.write.partitionBy("drop").option("compression", RAW_COMPRESSION).csv(f"{path}/raw")
     for number in range(DROPS):
-        delivered = files.read_transactions(data.spark, f"{path}/drops/drop={number}")
-        delivered.repartition(FILES).write.mode("append").csv(f"{path}/raw")
-        yield f"{path}/raw"
+        yield f"{path}/raw/drop=[0-{number}]"
 
 
 def _ingest_drops(data: _Data, countries: DataFrame, merged: bool = True) -> str:
