@@ -1,10 +1,12 @@
 """Loads that compute changed months only: always equal to a full rebuild, and to no more work than that."""
 
+import re
 from collections import Counter
 
 import pytest
+from retail_rows import prices
 
-from tillmark import cli, versions
+from tillmark import cli, schemas, versions
 from tillmark.plans import daily, incremental
 from tillmark.plans.daily import DailyRun
 from tillmark.plans.warehouse import star_schema
@@ -171,3 +173,41 @@ def test_replay_command(shop, capsys):
     shop.load(ingest=False)
     assert cli.main(["replay", "--lake", shop.run.lake]) == {"moved_to_valid": 1, "moved_to_quarantine": 0}
     assert cli.main(["replay", "--lake", shop.run.lake]) == {"moved_to_valid": 0, "moved_to_quarantine": 0}
+
+
+def test_prices_are_compared_without_moving_them(spark, monkeypatch, capsys):
+    """One row per month and task is shuffled, and months differ by any price that came, went, changed or is there twice."""
+    days = ("2024-01-05", "2024-02-05", "2024-03-05", "2024-04-05", "2024-05-05")
+    old = [("A", "CAKE", "1.50", day) for day in days] + [("A", "CAKE", None, days[0]), ("A", "CAKE", "9.00", None)]
+    new = [*old, ("A", "CAKE", "1.50", days[1]), ("B", "CAKE", "1.50", "2024-06-05")]
+    new[2:4] = [("A", "CAKE", "1.60", days[2])]
+    kind, plans = type(spark.range(0)), []
+    collect = kind.collect
+
+    def seen(self):
+        rows = collect(self)
+        self.explain()
+        plans.append(capsys.readouterr().out)
+        return rows
+
+    monkeypatch.setattr(kind, "collect", seen)
+    assert incremental.price_months(prices(spark, old), prices(spark, new)) == {"202402", "202403", "202404", "202406"}
+    assert incremental.price_months(prices(spark, old), prices(spark, old[::-1])) == set()
+    shuffled = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", "".join(plans))
+    assert shuffled and not [keys for keys in shuffled if "StockCode" in keys]
+
+
+def test_the_facts_shuffle_carries_no_derived_column(shop, monkeypatch):
+    carried, write = [], incremental.write_layer
+
+    def writing(df, *args, **kwargs):
+        if kwargs.get("partition_by"):
+            carried.append(df.columns)
+        write(df, *args, **kwargs)
+
+    monkeypatch.setattr(incremental, "write_layer", writing)
+    shop.deliver((1, "05/01/2024", 7, "1101"), (2, "05/02/2024", 8, "1102"))
+    shop.load()
+    assert carried and not [columns for columns in carried if {"sale_id", "total_price"} & set(columns)]
+    assert shop.stored() == shop.rebuilt()
+    assert read_layer(shop.spark, "fct_sales", shop.run.gold).schema == schemas.FCT_SALES

@@ -1,5 +1,7 @@
 """Inputs that queries make for the jobs they run: each is derived from the tables and written once."""
 
+from pyspark.sql import functions as F
+
 from tillmark.plans import registry
 from tillmark.session import scratch_path
 from tillmark.sources import files
@@ -7,6 +9,7 @@ from tillmark.sources.star_tables import StarTables
 
 FOLDER = "/root/testdata/sf0.001"
 
+
 def test_deliveries_are_written_once(spark):
     data = registry._Data(spark, FOLDER)
     path = scratch_path(spark, "staging")
@@ -17,3 +20,31 @@ def test_deliveries_are_written_once(spark):
     sizes = [files.read_transactions(spark, folder).count() for folder in folders]
     assert len(sizes) == registry.DROPS and 0 < sizes[0] < sizes[1] < sizes[2]
     assert files.read_transactions(spark, folders[-1]).exceptAll(raw).isEmpty()
+
+
+def test_corrected_prices_are_derived_once(spark, monkeypatch):
+    calls, raw_products, folders, states = [], StarTables.raw_products, [], []
+
+    def derived(self):
+        calls.append(raw_products(self))
+        return calls[-1]
+
+    def refreshed(session, run):
+        folders.append(run.raw_products)
+        states.append(files.read_products(session, run.raw_products))
+
+    monkeypatch.setattr(StarTables, "raw_products", derived)
+    monkeypatch.setattr(registry.daily, "refresh_dimensions", refreshed)
+    monkeypatch.setattr(registry.daily, "ingest_transactions", lambda *_: None)
+    monkeypatch.setattr(registry.daily, "refresh_gold", lambda *_: None)
+    monkeypatch.setattr(registry, "read_layer", lambda *_: None)
+    registry.QUERIES["daily_sales_incremental"](spark, FOLDER)
+    right = calls[0].select("StockCode", "ProductDescription", "UnitPrice", "Date")
+    corrected = F.pmod(F.xxhash64("StockCode"), F.lit(3)) == 0
+    wrong = right.withColumn("UnitPrice", F.when(corrected, F.lit("0.01")).otherwise(F.col("UnitPrice")))
+    for expected, state in ((wrong, states[0]), (wrong, states[1]), (right, states[2])):
+        assert expected.exceptAll(state).isEmpty() and state.exceptAll(expected).isEmpty()
+    # Of every price that is never corrected one row is written.
+    root = folders[0].rpartition("/")[0]
+    written = spark.read.option("recursiveFileLookup", True).option("header", True).csv(root)
+    assert len(calls) == 1 and written.count() == right.count() + right.filter(corrected).count()

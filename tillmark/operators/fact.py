@@ -26,11 +26,19 @@ def _same_product_and_day(transactions: DataFrame, prices: DataFrame) -> Column:
 
 def fct_sales(
     transactions: DataFrame, products: DataFrame, geography: DataFrame, dates: DataFrame | None = None
+) -> DataFrame:
+    """The fact: ``priced_sales`` with all columns."""
+    return with_derived(priced_sales(transactions, products, geography, dates))
+
+
+def priced_sales(
+    transactions: DataFrame, products: DataFrame, geography: DataFrame, dates: DataFrame | None = None
 ) -> DataFrame:
     """Transactions priced by product and calendar day.
 
     A transaction with no price for its day is left out (see ``unpriced_sales``); a day priced twice yields two rows.
-    ``sale_id`` is a label, not a key: an invoice may list a product twice.
+    ``sale_id`` is a label, not a key: an invoice may list a product twice. It and ``total_price`` are left to
+    ``with_derived``, so that a shuffle in between needn't carry them.
 
     The price table grows with products times days, so it is joined without a hint: a shuffle join whose hot
     (product, day) partitions Spark splits at run time, or a broadcast once the measured size allows it. ``date_id``
@@ -48,7 +56,6 @@ def fct_sales(
     same_country = same_key(sales, F.col("CountryID"), geography, F.col("geo_id"))
     sales = sales.join(geography.select("geo_id"), same_country, "left")
     return sales.select(
-        F.concat("InvoiceNo", F.lit("-"), "StockCode").alias("sale_id"),
         F.col("InvoiceNo").alias("invoice_no"),
         date_id.alias("date_id"),
         F.col("CustomerID").alias("customer_id"),
@@ -56,7 +63,17 @@ def fct_sales(
         F.col("geo_id"),
         F.col("Quantity").alias("quantity"),
         F.col("UnitPrice").alias("unit_price"),
-        (F.col("Quantity") * F.col("UnitPrice")).alias("total_price"),
+    )
+
+
+def with_derived(sales: DataFrame) -> DataFrame:
+    """``sales`` with ``sale_id`` in front and ``total_price`` behind ``unit_price``; further columns come last."""
+    own = ("invoice_no", "date_id", "customer_id", "product_id", "geo_id", "quantity", "unit_price")
+    return sales.select(
+        F.concat("invoice_no", F.lit("-"), "product_id").alias("sale_id"),
+        *own,
+        (F.col("quantity") * F.col("unit_price")).alias("total_price"),
+        *(name for name in sales.columns if name not in own),
     )
 
 

@@ -4,7 +4,7 @@ The fact is a table of ``versions`` with a folder per month. Its version also sa
 prices and countries it was computed from, so the next load can tell what has changed since:
 
 * months in which valid transactions came, went or were replaced, as the ingest notes them,
-* months of prices that differ between the two price tables, counted by product, day and price,
+* months of prices that differ between the two price tables, told by number of rows and two 64-bit hashes of each month,
 * months with transactions of a country that is listed more or less often than before.
 
 The fact's version is written last. A load that dies before it is simply done again.
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tillmark import schemas, versions
 from tillmark.functions.dates import month_key
 from tillmark.operators import dimensions, fact
+from tillmark.operators.digests import digest
 from tillmark.operators.reference_check import in_reference
 from tillmark.sinks import transactions
 from tillmark.sinks.layers import write_layer
@@ -87,10 +88,18 @@ def _differing(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def price_months(old: DataFrame, new: DataFrame) -> set[str]:
-    """Months of prices that came, went or changed; at most as many as there are months."""
-    columns = ("StockCode", "Date", "UnitPrice")
-    changed = _differing(old.select(*columns), new.select(*columns)).filter("Date IS NOT NULL")
-    return {str(row.month) for row in changed.select(month_key(F.col("Date")).alias("month")).distinct().collect()}
+    """Months of prices that came, went or changed; at most as many as there are months.
+
+    A month's rows (product, day, price) are compared by their number and two hashes that no order of rows changes, so
+    what moves is one row per month and task instead of every price of both tables.
+    """
+    digests = []
+    for frame in (old, new):
+        prices = frame.select("StockCode", "Date", "UnitPrice").filter("Date IS NOT NULL")
+        by_month = prices.groupBy(month_key(F.col("Date")).alias("month"))
+        digests.append({row.month: tuple(row) for row in by_month.agg(*digest(prices)).collect()})
+    before, after = digests
+    return {str(month) for month in before.keys() | after.keys() if before.get(month) != after.get(month)}
 
 
 def country_months(sources: Sources, old: DataFrame, new: DataFrame) -> set[str]:
@@ -141,8 +150,9 @@ def _customer_rows(sources: Sources, gold: str, months: set[str], shrunk: bool)
 
 
 def fact_of_months(sources: Sources, months: set[str] | None) -> DataFrame:
+    """The fact's rows of some months or all, without the columns that ``fact.with_derived`` adds."""
     geography = dimensions.dim_geography(sources.layer("countries"))
-    return fact.fct_sales(sources.transactions(months), sources.prices(months), geography)
+    return fact.priced_sales(sources.transactions(months), sources.prices(months), geography)
 
 
 def _load_fact(sources: Sources, path: str, before: versions.Version, months: set[str] | None) -> int:
@@ -152,7 +162,7 @@ def _load_fact(sources: Sources, path: str, before: versions.Version, months: se
     if months is None or months:
         folder = versions.new_folder()
         sold = fact_of_months(sources, months).withColumn("sale_month", F.floor(F.col("date_id") / 100).cast("int"))
-        write_layer(sold, folder, path, partition_by=["sale_month"])
+        write_layer(sold, folder, path, partition_by=["sale_month"], derive=fact.with_derived)
         stored = spark.read.schema(f"sale_month int, {_ddl(schemas.FCT_SALES)}").parquet(f"{path}/{folder}")
         for row in stored.groupBy("sale_month").agg(F.count(F.lit(1)).alias("row_count")).collect():
             kept[str(row.sale_month)] = {

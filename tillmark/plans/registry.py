@@ -494,16 +494,19 @@ def _both_sides(data: _Data, path: str) -> DataFrame:
 @_query
 def daily_sales_incremental(data: _Data) -> DataFrame:
     """The fact after three loads, of which only the first computes everything: late invoices come with each, and a
-    third of the prices is wrong until the last."""
+    third of the prices is wrong until the last. Prices are derived once: those that stay, and two states of the rest."""
     path = scratch_path(data.spark, "daily-incremental")
-    raw_products = data.tables.raw_products()
     data.tables.raw_countries().write.option("header", True).csv(f"{path}/countries")
-    raw_products.write.option("header", True).csv(f"{path}/products-right")
-    wrong = F.when(F.pmod(F.xxhash64("StockCode"), F.lit(3)) == 0, F.lit("0.01")).otherwise(F.col("UnitPrice"))
-    raw_products.withColumn("UnitPrice", wrong).write.option("header", True).csv(f"{path}/products-wrong")
+    corrected = F.pmod(F.xxhash64("StockCode"), F.lit(3)) == 0
+    states = F.when(corrected, F.array(F.lit("wrong"), F.lit("right"))).otherwise(F.array(F.lit("both")))
+    price = F.when(F.col("state") == "wrong", F.lit("0.01")).otherwise(F.col("UnitPrice"))
+    raw_products = data.tables.raw_products().withColumn("state", F.explode(states)).withColumn("UnitPrice", price)
+    raw = raw_products.write.partitionBy("state").option("compression", RAW_COMPRESSION)
+    raw.option("header", True).csv(f"{path}/products")
     for number, folder in enumerate(_drops(data, path)):
         prices = "right" if number == DROPS - 1 else "wrong"
-        run = DailyRun(folder, f"{path}/countries", f"{path}/products-{prices}", f"{path}/lake")
+        products = f"{path}/products/state={{both,{prices}}}"
+        run = DailyRun(folder, f"{path}/countries", products, f"{path}/lake")
         daily.refresh_dimensions(data.spark, run)
         daily.ingest_transactions(data.spark, run)
         daily.refresh_gold(data.spark, run)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, DataFrameWriter
 
@@ -16,12 +16,14 @@ def write_layer(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
+    derive: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Write the Parquet table ``<root>/<name>``, or the managed catalog table ``name`` where no root is given.
 
     ``mode`` is ``overwrite`` for a full refresh or ``append``. Partitioned output is first rebalanced by the
     partition columns, which gives each folder few files of even size and splits a folder that holds most rows. Each
-    file is ordered by ``sort_by``, so that readers skip parts of it by those columns.
+    file is ordered by ``sort_by``, so that readers skip parts of it by those columns. ``derive`` adds, behind that
+    shuffle, columns that are functions of others, so that it needn't carry them.
 
     A table under a root that isn't partitioned changes from version to version (see ``versions``): a write that fails
     midway leaves the old rows, and a reader that has opened them finishes. Old versions are removed after a day. A
@@ -29,6 +31,7 @@ def write_layer(
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    df = derive(df) if derive else df
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
 
