@@ -545,9 +545,9 @@ def _daily_run(data: _Data) -> tuple[DailyRun, dict[str, int]]:
     """A whole daily run over CSV files made from the tables."""
     path = scratch_path(data.spark, "daily")
     run = DailyRun(f"{path}/raw/transactions", f"{path}/raw/countries", f"{path}/raw/products", f"{path}/lake")
-    data.tables.raw_transactions().write.csv(run.raw_transactions)
+    data.tables.raw_transactions().write.option("compression", RAW_COMPRESSION).csv(run.raw_transactions)
     data.tables.raw_countries().write.option("header", True).csv(run.raw_countries)
-    data.tables.raw_products().write.option("header", True).csv(run.raw_products)
+    data.tables.raw_products().write.option("header", True).option("compression", RAW_COMPRESSION).csv(run.raw_products)
     return run, run_daily(data.spark, run)
 
 
