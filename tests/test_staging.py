@@ -1,5 +1,6 @@
 """Inputs that queries make for the jobs they run: each is derived from the tables and written once."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillmark.plans import registry
@@ -48,3 +49,18 @@ def test_corrected_prices_are_derived_once(spark, monkeypatch):
     root = folders[0].rpartition("/")[0]
     written = spark.read.option("recursiveFileLookup", True).option("header", True).csv(root)
     assert len(calls) == 1 and written.count() == right.count() + right.filter(corrected).count()
+
+
+@pytest.mark.parametrize("name, function", [("kept_metrics", "load_measured"), ("dashboard_trends", "star_schema")])
+def test_raw_inputs_are_not_derived_again(spark, monkeypatch, name, function):
+    """What is written several times, or goes into several tables, comes from stored bronze."""
+    build, given = getattr(registry, function), []
+
+    def called(*args):
+        frames = args[0].values() if function == "load_measured" else args
+        given.extend(path for df in frames for path in df.inputFiles())
+        return build(*args)
+
+    monkeypatch.setattr(registry, function, called)
+    registry.QUERIES[name](spark, FOLDER).collect()
+    assert given and not [path for path in given if "lineitem" in path or "orders" in path]

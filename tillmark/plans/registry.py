@@ -569,9 +569,14 @@ def kept_metrics(data: _Data) -> DataFrame:
     """What the writes of bronze tables have counted, kept over several runs: the last state of each table, and how many
     runs are kept."""
     path = scratch_path(data.spark, "metrics")
-    order = {"countries": data.countries, "products": data.products}
+    # Raw prices are derived once; each run parses them anew.
+    data.tables.raw_products().write.parquet(f"{path}/raw-products")
+    frames = {
+        "countries": data.countries,
+        "products": bronze.products(data.spark.read.parquet(f"{path}/raw-products")),
+    }
     for folder in _drops(data, path):
-        measured = load_measured(order, lambda df, name: write_layer(df, name, path))
+        measured = load_measured(frames, lambda df, name: write_layer(df, name, path))
         raw = files.stream_transactions(data.spark, folder)
         ingest_new_files(raw, data.countries, f"{path}/transactions", f"{path}/checkpoint")
         compact_transactions(data.spark, f"{path}/transactions", fan_in=2)
