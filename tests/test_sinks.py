@@ -247,3 +247,12 @@ def test_dashboard_of_a_database_without_trends(spark, tmp_path, there):
     tables = {name: spark.createDataFrame([], schema) for name, schema in star.items()}
     answers = dashboard(spark, None, tables.__getitem__, lambda name: there)
     assert ("trending_products" in answers) is there
+
+
+@pytest.mark.parametrize("partition_by", [(), ("half",)])
+def test_layers_are_compressed_tightly(spark, tmp_path, partition_by):
+    rows = numbers(spark, 9)
+    write_layer(rows, "t", str(tmp_path), partition_by=partition_by)
+    files = list((tmp_path / "t").rglob("*.parquet"))
+    assert files and all(name.name.endswith(".zstd.parquet") for name in files)
+    assert read_layer(spark, "t", str(tmp_path)).count() == 9
